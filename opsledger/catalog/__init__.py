@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load():
-    from opsledger.catalog import q_domain, registry  # noqa: F401
+    from opsledger.catalog import q_tables, q_scalars, q_relational, q_domain, registry  # noqa: F401
     return registry
 
 
