@@ -202,10 +202,9 @@ def merchants(t: Tables) -> DataFrame:
 def sheet_rows(t: Tables) -> DataFrame:
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    sheet = sheet_name()
-    home = F.coalesce(_case(sheet, [("W", 1), ("G", 5), ("C", 9)]).cast("bigint"),
-                      F.substring(sheet, 2, 2).try_cast("bigint"))
-    return t.orders.select(
+    sheet = F.col("_sheet")
+    home = _case(sheet, [("W", 1), ("G", 5), ("C", 9), *[(f"S{f:02d}", f) for f in SINGLE_FACILITIES]]).cast("bigint")
+    return t.orders.withColumn("_sheet", sheet_name()).select(
         key.alias("line_id"), F.col("o_orderdate").cast("date").alias("sheet_date"),
         F.when(customer % 3 == 0, "CREDIT WITHOUT TAG").otherwise(
             F.concat(F.lit("CREDIT IND ID:"), (customer % 50).cast("string"), F.lit(" TRN 7"))).alias("description"),

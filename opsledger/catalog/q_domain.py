@@ -9,7 +9,7 @@ from opsledger.catalog import domain as D
 from opsledger.catalog.registry import Tables, query, sql_money, with_money
 from opsledger.operators.aggregates import sum_by
 from opsledger.operators.joins import union_by_name
-from opsledger.plans import contacts, documents, fees, maintenance, receipts, report, visits
+from opsledger.plans import collections, contacts, documents, fees, maintenance, receipts, report, visits
 from opsledger.plans.policy import default_policies
 from opsledger.session import run_folder
 from opsledger.sources.readers import read_delimited, read_partition
@@ -116,7 +116,7 @@ def d6(t: Tables) -> DataFrame:
 
 def _allocated(t: Tables, sheet: str) -> DataFrame:
     measures, policies = _measures(t, sheet)
-    return with_money(receipts.allocate_residual(measures, receipts.split_pool_facility(measures, policies), policies),
+    return with_money(receipts.allocate_residual(measures, policies),
                       "allocated_pmt")
 
 
@@ -181,8 +181,13 @@ NOW = f"now AS (SELECT max(calendar_week_id) AS w, max(year) AS y, max(period) A
 REPORT_TABLES = (*D.RECEIPTS, D.CALENDAR, D.FACILITIES, D.DEDUCTS, D.TARGETS, BASE, REPORT, NOW)
 
 
+def _products(t: Tables) -> dict[str, DataFrame]:
+    return collections.receipt_tables(D.bank_lines(t), D.payment_details(t), default_policies(t.spark),
+                                      run_folder(t.spark, "collections"))
+
+
 def _facility_receipts(t: Tables) -> DataFrame:
-    return receipts.facility_collections(D.bank_lines(t), D.payment_details(t), default_policies(t.spark))
+    return _products(t)["facility_receipts"]
 
 
 def _base(t: Tables, facility_receipts: DataFrame) -> DataFrame:
@@ -253,18 +258,17 @@ SELECT {DENSE_COLUMNS}, {FLAGS}, {BANDS} FROM dense CROSS JOIN now
 LEFT JOIN tgt ON tgt.date = bank_dept_dt AND tgt.facility_group_id = dense.facility_group_id""".replace(
     "deduct, facility_group_id", "deduct, dense.facility_group_id").replace("bank_dept_week, facility_group_id", "bank_dept_week, dense.facility_group_id"))
 def collections_report(t: Tables) -> DataFrame:
-    facility = _facility_receipts(t)
-    out = report.collections_report(
-        _base(t, facility), facility.withColumn("amount", F.col("amount").cast("decimal(20,4)")), D.deductions(t),
-        D.order_calendar(t), D.facilities(t), D.targets(t), D.AS_OF, D.REPORT_START)
-    return with_money(out, "amount").withColumn("net_amount", F.col("amount") - F.col("deduct"))
+    reports = collections.report_tables(
+        _products(t), D.bank_lines(t), D.order_calendar(t), D.deductions(t), D.facilities(t), D.targets(t), D.AS_OF,
+        run_folder(t.spark, "reports"), D.REPORT_START)
+    return with_money(reports["collections_report"], "amount").withColumn("net_amount", F.col("amount") - F.col("deduct"))
 
 
 @query("d19_sheet_report", D.with_tables(*D.RECEIPTS, D.SHEETS, D.CALENDAR) + f"""
 SELECT s.*, c.week AS sheet_week, c.period AS sheet_period, c.year AS sheet_year FROM ({SHEET_SELECT}) s
 LEFT JOIN cal c ON c.date = s.sheet_date""")
 def d19(t: Tables) -> DataFrame:
-    return report.sheet_report(d13_sheet(t), D.order_calendar(t))
+    return with_money(report.sheet_report(_products(t)["sheet_receipts"], D.order_calendar(t)), *SHEET_MONEY)
 
 
 # ---- visits ---------------------------------------------------------------------------------------
@@ -436,10 +440,9 @@ SELECT '{n}' AS table_name, count(*) AS rows_before, count(*) FILTER (WHERE {c}
 FROM {src}""" for n, (src, c) in PURGED_TABLES.items()))
 def d29(t: Tables) -> DataFrame:
     lines, detail = D.bank_lines(t), D.payment_details(t)
-    measures, policies = _measures(t)
+    products = _products(t)
     tables = {"bank_lines": (lines, "sheet_date"), "posting_detail": (receipts.posting_detail(lines, detail), "sheet_date"),
-              "facility_receipts": (receipts.facility_from_measures(measures, policies), "sheet_date"),
-              "sheet_receipts": (receipts.sheet_from_measures(measures), "sheet_date"),
+              "facility_receipts": (products["facility_receipts"], "sheet_date"), "sheet_receipts": (products["sheet_receipts"], "sheet_date"),
               "calendar": (D.order_calendar(t), "date"), "targets": (D.targets(t), "date")}
     audit, left = maintenance.range_purge(tables, D.PURGE_START, D.PURGE_END)
     remaining = union_by_name(*[df.agg(F.count(F.lit(1)).alias("rows_left")).select(F.lit(n).alias("table_name"), "rows_left")

@@ -51,13 +51,18 @@ def tagged_id(col, tag: str = "IND ID:", missing: str = "No ID") -> Column:
     return F.coalesce(F.nullif(found, F.lit("")), F.lit(missing))
 
 
+def _digits(col, pattern: str, dtype: str) -> Column:
+    # blank to null first: a failing try_cast costs an exception per row
+    return F.nullif(F.regexp_extract(_c(col), pattern, 1), F.lit("")).try_cast(dtype)
+
+
 def leading_digits(col) -> Column:
-    return F.regexp_extract(_c(col), r"^(\d+)", 1).try_cast("bigint")
+    return _digits(col, r"^(\d+)", "bigint")
 
 
 def first_digits(col) -> Column:
     """First run of digits as int: ``'49 minutes'`` gives 49."""
-    return F.regexp_extract(_c(col), r"(\d+)", 1).try_cast("int")
+    return _digits(col, r"(\d+)", "int")
 
 
 def relabel(col, labels: dict[str, str]) -> Column:

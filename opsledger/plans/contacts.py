@@ -60,8 +60,12 @@ def column_name(export_name: str) -> str:
 NAMES = {name: column_name(name) for name in EXPORT_COLUMNS}
 
 
+_TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "date": T.DateType(),
+          "decimal(18,2)": T.DecimalType(18, 2)}
+
+
 def contact_schema() -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{NAMES[n]} {t}" for n, t in EXPORT_COLUMNS.items()))
+    return T.StructType([T.StructField(NAMES[n], _TYPES[t]) for n, t in EXPORT_COLUMNS.items()])
 
 
 def contact_feed(raw: DataFrame, schema: T.StructType | None = None, date_format: str = DATE_FORMAT) -> DataFrame:

@@ -9,7 +9,9 @@ from opsledger.operators.mutations import purge_audit, purge_range, upsert_by_ke
 from opsledger.operators.schema import require_columns, strict_cast_and_order
 from opsledger.sources.writers import rewrite_table
 
-TARGET_SCHEMA = T.StructType.fromDDL("date date, facility string, target double, facility_group_id bigint")
+TARGET_SCHEMA = T.StructType([
+    T.StructField("date", T.DateType()), T.StructField("facility", T.StringType()),
+    T.StructField("target", T.DoubleType()), T.StructField("facility_group_id", T.LongType())])
 
 
 def clean_targets(rows: DataFrame) -> DataFrame:

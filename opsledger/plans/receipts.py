@@ -6,7 +6,7 @@ tables, so the lines are scanned once and not once per sheet.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsledger.functions import scalars as X
@@ -155,82 +155,112 @@ def receipt_measures(lines: DataFrame, detail: DataFrame, policies: Policies, ex
 
     rows = matched.unionByName(straight).select("*", F.posexplode_outer("parts").alias("pos", "part"))
     zero = F.lit(0).cast(CENTS)
-    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    open_times = F.coalesce(F.col("part.n_open"), F.lit(1))
-    open_amount = (F.coalesce(F.col("amount"), F.lit(0)) * open_times).cast(CENTS)
-    single = F.col("single_facility").isNotNull()
-    booked = single | _merchant_books()
-    elsewhere = ~booked & _is_posted_elsewhere()
-    workload = ~booked & ~elsewhere & (F.coalesce(F.col("payment_id"), F.lit(-1)) == WORKLOAD_CODE)
-    lag = ~booked & ~elsewhere & ~workload
-    pooled = F.coalesce(F.col("part.posted_facility_group_id") == F.col("pool_facility"), F.lit(False))
+    known = F.coalesce(F.col("amount"), zero)
+    # one narrow row per line and part, with nothing but plain columns up to the first aggregate
+    narrow = rows.select(
+        "sheet", "sheet_date", "payment_id", "part.posted", "part.n_posted", "single_facility",
+        F.coalesce(F.col("forced_facility"), F.col("part.posted_facility_group_id")).alias("posted_facility"),
+        F.coalesce(F.col("single_facility"), F.col("forced_facility"), F.col("merch_facility_group_id")).alias("book_facility"),
+        F.coalesce(F.col("part.posted_facility_group_id") == F.col("pool_facility"), F.lit(False)).alias("pooled"),
+        F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, known).otherwise(zero).alias("amount"),
+        F.coalesce(F.col("part.n_open"), F.lit(1)).alias("n_open"),
+        (known * F.coalesce(F.col("part.n_open"), F.lit(1))).cast(CENTS).alias("open_amount"),
+        (F.col("single_facility").isNotNull() | _merchant_books()).alias("booked"))
+    classed = with_class(narrow, "open_class", [
+        ("booked", F.col("booked")), ("elsewhere", _is_posted_elsewhere()),
+        ("workload", F.col("payment_id") == WORKLOAD_CODE)], otherwise="lag") \
+        .withColumn("book_facility", F.when(F.col("booked"), F.col("book_facility")))
+
+    def open_sum(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("open_class") == name, F.col("open_amount"))), zero).alias(name)
+
+    sums = classed.groupBy("sheet", "sheet_date", "posted_facility", "book_facility", "pooled").agg(
+        F.sum("amount").alias("amount"), F.coalesce(F.sum("posted"), zero).alias("posted"),
+        F.coalesce(F.sum("n_posted"), F.lit(0)).alias("n_posted"),
+        F.coalesce(F.sum(F.when(F.col("booked"), F.col("n_open"))), F.lit(0)).alias("n_booked"),
+        *[open_sum(c) for c in ("booked", "elsewhere", "workload", "lag")])
 
     def contribution(facility: Column, is_pooled: Column, **given: Column) -> Column:
-        measures = [given.get(m, zero).cast(CENTS).alias(m) for m in MEASURES]
+        measures = [given.get(m, zero).cast("decimal(28,2)").alias(m) for m in MEASURES]
         return F.struct(facility.cast("bigint").alias("facility_id"), is_pooled.alias("pooled"), *measures)
 
-    posted_row = contribution(
-        F.coalesce(F.col("forced_facility"), F.col("part.posted_facility_group_id")), pooled,
-        dist=F.coalesce(F.col("part.posted"), zero))
-    booked_row = contribution(
-        F.coalesce(F.col("single_facility"), F.col("forced_facility"), F.col("merch_facility_group_id")), pooled,
-        dist=open_amount)
-    day_row = contribution(
-        F.lit(None), F.lit(False), amount=F.when(first, F.coalesce(F.col("amount"), zero)).otherwise(zero),
-        elsewhere=F.when(elsewhere, open_amount).otherwise(zero),
-        workload=F.when(workload, open_amount).otherwise(zero),
-        lag=F.when(lag, open_amount).otherwise(zero))
-    has_posted = F.coalesce(F.col("part.n_posted"), F.lit(0)) > 0
-    contributions = F.array(
-        day_row, F.when(has_posted, posted_row), F.when(booked & (open_times > 0), booked_row))
-    exploded = rows.select("sheet", "sheet_date", F.explode(contributions).alias("c")) \
-        .where(F.col("c").isNotNull()).select("sheet", "sheet_date", "c.*")
-    return exploded.groupBy("sheet", "sheet_date", "facility_id", "pooled").agg(
+    day = contribution(F.lit(None), F.lit(False), **{m: F.col(m) for m in MEASURES if m != "dist"})
+    posted = contribution(F.col("posted_facility"), F.col("pooled"), dist=F.col("posted"))
+    booked = contribution(F.col("book_facility"), F.col("pooled"), dist=F.col("booked"))
+    contributions = F.array(day, F.when(F.col("n_posted") > 0, posted), F.when(F.col("n_booked") > 0, booked))
+    return sums.select("sheet", "sheet_date", F.explode(contributions).alias("c")).where(F.col("c").isNotNull()) \
+        .select("sheet", "sheet_date", "c.*").groupBy("sheet", "sheet_date", "facility_id", "pooled").agg(
         *[F.sum(m).alias(m) for m in MEASURES])
 
 
-def split_pool_facility(measures: DataFrame, policies: Policies) -> DataFrame:
-    """Distributed payments per sheet, day and facility after the pool split; no facility, no row."""
+def share_pool(measures: DataFrame, policies: Policies) -> DataFrame:
+    """Measures per sheet, day and facility after the pool split.
+
+    The row without a facility stays: it carries what belongs to the day as a
+    whole, so one frame holds all that the allocation needs.
+    """
     pool = policies.pool.withColumn("pooled", F.lit(True))
-    shared = measures.select("sheet", "sheet_date", "facility_id", "pooled", "dist") \
-        .join(pool, ["sheet", "pooled"], "left")
     share = F.coalesce(F.col("pool_share"), F.lit(1).cast("decimal(6,4)"))
-    return shared.select(
+    shared = measures.join(pool, ["sheet", "pooled"], "left").select(
         "sheet", "sheet_date", F.coalesce(F.col("pool_member"), F.col("facility_id")).alias("facility_id"),
-        (F.col("dist").cast("decimal(24,2)") * share).cast(EXACT).alias("dist")
-    ).where(F.col("facility_id").isNotNull()) \
-        .groupBy("sheet", "sheet_date", "facility_id").agg(F.sum("dist").cast(EXACT).alias("dist_payment"))
+        (F.col("dist").cast("decimal(24,2)") * share).cast(EXACT).alias("dist"), "amount", "elsewhere")
+    return shared.groupBy("sheet", "sheet_date", "facility_id").agg(
+        F.sum("dist").cast(EXACT).alias("dist_payment"), F.sum("amount").alias("amount"), F.sum("elsewhere").alias("elsewhere"))
 
 
-def allocate_residual(measures: DataFrame, distributed: DataFrame, policies: Policies) -> DataFrame:
-    """What no posting explains, shared out per sheet and day.
+def split_pool_facility(measures: DataFrame, policies: Policies) -> DataFrame:
+    """Distributed payments per sheet, day and facility after the pool split; no facility, no row."""
+    return share_pool(measures, policies).where(F.col("facility_id").isNotNull()) \
+        .select("sheet", "sheet_date", "facility_id", "dist_payment")
+
+
+def _day_totals(shared: DataFrame, policies: Policies) -> DataFrame:
+    """``shared`` with residual and posted-elsewhere of the sheet's day on every row.
 
     residual = amount - distributed (- posted elsewhere, where the sheet shares
-    that out by its own list); a facility gets residual x residual share
-    + posted elsewhere x its elsewhere share.
+    that out by its own list). A day has at most one row per facility.
     """
-    days = measures.groupBy("sheet", "sheet_date").agg(F.sum("amount").alias("amount"), F.sum("elsewhere").alias("elsewhere"))
-    booked = distributed.groupBy("sheet", "sheet_date").agg(F.sum("dist_payment").alias("booked"))
+    day = Window.partitionBy("sheet", "sheet_date")
+    booked = F.coalesce(F.sum(F.when(F.col("facility_id").isNotNull(), F.col("dist_payment"))).over(day), F.lit(0))
     own = policies.sheets.select("sheet", "shares_elsewhere")
-    totals = days.join(booked, ["sheet", "sheet_date"], "left").join(own, "sheet")
-    zero = F.lit(0).cast(EXACT)
-    elsewhere = F.when(F.col("shares_elsewhere"), F.col("elsewhere").cast(EXACT)).otherwise(zero)
-    residual = F.col("amount").cast(EXACT) - F.coalesce(F.col("booked").cast(EXACT), zero) - elsewhere
-    # residuals have at most six decimals: four of the pool split's product, two spare
-    shared = totals.select("sheet", "sheet_date", residual.cast("decimal(24,6)").alias("residual"),
-                           elsewhere.cast("decimal(24,6)").alias("elsewhere")).join(policies.split, "sheet")
-    return shared.select(
-        "sheet", "sheet_date", "facility_id",
-        (F.col("residual") * F.col("residual_share") + F.col("elsewhere") * F.col("elsewhere_share"))
-        .cast(EXACT).alias("allocated_pmt"))
+    elsewhere = F.when(F.col("shares_elsewhere"), F.sum("elsewhere").over(day)).otherwise(F.lit(0))
+    return shared.join(own, "sheet").withColumns({
+        "_elsewhere": elsewhere.cast("decimal(24,6)"), "_amount": F.sum("amount").over(day).cast("decimal(24,6)"),
+        "_booked": booked.cast("decimal(24,6)")}).withColumn(
+        "_residual", (F.col("_amount") - F.col("_booked") - F.col("_elsewhere")).cast("decimal(24,6)"))
+
+
+def _allocated() -> Column:
+    return (F.col("_residual") * F.col("residual_share") + F.col("_elsewhere") * F.col("elsewhere_share")).cast(EXACT)
+
+
+def allocate_residual(measures: DataFrame, policies: Policies) -> DataFrame:
+    """What no posting explains, shared out per sheet and day.
+
+    A facility gets residual x residual share + posted elsewhere x elsewhere share.
+    """
+    totals = _day_totals(share_pool(measures, policies), policies).where(F.col("facility_id").isNull())
+    return totals.drop("facility_id").join(policies.split, "sheet").select(
+        "sheet", "sheet_date", "facility_id", _allocated().alias("allocated_pmt"))
 
 
 def facility_from_measures(measures: DataFrame, policies: Policies) -> DataFrame:
-    distributed = split_pool_facility(measures, policies)
-    allocated = allocate_residual(measures, distributed, policies)
+    """Allocated and distributed receipts together, from one pass over the measures.
+
+    Each day's row without a facility turns into one row per facility of the
+    sheet's split; the other rows keep their distributed payment.
+    """
+    is_day = F.col("facility_id").isNull()
+    split = policies.split.select(F.col("sheet").alias("_split_sheet"), F.col("facility_id").alias("_member"),
+                                  "residual_share", "elsewhere_share")
+    rows = _day_totals(share_pool(measures, policies), policies).withColumn("_day_sheet", F.when(is_day, F.col("sheet"))) \
+        .join(split, F.col("_day_sheet") == F.col("_split_sheet"), "left")
     zero = F.lit(0).cast(EXACT)
-    both = allocated.withColumn("dist_payment", zero).unionByName(distributed.withColumn("allocated_pmt", zero))
-    summed = both.groupBy("sheet", "sheet_date", "facility_id").agg(
+    summed = rows.select(
+        "sheet", "sheet_date", F.coalesce(F.col("_member"), F.col("facility_id")).alias("facility_id"),
+        F.when(is_day, _allocated()).otherwise(zero).alias("allocated_pmt"),
+        F.when(is_day, zero).otherwise(F.col("dist_payment")).alias("dist_payment")) \
+        .where(F.col("facility_id").isNotNull()).groupBy("sheet", "sheet_date", "facility_id").agg(
         F.sum("allocated_pmt").cast(EXACT).alias("allocated_pmt"), F.sum("dist_payment").cast(EXACT).alias("dist_payment"))
     return summed.select(
         "sheet_date", "allocated_pmt", F.col("facility_id").cast("int").alias("dist_facility_group_id"), "dist_payment",

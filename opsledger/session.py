@@ -58,3 +58,9 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so lost executors cannot change it."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as a table and read it back: later plans start from the files, not from its inputs."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
