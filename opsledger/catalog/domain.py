@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from opsledger.catalog.registry import Tables
 from opsledger.plans.policy import SINGLE_FACILITIES
 from opsledger.plans.report import calendar_between
+from opsledger.session import run_folder, stored
 
 REPORT_START = date(1996, 6, 1)
 AS_OF = date(1999, 6, 16)
@@ -151,9 +152,18 @@ TARGETS = """tgt AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_custke
     CAST(1000 + 10 * (o_custkey % 25) + day(o_orderdate) AS DOUBLE) AS target FROM orders)"""
 
 
+def _calendar(t: Tables, fact: DataFrame, day: Column) -> DataFrame:
+    """A stored calendar dimension over the days of a fact table."""
+    days = calendar_between(t.spark, fact.select(F.min(day)).scalar(), fact.select(F.max(day)).scalar())
+    return stored(days, run_folder(t.spark, "calendar"))
+
+
+def ship_calendar(t: Tables) -> DataFrame:
+    return _calendar(t, t.lineitem, F.col("l_shipdate").cast("date"))
+
+
 def order_calendar(t: Tables) -> DataFrame:
-    day = F.col("o_orderdate").cast("date")
-    return calendar_between(t.spark, t.orders.select(F.min(day)).scalar(), t.orders.select(F.max(day)).scalar())
+    return _calendar(t, t.orders, F.col("o_orderdate").cast("date"))
 
 
 def facilities(t: Tables) -> DataFrame:
@@ -252,8 +262,7 @@ def clinics(t: Tables) -> DataFrame:
 
 
 def event_calendar(t: Tables) -> DataFrame:
-    day = F.col("ts").cast("date")
-    return calendar_between(t.spark, t.events.select(F.min(day)).scalar(), t.events.select(F.max(day)).scalar())
+    return _calendar(t, t.events, F.col("ts").cast("date"))
 
 
 # ---- documents register -------------------------------------------------------------------------

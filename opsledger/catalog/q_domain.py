@@ -11,7 +11,7 @@ from opsledger.operators.aggregates import sum_by
 from opsledger.operators.joins import union_by_name
 from opsledger.plans import collections, contacts, documents, fees, maintenance, receipts, report, visits
 from opsledger.plans.policy import default_policies
-from opsledger.session import run_folder
+from opsledger.session import run_folder, stored
 from opsledger.sources.readers import read_delimited, read_partition
 from opsledger.sources.writers import append_table
 
@@ -190,29 +190,26 @@ def _facility_receipts(t: Tables) -> DataFrame:
     return _products(t)["facility_receipts"]
 
 
-def _base(t: Tables, facility_receipts: DataFrame) -> DataFrame:
+def _base(t: Tables, calendar: DataFrame, facility_receipts: DataFrame) -> DataFrame:
     ids = facility_receipts.select(F.col("dist_facility_group_id").alias("facility_group_id"))
-    return report.date_facility_base(D.order_calendar(t), D.bank_lines(t), ids)
+    return report.date_facility_base(calendar, D.bank_lines(t), ids)
 
 
 @query("d14_date_facility_base", D.with_tables(*D.RECEIPTS, D.CALENDAR, BASE) + "SELECT * FROM base")
 def d14(t: Tables) -> DataFrame:
-    return _base(t, _facility_receipts(t))
+    return _base(t, D.order_calendar(t), _facility_receipts(t))
 
 
-def _report_base(t: Tables) -> DataFrame:
+def _report_base(t: Tables, calendar: DataFrame) -> DataFrame:
     facility = _facility_receipts(t)
-    return with_money(report.collections_report_base(_base(t, facility), facility, D.deductions(t)), "amount")
+    base = report.collections_report_base(_base(t, calendar, facility), facility, D.deductions(t))
+    return with_money(stored(base, run_folder(t.spark, "report_base")), "amount")
 
 
 @query("d15_collections_report_base", D.with_tables(*REPORT_TABLES) + f"""
 SELECT date, facility_group_id, {sql_money('amount')} AS amount, CAST(deduct AS DOUBLE) AS deduct FROM rep""")
 def d15(t: Tables) -> DataFrame:
-    return _report_base(t)
-
-
-def _dense(t: Tables) -> DataFrame:
-    return report.densify_report(D.order_calendar(t), _report_base(t), D.facilities(t), D.REPORT_START)
+    return _report_base(t, D.order_calendar(t))
 
 
 DENSE_COLUMNS = """bank_dept_dt, bank_dept_calendar_week_id, bank_dept_year, bank_dept_period, bank_dept_week, facility_group_id,
@@ -221,7 +218,8 @@ DENSE_COLUMNS = """bank_dept_dt, bank_dept_calendar_week_id, bank_dept_year, ban
 
 @query("d16_densify_report", D.with_tables(*REPORT_TABLES) + f"SELECT {DENSE_COLUMNS} FROM dense")
 def d16(t: Tables) -> DataFrame:
-    return _dense(t)
+    calendar = D.order_calendar(t)
+    return report.densify_report(calendar, _report_base(t, calendar), D.facilities(t), D.REPORT_START)
 
 
 FLAGS = """CASE WHEN bank_dept_calendar_week_id < now.w THEN 1 ELSE 0 END AS week_closed,
@@ -379,10 +377,8 @@ SELECT assigned_to, scan_dt, document_id, reviewed_dt, review_flag, incref, revi
   TRY_CAST(nullif(regexp_extract(patient_id_name, '^(\\d+)', 1), '') AS BIGINT) AS patient_id,
   CAST(date_diff('day', DATE '1969-12-29', CAST(date_trunc('week', scan_dt) AS DATE)) // 7 AS BIGINT) AS scan_calendar_week_id FROM days""")
 def d25(t: Tables) -> DataFrame:
-    scan = F.col("l_shipdate").cast("date")
-    calendar = report.calendar_between(t.spark, t.lineitem.select(F.min(scan)).scalar(), t.lineitem.select(F.max(scan)).scalar())
     feed = documents.document_feed(D.register_export(t), D.AS_OF).drop("process_date")
-    return documents.document_sla(feed, calendar)
+    return documents.document_sla(feed, D.ship_calendar(t))
 
 
 # ---- fees -----------------------------------------------------------------------------------------

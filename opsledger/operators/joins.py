@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 # A key holding more than this share of the detail rows is spread over several tasks.
 HOT_KEY_SHARE = 1 / 256
 
+# Number of tasks that merge the sketches of frequent keys in a first step.
+SKETCH_GROUPS = 256
+
 
 def _unique(dim: DataFrame, keys: list[str], columns: list[str], on_duplicate: str) -> DataFrame:
     """``dim`` reduced to keys + columns, with repeated keys treated as asked."""
@@ -62,6 +65,27 @@ def lookup_inner(df: DataFrame, dim: DataFrame, keys: list[str], columns: list[s
     return _equi(df, _unique(dim, keys, columns, on_duplicate), keys, "inner", null_safe)
 
 
+def hot_key_chunks(df: DataFrame, key: str) -> DataFrame:
+    """One row with a map from each very frequent key to the number of chunks it should be cut into.
+
+    Frequent-item sketches are merged in two steps, so the number of sketches
+    that meet in one task does not grow with the number of input splits. The
+    counts are estimates; they decide how rows are spread, never which rows join.
+    """
+    sketched = df.where(F.col(key).isNotNull()) \
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g")).agg(
+        F.expr(f"approx_top_k({key}, 64, 4096)").alias("top"), F.count(F.lit(1)).alias("n"))
+    # the row without an item carries the number of rows
+    items = sketched.select(F.explode(F.concat(
+        F.expr("transform(top, x -> struct(x.item AS item, x.count AS n))"),
+        F.array(F.struct(F.lit(None).cast(df.schema[key].dataType).alias("item"), F.col("n"))))).alias("x")) \
+        .groupBy("x.item").agg(F.sum("x.n").alias("n"))
+    total = F.max(F.when(F.col("item").isNull(), F.col("n")))
+    seen = F.collect_list(F.when(F.col("item").isNotNull(), F.struct("item", "n")))
+    return items.agg(seen.alias("seen"), (total * HOT_KEY_SHARE).alias("unit")).select(F.map_from_entries(F.expr(
+        "transform(filter(seen, x -> x.n > unit), x -> struct(x.item, CAST(ceil(x.n / unit) AS INT)))")).alias("chunks"))
+
+
 def expand_detail_left(df: DataFrame, detail: DataFrame, key: str, never_match: list[int] = ()) -> DataFrame:
     """One-to-many left join of ``df`` with its details.
 
@@ -76,12 +100,7 @@ def expand_detail_left(df: DataFrame, detail: DataFrame, key: str, never_match:
     detail = detail.where(joinable)
     extra = [c for c in detail.columns if c != key]
 
-    sketch = F.expr(f"approx_top_k({key}, 64, 8192)")
-    hot = detail.agg(sketch.alias("top"), F.count(F.lit(1)).alias("total")).select(
-        F.map_from_entries(F.expr(
-            f"transform(filter(top, x -> x.count > total * {HOT_KEY_SHARE}), "
-            f"x -> struct(x.item, CAST(ceil(x.count / (total * {HOT_KEY_SHARE})) AS INT)))")).alias("m")
-    ).scalar()
+    hot = hot_key_chunks(detail, key).scalar()
 
     def chunks() -> Column:
         return F.coalesce(F.try_element_at(F.col("_hot"), F.col(key)), F.lit(1))

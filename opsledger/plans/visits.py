@@ -9,6 +9,7 @@ from opsledger.functions import scalars as X
 from opsledger.operators.joins import lookup_inner, lookup_left
 from opsledger.operators.schema import rename_map, select_existing
 from opsledger.operators.windows import category_rank
+from opsledger.session import reliable_checkpoint
 
 # Column names of the log export.
 LOG_NAMES = {
@@ -29,6 +30,8 @@ RAW_COLUMNS = [*LOG_NAMES.values(), "minutes_in_status", "source_file"]
 VISIT_COLUMNS = ["patient_id", "start_time", "appointment_date", "facility_group_id", "facility_group_name", "visit_id",
                  "visit_type", "end_time", "patient_time", "appointment_date_calendar_week_id", "pwt"]
 
+SPAN_KEYS = ["patient_id", "appointment_date", "facility_group_id", "facility_group_name", "visit_type"]
+
 STATUS_KEYS = ["facility_name", "resource_provider_name", "patient_id", "visit_type", "appointment_date", "status"]
 
 
@@ -66,18 +69,25 @@ def _time_then_minutes() -> Column:
     return (micros.cast("decimal(20,0)") * F.lit(10_000_000_000).cast("decimal(11,0)") + minutes).cast("decimal(38,0)")
 
 
-def visit_times(visits: DataFrame) -> DataFrame:
-    """One row per visit: first and last log time and the minutes of the last status.
+def log_spans(visits: DataFrame) -> DataFrame:
+    """First and last log time and last minutes per patient, day, clinic and visit type.
 
-    Only min, max and max_by are used, which combine before the shuffle: a
+    Only numbers and times are aggregated, in place and before the shuffle: a
     visit or clinic with very many log rows does not fill one task.
     """
-    return visits.groupBy("visit_id", "visit_id_group").agg(
+    return visits.groupBy(*SPAN_KEYS).agg(
         F.min("log_time").alias("start_time"), F.max("log_time").alias("end_time"),
-        F.max_by("minutes_in_status", _time_then_minutes()).alias("last_minutes"),
+        F.max_by("minutes_in_status", _time_then_minutes()).alias("last_minutes"))
+
+
+def visit_times(spans: DataFrame) -> DataFrame:
+    """One row per visit key. Clinics that share a prefix share the visit; the smaller group id names it."""
+    return spans.groupBy("visit_id", "visit_id_group").agg(
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
+        F.max_by("last_minutes", F.struct("end_time", "last_minutes")).alias("last_minutes"),
         F.min("patient_id").alias("patient_id"), F.min("appointment_date").alias("appointment_date"),
         F.min("facility_group_id").alias("facility_group_id"),
-        F.min_by("facility_group_name", "facility_group_id").alias("facility_group_name"),
+        F.min_by("facility_group_name", F.struct("facility_group_id", "facility_group_name")).alias("facility_group_name"),
         F.min("visit_type").alias("visit_type"))
 
 
@@ -99,7 +109,9 @@ def visit_wait_time(visits: DataFrame, clinics: DataFrame, calendar: DataFrame,
                     on_duplicate: str = "raise") -> DataFrame:
     """Minutes per visit and per visit group. ``clinics``: facility_name, facility_group_id, facility_group_name."""
     at_clinics = lookup_inner(visits, clinics, ["facility_name"], ["facility_group_id", "facility_group_name"], on_duplicate)
-    keyed = attach_visit_keys(category_rank(at_clinics, "visit_type", "visit_type_id"))
+    # the log is read once; ranking and the rest start from one row per visit
+    spans = reliable_checkpoint(log_spans(at_clinics))
+    keyed = attach_visit_keys(category_rank(spans, "visit_type", "visit_type_id"))
     timed = group_wait(visit_times(keyed)).withColumn("patient_time", X.minutes_between("start_time", "end_time"))
     return lookup_left(timed, _weeks(calendar), ["appointment_date"], ["appointment_date_calendar_week_id"],
                        on_duplicate).select(*VISIT_COLUMNS)

@@ -85,14 +85,16 @@ def jdbc_read_options(url: str, user: str, password: str, query: str | None = No
     """Options of a JDBC scan. A split scan needs a table (or a parenthesised subquery) and a column."""
     if (query is None) == (table is None):
         raise ValueError("give either a query or a table")
+    if query is not None:
+        query = query.strip().rstrip(";").rstrip()  # Spark wraps the text as a subquery
     options = {"url": url, "user": user, "password": password, "driver": driver, "fetchsize": str(fetchsize)}
     split = partition_column is not None and partitions is not None
     if split:
         options |= {"partitionColumn": partition_column, "lowerBound": str(lower),
                     "upperBound": str(upper), "numPartitions": str(partitions)}
-        options["dbtable"] = table or f"({query.rstrip().rstrip(';')}) AS q"
+        options["dbtable"] = table or f"({query}) AS q"
     elif query is not None:
-        options["query"] = query.rstrip().rstrip(";")
+        options["query"] = query
     else:
         options["dbtable"] = table
     return options

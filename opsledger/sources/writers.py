@@ -46,12 +46,15 @@ def size_report(df: DataFrame, target_mb: int = 256, fraction: float | None = No
 
     ``fraction`` measures the row size on a sample; the count is always exact.
     """
-    measured = df.sample(False, fraction, seed) if fraction else df
-    size = measured.agg(F.avg(X.record_bytes(*df.columns)).alias("b")).scalar()
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "n_rows", F.coalesce(size, F.lit(0.0)).alias("avg_row_bytes")).select(
-        "n_rows", "avg_row_bytes",
-        F.round(F.col("n_rows") * F.col("avg_row_bytes") / (1024 * 1024), 2).alias("size_mb")).withColumn(
+    width = F.avg(X.record_bytes(*df.columns))
+    rows = F.count(F.lit(1)).alias("n_rows")
+    if fraction:
+        sampled = df.sample(False, fraction, seed).agg(width.alias("b")).scalar()
+        sized = df.agg(rows).select("n_rows", sampled.alias("avg_row_bytes"))
+    else:
+        sized = df.agg(rows, width.alias("avg_row_bytes"))
+    return sized.select("n_rows", F.coalesce(F.col("avg_row_bytes"), F.lit(0.0)).alias("avg_row_bytes")).withColumn(
+        "size_mb", F.round(F.col("n_rows") * F.col("avg_row_bytes") / (1024 * 1024), 2)).withColumn(
         "n_partitions", F.greatest(F.ceil(F.col("size_mb") / target_mb), F.lit(1)).cast("int"))
 
 
