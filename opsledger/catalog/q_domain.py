@@ -351,7 +351,9 @@ def _contacts_out(df: DataFrame) -> DataFrame:
 def d23(t: Tables) -> DataFrame:
     path = run_folder(t.spark, "contact_export")
     contact_export(t).write.options(header=True, sep="\t", encoding="UTF-16LE", lineSep="\n").csv(path)
-    return _contacts_out(contacts.contact_feed(read_delimited(t.spark, path, encoding="UTF-16LE")))
+    raw_table, mart_table = run_folder(t.spark, "contacts_raw"), run_folder(t.spark, "contacts_mart")
+    contacts.store_contacts(read_delimited(t.spark, path, encoding="UTF-16LE"), [raw_table, mart_table])
+    return _contacts_out(t.spark.read.parquet(mart_table))
 
 
 # ---- documents ------------------------------------------------------------------------------------

@@ -121,7 +121,7 @@ def j7(t: Tables) -> DataFrame:
 
 
 @query("j8_policy_join", D.with_tables(D.LINES) + f"""
-SELECT line_id, fac AS facility_id, {sql_money('amount * share')} AS part FROM lines JOIN (VALUES ('W', 1, 0.80::DECIMAL(6,4)), ('W', 2, 0.20),
+SELECT line_id, CAST(fac AS BIGINT) AS facility_id, {sql_money('amount * share')} AS part FROM lines JOIN (VALUES ('W', 1, 0.80::DECIMAL(6,4)), ('W', 2, 0.20),
   ('G', 5, 1.00), ('C', 1, 0.43), ('C', 2, 0.21), ('C', 4, 0.08), ('C', 5, 0.19), ('C', 9, 0.09), ('C', 13, 0.00)) s(sheet, fac, share) ON sheet = sheetname""")
 def j8(t: Tables) -> DataFrame:
     split = default_policies(t.spark).split.withColumnRenamed("sheet", "sheetname")

@@ -155,10 +155,12 @@ def cross_fill(dates: DataFrame, members: DataFrame, date: str = "date") -> Data
 
     Each member writes out the span of dates itself, and an equi-join with the
     date table brings in its columns (and takes out days it does not have).
+    Members are spread first: few bytes of members become many rows.
     """
     lo = dates.select(F.min(date)).scalar()
     hi = dates.select(F.max(date)).scalar()
-    spans = members.withColumns({"_lo": lo, "_hi": hi}).where(F.col("_lo").isNotNull())
+    spread = members.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spans = spread.withColumns({"_lo": lo, "_hi": hi}).where(F.col("_lo").isNotNull())
     grid = spans.withColumn(date, F.explode(F.sequence("_lo", "_hi"))).drop("_lo", "_hi")
     return grid.join(dates, date)
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from opsledger.functions import scalars as X
 from opsledger.operators.schema import conform_schema, rename_map
+from opsledger.sources.writers import replace_table
 
 # Fixed value: date format of the export.
 DATE_FORMAT = "yyyy-MM-dd"
@@ -75,3 +76,12 @@ def contact_feed(raw: DataFrame, schema: T.StructType | None = None, date_format
     df = conform_schema(rename_map(raw, NAMES), schema, date_format, clean=cleaned)
     return df.withColumns({c: X.yes_no(c) for c in YES_NO_COLUMNS if c in df.columns})
 
+
+def store_contacts(raw: DataFrame, paths: list[str], refuse_empty: bool = True) -> None:
+    """The contact table in each of the given places, from one pass over the export."""
+    contacts = contact_feed(raw).persist()
+    try:
+        for path in paths:
+            replace_table(contacts, path, refuse_empty)
+    finally:
+        contacts.unpersist()

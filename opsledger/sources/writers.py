@@ -41,6 +41,26 @@ def write_partitioned(df: DataFrame, path: str, column: str, files_per_partition
         .partitionBy(column).parquet(path)
 
 
+# Null keys are never replaced: each load keeps its null-key rows under its own number.
+LOAD_COLUMN = "null_key_load"
+
+
+def replace_partitions(df: DataFrame, load_id: int, path: str, key: str) -> None:
+    """Keyed replacement in a table laid out by ``key``: only the partitions of the load are rewritten.
+
+    Old rows whose key is in ``df`` go, all rows of ``df`` come in; null keys
+    match nothing, so old null rows stay and new ones are added. A load that is
+    run again after a failure (same number) gives the same table.
+    """
+    numbered = df.withColumn(LOAD_COLUMN, F.when(F.col(key).isNull(), F.lit(load_id)).otherwise(F.lit(-1)))
+    numbered.hint("rebalance", F.col(key)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(key, LOAD_COLUMN).parquet(path)
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(LOAD_COLUMN)
+
+
 def size_report(df: DataFrame, target_mb: int = 256, fraction: float | None = None, seed: int = 0) -> DataFrame:
     """One row: rows, bytes per row as JSON, size and partitions of ``target_mb`` each.
 

@@ -2,24 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-# Null keys are never replaced: each batch keeps its null-key rows under its own number.
-BATCH_COLUMN = "null_key_batch"
-
-
-def replace_partitions(batch: DataFrame, batch_id: int, path: str, key: str) -> None:
-    """Keyed replacement in a table laid out by ``key``: only the partitions of the batch are rewritten.
-
-    A batch that is run again after a failure rewrites the same partitions, so
-    the result is the same.
-    """
-    numbered = batch.withColumn(BATCH_COLUMN, F.when(F.col(key).isNull(), F.lit(batch_id)).otherwise(F.lit(-1)))
-    numbered.hint("rebalance", F.col(key)).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(key, BATCH_COLUMN).parquet(path)
-
+from opsledger.sources.writers import replace_partitions
 
 def ingest_available_now(spark: SparkSession, source: str, target: str, checkpoint: str, key: str,
                          schema: T.StructType, fmt: str = "parquet", files_per_batch: int | None = None,
@@ -35,7 +21,3 @@ def ingest_available_now(spark: SparkSession, source: str, target: str, checkpoi
         .foreachBatch(lambda batch, batch_id: replace_partitions(batch, batch_id, target, key)).start()
     query.awaitTermination()
     return query
-
-
-def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop(BATCH_COLUMN)

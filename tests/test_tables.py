@@ -11,7 +11,7 @@ from opsledger import session as S
 from opsledger.operators import mutations as M
 from opsledger.plans import documents, maintenance
 from opsledger.sources import readers, sheets, writers
-from opsledger.streaming.ingest import ingest_available_now, read_ingested
+from opsledger.streaming.ingest import ingest_available_now
 
 D = dt.date
 
@@ -198,15 +198,31 @@ def test_ingest_once_replaces_keys_and_keeps_null_rows(spark, tmp_path):
     deliver((1, "a"), (2, "b"), (None, "n1"))
     deliver((2, "c"), (None, "n2"))
     wanted = Counter([("a", 1), ("c", 2), ("n1", None), ("n2", None)])
-    assert rows(read_ingested(spark, target).select("v", "k")) == wanted
+    assert rows(writers.read_keyed(spark, target).select("v", "k")) == wanted
     ingest_available_now(spark, source, target, state, "k", schema)  # nothing new
-    assert rows(read_ingested(spark, target).select("v", "k")) == wanted
+    assert rows(writers.read_keyed(spark, target).select("v", "k")) == wanted
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
-    from opsledger.streaming.ingest import replace_partitions
     target = str(tmp_path / "out")
     batch = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
     for _ in range(2):
-        replace_partitions(batch, 0, target, "k")
-    assert rows(read_ingested(spark, target).select("v", "k")) == Counter([("a", 1), ("n", None)])
+        writers.replace_partitions(batch, 0, target, "k")
+    assert rows(writers.read_keyed(spark, target).select("v", "k")) == Counter([("a", 1), ("n", None)])
+
+
+def test_bank_line_load_replaces_days(spark, tmp_path):
+    from opsledger.plans import collections
+    path = str(tmp_path / "lines")
+    first = spark.createDataFrame([(D(2024, 1, 1), "a"), (D(2024, 1, 2), "b"), (None, "n")], "sheet_date date, v string")
+    second = spark.createDataFrame([(D(2024, 1, 2), "c"), (D(2024, 1, 2), "d")], "sheet_date date, v string")
+    collections.load_bank_lines(first, 1, path)
+    out = collections.load_bank_lines(second, 2, path)
+    assert rows(out.select("v", "sheet_date")) == Counter([("a", D(2024, 1, 1)), ("c", D(2024, 1, 2)), ("d", D(2024, 1, 2)), ("n", None)])
+
+
+def test_contacts_go_to_every_place(spark, tmp_path):
+    from opsledger.plans import contacts
+    paths = [str(tmp_path / "raw"), str(tmp_path / "mart")]
+    contacts.store_contacts(spark.createDataFrame([("1",)], "`Patient ID` string"), paths)
+    assert [spark.read.parquet(p).select("patient_id").first()[0] for p in paths] == [1, 1]
