@@ -266,7 +266,8 @@ def collections_report(t: Tables) -> DataFrame:
 SELECT s.*, c.week AS sheet_week, c.period AS sheet_period, c.year AS sheet_year FROM ({SHEET_SELECT}) s
 LEFT JOIN cal c ON c.date = s.sheet_date""")
 def d19(t: Tables) -> DataFrame:
-    return with_money(report.sheet_report(_products(t)["sheet_receipts"], D.order_calendar(t)), *SHEET_MONEY)
+    sheets = receipts.sheet_collections(D.bank_lines(t), D.payment_details(t), default_policies(t.spark))
+    return with_money(report.sheet_report(sheets, D.order_calendar(t)), *SHEET_MONEY)
 
 
 # ---- visits ---------------------------------------------------------------------------------------

@@ -25,7 +25,8 @@ def load_bank_lines(lines: DataFrame, load_id: int, path: str) -> DataFrame:
 
 def receipt_tables(lines: DataFrame, detail: DataFrame, policies: Policies, root: str) -> dict[str, DataFrame]:
     """Measures, facility receipts and sheet receipts. The measures hold one row per sheet, day and facility."""
-    measures = stored(receipts.receipt_measures(lines, detail, policies), f"{root}/receipt_measures")
+    measures = stored(receipts.receipt_measures(lines, detail, policies), f"{root}/receipt_measures") \
+        .repartition(*receipts.DAY_KEYS)
     return {
         "receipt_measures": measures,
         "facility_receipts": stored(receipts.facility_from_measures(measures, policies), f"{root}/facility_receipts"),

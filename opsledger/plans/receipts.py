@@ -23,6 +23,8 @@ CENTS = "decimal(18,2)"
 
 MEASURES = ("amount", "dist", "elsewhere", "workload", "lag")
 
+DAY_KEYS = ("sheet", "sheet_date")
+
 LINE_COLUMNS = ["sheet_date", "description", "amount", "payment_id", "sheetname", "sheet_facility_group_id",
                 "check_account", "merchant_id", "facility", "merch_facility_group_id", "facility_group_id"]
 
@@ -122,18 +124,16 @@ def classify_receipts(detail_rows: DataFrame, policies: Policies) -> DataFrame:
 
 
 def _payment_parts(detail: DataFrame, excluded) -> DataFrame:
-    """Postings summed per payment and facility, one row per payment.
+    """Postings summed per payment and facility.
 
     The sum combines before the shuffle, so a payment with very many postings
-    arrives as a few rows; the list holds at most one entry per facility.
+    arrives at the join as at most one row per facility.
     """
-    per_facility = detail.where(F.col("payment_id").isNotNull() & ~F.col("payment_id").isin(*excluded)) \
+    return detail.where(F.col("payment_id").isNotNull() & ~F.col("payment_id").isin(*excluded)) \
         .groupBy("payment_id", "posted_facility_group_id").agg(
             F.sum("posted_payment").alias("posted"),
             F.count("posted_payment").alias("n_posted"),
             F.count_if(F.col("posted_payment").isNull()).alias("n_open"))
-    return per_facility.groupBy("payment_id").agg(
-        F.collect_list(F.struct("posted_facility_group_id", "posted", "n_posted", "n_open")).alias("parts"))
 
 
 def receipt_measures(lines: DataFrame, detail: DataFrame, policies: Policies, excluded=TYPE_CODES) -> DataFrame:
@@ -148,23 +148,19 @@ def receipt_measures(lines: DataFrame, detail: DataFrame, policies: Policies, ex
     can_match = F.col("single_facility").isNull() & F.col("payment_id").isNotNull() \
         & ~F.col("payment_id").isin(*excluded)
     parts = _payment_parts(detail, excluded)
-    matched = tagged.where(can_match).join(parts, "payment_id", "left")
-    # lines that cannot match a posting are not shuffled for the join
-    straight = tagged.where(~can_match | F.col("payment_id").isNull()) \
-        .withColumn("parts", F.lit(None).cast(parts.schema["parts"].dataType))
-
-    rows = matched.unionByName(straight).select("*", F.posexplode_outer("parts").alias("pos", "part"))
+    matched = tagged.where(can_match).join(parts, "payment_id", "left") \
+        .withColumn("own", F.lit(None).cast(CENTS)).withColumn("n_open", F.coalesce(F.col("n_open"), F.lit(1)))
+    # each line once for its own amount; lines that cannot match a posting end here, unshuffled
+    alone = tagged.withColumn("own", F.col("amount")).withColumn("n_open", F.when(can_match, 0).otherwise(1).cast("bigint"))
     zero = F.lit(0).cast(CENTS)
-    known = F.coalesce(F.col("amount"), zero)
     # one narrow row per line and part, with nothing but plain columns up to the first aggregate
-    narrow = rows.select(
-        "sheet", "sheet_date", "payment_id", "part.posted", "part.n_posted", "single_facility",
-        F.coalesce(F.col("forced_facility"), F.col("part.posted_facility_group_id")).alias("posted_facility"),
+    narrow = matched.unionByName(alone, allowMissingColumns=True).select(
+        "sheet", "sheet_date", "payment_id", "posted", "n_posted", "n_open",
+        F.coalesce(F.col("forced_facility"), F.col("posted_facility_group_id")).alias("posted_facility"),
         F.coalesce(F.col("single_facility"), F.col("forced_facility"), F.col("merch_facility_group_id")).alias("book_facility"),
-        F.coalesce(F.col("part.posted_facility_group_id") == F.col("pool_facility"), F.lit(False)).alias("pooled"),
-        F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, known).otherwise(zero).alias("amount"),
-        F.coalesce(F.col("part.n_open"), F.lit(1)).alias("n_open"),
-        (known * F.coalesce(F.col("part.n_open"), F.lit(1))).cast(CENTS).alias("open_amount"),
+        F.coalesce(F.col("posted_facility_group_id") == F.col("pool_facility"), F.lit(False)).alias("pooled"),
+        F.coalesce(F.col("own"), zero).alias("amount"),
+        (F.coalesce(F.col("amount"), zero) * F.col("n_open")).cast(CENTS).alias("open_amount"),
         (F.col("single_facility").isNotNull() | _merchant_books()).alias("booked"))
     classed = with_class(narrow, "open_class", [
         ("booked", F.col("booked")), ("elsewhere", _is_posted_elsewhere()),
@@ -188,8 +184,9 @@ def receipt_measures(lines: DataFrame, detail: DataFrame, policies: Policies, ex
     posted = contribution(F.col("posted_facility"), F.col("pooled"), dist=F.col("posted"))
     booked = contribution(F.col("book_facility"), F.col("pooled"), dist=F.col("booked"))
     contributions = F.array(day, F.when(F.col("n_posted") > 0, posted), F.when(F.col("n_booked") > 0, booked))
-    return sums.select("sheet", "sheet_date", F.explode(contributions).alias("c")).where(F.col("c").isNotNull()) \
-        .select("sheet", "sheet_date", "c.*").groupBy("sheet", "sheet_date", "facility_id", "pooled").agg(
+    # few rows by now; with a sheet's day in one place, no later grouping by more keys is shuffled again
+    return sums.repartition(*DAY_KEYS).select(*DAY_KEYS, F.explode(contributions).alias("c")).where(F.col("c").isNotNull()) \
+        .select(*DAY_KEYS, "c.*").groupBy(*DAY_KEYS, "facility_id", "pooled").agg(
         *[F.sum(m).alias(m) for m in MEASURES])
 
 
