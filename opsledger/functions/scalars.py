@@ -109,11 +109,24 @@ def prefix(col, length: int = 3) -> Column:
     return F.substring(_c(col), 1, length)
 
 
+def wall_seconds(col) -> Column:
+    """Whole seconds since year 1 of the wall-clock time.
+
+    Differences of zoneless timestamps are taken as intervals, because
+    ``timestampdiff`` reads them in the session's zone and its clock changes.
+    """
+    return (_c(col).cast("timestamp_ntz") - F.lit("0001-01-01").cast("timestamp_ntz")).cast("bigint")
+
+
+def wall_micros(col) -> Column:
+    """Microseconds since year 1 of the wall-clock time."""
+    in_minute = (F.extract(F.lit("SECOND"), _c(col).cast("timestamp_ntz")) * F.lit(1_000_000)).cast("bigint")
+    return wall_seconds(col) * F.lit(1_000_000) + F.pmod(in_minute, F.lit(1_000_000))
+
+
 def seconds_between(start, end) -> Column:
     """Whole seconds between two timestamps, each truncated to its second first."""
-    return F.timestamp_diff(
-        "SECOND", F.date_trunc("second", _c(start)).cast("timestamp_ntz"),
-        F.date_trunc("second", _c(end)).cast("timestamp_ntz"))
+    return wall_seconds(end) - wall_seconds(start)
 
 
 def minutes_between(start, end) -> Column:

@@ -64,7 +64,7 @@ def _time_then_minutes() -> Column:
     A number is kept in place by the hash aggregation; a struct would turn it
     into a sort of all log rows.
     """
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("log_time"))
+    micros = X.wall_micros("log_time")
     minutes = F.coalesce(F.col("minutes_in_status"), F.lit(-1)) + F.lit(1)
     return (micros.cast("decimal(20,0)") * F.lit(10_000_000_000).cast("decimal(11,0)") + minutes).cast("decimal(38,0)")
 

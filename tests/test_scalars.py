@@ -89,3 +89,16 @@ def test_flag_and_defaults(spark):
     df = spark.createDataFrame([(None,), (1,)], "v int")
     assert [r.o for r in df.select(X.flag(F.col("v") == 1).alias("o")).collect()] == [0, 1]
     assert [r.o for r in df.select(X.default("v", 0).alias("o")).collect()] == [0, 1]
+
+
+def test_seconds_do_not_depend_on_the_session_zone(spark):
+    """02:30 does not exist on that day in the zone below; wall-clock times have no such gap."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 01:30:00.7' AS a, timestamp_ntz'2024-03-10 02:30:00.2' AS b, "
+                       "timestamp_ntz'1969-12-31 23:59:59.5' AS c, timestamp_ntz'1970-01-01 00:00:00.5' AS d")
+        assert df.select(X.seconds_between("a", "b"), X.seconds_between("c", "d")).first() == (3600, 1)
+        assert df.select(X.wall_micros("b") - X.wall_micros("a"), X.wall_micros("d") - X.wall_micros("c")).first() == (3_599_500_000, 1_000_000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
