@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opsledger.llm import bpe_codec, token_counts
+from opsledger.llm import bpe_codec, line_dedup, quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +32,59 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_line_dedup(spark, folder):
+    found = line_dedup.remove_repeated_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op1_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+w AS (SELECT doc_id, i, array_to_string(l[i:i+2], chr(10)) AS t FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM d)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS n FROM w
+      WHERE regexp_matches(t, '[^\x20\x09-\x0D]')),
+c AS (SELECT DISTINCT doc_id, i + k AS i FROM r, (VALUES (0), (1), (2)) v(k) WHERE n > 1),
+x AS (SELECT d.doc_id, s.i, d.l[s.i] AS line, c.i IS NOT NULL AS gone
+      FROM d, unnest(range(1, len(d.l) + 1)) s(i) LEFT JOIN c ON c.doc_id = d.doc_id AND c.i = s.i),
+y AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM x)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed,
+       CAST(count(*) FILTER (opens) AS BIGINT) AS n_spans,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM y GROUP BY doc_id
+"""
+
+
+@query
+def op2_quality_rules(spark, folder):
+    return quality_rules.apply_rules(table(spark, folder, "documents"))
+
+
+SQL["op2_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+           FROM documents),
+p AS (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+q AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM p),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM q, (VALUES (0), (1), (2)) v(k) WHERE q.n > 1 GROUP BY doc_id),
+s AS (SELECT d.doc_id, t, w, l, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+             len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+      FROM d LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 6 * len(l)
+            OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
+            OR length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) < length(translate(t, 'abcdefghijklmnopqrstuvwxyz', ''))
+            OR 5 * (length(t) - length(replace(t, '!!', '!'))) > n_words
+            OR 10 * len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) < 6 * n_words
+            OR 10 * len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\r]*$'))) > 5 * len(l)) AS kept
+FROM b
+"""
+
+
 @query
 def op5_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
