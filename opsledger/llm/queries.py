@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm import bpe_codec, jaccard_join, line_dedup, quality_rules, token_counts
+from opsledger.llm import (bpe_codec, jaccard_join, line_dedup, quality_classifier, quality_rules, samples, token_counts,
+                           toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -93,7 +94,8 @@ def op3_jaccard_join(spark, folder):
 SQL["op3_jaccard_join"] = r"""
 WITH RECURSIVE w AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                                'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i+3], ' ') END AS g
       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM w WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -113,3 +115,19 @@ def op5_token_counts(spark, folder):
 @query
 def op6_bpe_codec(spark, folder):
     return bpe_codec.round_trip_digests(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op8_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit_on(docs, table(spark, folder, "labels"), samples.fold("doc_id", 3) != 1)
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", F.coalesce(samples.fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = quality_classifier.fit_on(docs, table(spark, folder, "labels"), samples.fold("doc_id", 5) != 0)
+    return quality_classifier.score_quality(docs, model).select(
+        "doc_id", F.coalesce(samples.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
