@@ -37,6 +37,32 @@ def map_documents(df: DataFrame, key: str, text: str, schema: str,
     return slim.mapInArrow(run, f"k {kind}, {out}").withColumnRenamed("k", fields[0].name)
 
 
+def with_columns(df: DataFrame, text: str, added: dict[str, str], start: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """``df`` with columns made from its texts; ``added`` gives their names and types, ``start`` is as above.
+
+    A column of ``df`` with the name of an added one is replaced, all others pass through.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+    kept = [c for c in df.columns if c not in added]
+    rows = df.select(F.col(f"`{text}`").cast("string").alias("c0"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)])
+    made = [(f"a{i}", kind) for i, kind in enumerate(added.values())]
+    plain = df.sparkSession.createDataFrame([], ", ".join(f"{n} {k}" for n, k in made)).schema
+    types = [to_arrow_type(f.dataType) for f in plain]
+    names = [f"k{i}" for i in range(len(kept))] + [n for n, _ in made]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            for part in slices(batch, 0):
+                columns = work(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *(pa.array(c, type=t) for c, t in zip(columns, types))],
+                                                 names=names)
+
+    schema = ", ".join([*(f"k{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(kept)),
+                        *(f"{n} {k}" for n, k in made)])
+    return rows.mapInArrow(run, schema).toDF(*kept, *added)
+
+
 def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch where its text column passes ``most_bytes``, so memory follows bytes and not row counts."""
     if batch.num_rows == 0:

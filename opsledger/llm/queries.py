@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm import (bpe_codec, jaccard_join, line_dedup, quality_classifier, quality_rules, samples, token_counts,
-                           toxicity)
+from opsledger.llm import (bpe_codec, decontamination, jaccard_join, line_dedup, quality_classifier, quality_rules, samples,
+                           token_counts, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -125,6 +125,11 @@ def op8_toxicity(spark, folder):
         "doc_id", F.coalesce(samples.fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@query
+def op9_decontamination(spark, folder):
+    return decontamination.benchmark_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op10_quality_classifier(spark, folder):
     docs = table(spark, folder, "documents")
