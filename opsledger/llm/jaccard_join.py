@@ -17,6 +17,8 @@ from opsledger.llm.shingles import mixed, shingle_set
 from opsledger.session import run_folder, stored
 
 _NONE = np.empty(0, np.uint64)
+#: Groups of up to this many candidates are checked pair by pair, and those of up to the second as one matrix.
+SMALL, MATRIX = 16, 2048
 
 
 class Bands:
@@ -76,6 +78,26 @@ class Bands:
         return np.concatenate(found) if found else _NONE
 
 
+    def fine_signatures(self, u: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        """(band, ``keep``, signatures) with four groups per possible difference, one signature for every group.
+
+        Linked sets agree in all but ``k`` of the groups, empty ones included. So of each set the ``keep`` = ``k`` + 1
+        signatures that are rarest in the corpus suffice: linked sets share one of those.
+        """
+        found = []
+        for band in range(self.band(len(u)), self.band(len(u) * 100 // self.percent) + 1):
+            k = self.shape(band)[0]
+            if k == 0:
+                continue
+            parts = 4 * (k + 1)
+            spread = mixed(u + np.uint64((band * 2 + 1) * 0xA0761D6478BD642F % (1 << 64)))
+            sums = np.zeros(parts, np.uint64)
+            np.add.at(sums, (spread >> np.uint64(20)) % np.uint64(parts), spread)
+            tags = np.arange(parts, dtype=np.uint64) + np.uint64(band << 32)
+            found.append((band, k + 1, mixed(sums + mixed(tags * np.uint64(0xE7037ED1A0B428DB) + np.uint64(1)))))
+        return found
+
+
 def signed_sets(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """``k`` (key), ``n`` (set size), 128-bit fingerprint ``h1``, ``h2`` and ``sigs`` per row of ``docs``.
 
@@ -117,21 +139,24 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -
         .join(texts.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb")
 
     def run(batches):
-        recent: OrderedDict[int, np.ndarray] = OrderedDict()
+        recent: OrderedDict[tuple[int, str], np.ndarray] = OrderedDict()
+        held = 0
 
-        def shingles(t: str) -> np.ndarray:
-            found = recent.get(h := hash(t))
-            if found is None or found[0] != t:
-                found = recent[h] = (t, shingle_set(t, words))
-                if len(recent) > 64:
-                    recent.popitem(last=False)
-            return found[1]
+        def shingles(k: int, t: str) -> np.ndarray:
+            nonlocal held
+            found = recent.get((k, t))
+            if found is None:
+                found = recent[k, t] = shingle_set(t, words)
+                held += len(found)
+                while held > 2_000_000 and len(recent) > 1:
+                    held -= len(recent.popitem(last=False)[1])
+            return found
 
         for batch in batches:
             for part in slices(batch, 2):
                 keep = []
-                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                    u, v = shingles(x), shingles(y)
+                for a, b, x, y in zip(*(part.column(i).to_pylist() for i in range(4))):
+                    u, v = shingles(a, x), shingles(b, y)
                     common = len(np.intersect1d(u, v, assume_unique=True))
                     keep.append(100 * common >= percent * (len(u) + len(v) - common))
                 yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -139,23 +164,49 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def rare_shared(texts: DataFrame, folder: str, words: int, percent: int) -> DataFrame:
+    """``sig``, ``rep`` of the rarest fine signatures of each text (``k``, ``t``), as far as two texts share them.
+
+    Frequencies are counted with partial sums per task; ranking them is work on the signatures of one text at a time.
+    """
+    def run(batches):
+        bands = Bands(percent)
+        for batch in batches:
+            for part in slices(batch, 1):
+                rep, keep, band, sigs = [], [], [], []
+                for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    for b, n, found in bands.fine_signatures(shingle_set(t, words)):
+                        rep.append(k), band.append(b), keep.append(n), sigs.append(found.view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(band, pa.int32()), pa.array(keep, pa.int32()),
+                                                  pa.array(sigs, pa.list_(pa.int64()))], names=["rep", "band", "keep", "sigs"])
+
+    made = stored(texts.mapInArrow(run, "rep bigint, band int, keep int, sigs array<bigint>"), f"{folder}/fine")
+    fine = made.select("rep", "band", "keep", F.explode("sigs").alias("sig"))
+    counts = stored(fine.groupBy("sig").agg(F.count(F.lit(1)).alias("m")), f"{folder}/fine_counts")
+    order = Window.partitionBy("rep", "band").orderBy("m", "sig")
+    return fine.join(counts, "sig").withColumn("rank", F.row_number().over(order)) \
+        .where("rank <= keep and m > 1").select("sig", "rep").distinct()
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4,
                        percent: int = 85) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id`` (smallest key reachable by links) per row of ``docs``.
 
     Two rows link when their sets of ``words``-word shingles have a Jaccard similarity of ``percent`` / 100 or more.
-    Equal sets form one class, which its smallest key stands for. Signatures of the classes give groups of
-    candidates; a round checks, in every group, the smallest class against the others that are not yet in its
-    component, exactly and on the texts, so a group of m costs m pairs a round and never all its pairs. The
-    smallest then leaves its group. Rounds end when every group lies in one component or has been worked off, so no
-    link between different texts is lost and nothing is capped.
+    Equal sets form one class, which its smallest key stands for. Classes that share a signature are candidates, and
+    only pairs from different components so far are checked, exactly and on the texts. Two rounds check one pivot per
+    group against its other members, which joins most copies. In groups of at most ``SMALL`` classes all pairs still
+    open follow. Classes in larger open groups are signed anew with fine signatures, of which each keeps its rarest,
+    so near copies that are not similar enough part company before any pair is made. Groups that are still larger are
+    compared as one matrix up to ``MATRIX`` members. Of yet larger ones ``SMALL`` pivots from the smallest components
+    are checked against the others in a round and then leave; rounds end when no group is open. No link between
+    different components is lost and nothing is capped.
 
     A null or empty text has an empty set and links with nothing. Rows that repeat a key count as one document;
     a row without key gets no component. Very long texts are whole sets like others. An empty table gives an
     empty table. Columns other than key and text are not read.
     """
-    spark = docs.sparkSession
-    folder = run_folder(spark, "jaccard")
+    folder = run_folder(docs.sparkSession, "jaccard")
     sets = stored(signed_sets(docs, key, text, words, percent), f"{folder}/sets")
     slim = sets.select("k", "n", "h1", "h2")
     classes = stored(slim.where("n > 0 and k is not null").groupBy("h1", "h2", "n").agg(F.min("k").alias("rep")),
@@ -164,45 +215,119 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     signed = sets.where("n > 0 and k is not null").select("h1", F.explode("sigs").alias("sig"))
     shared = stored(signed.withColumns({"lo": F.min("h1").over(group), "hi": F.max("h1").over(group)}).where("lo < hi")
                     .select("sig", "h1").distinct(), f"{folder}/shared")
-    members = stored(shared.join(classes.select("h1", "rep", "n"), "h1").select("sig", "rep", "n")
-                     .withColumn("c", F.col("rep")), f"{folder}/members0")
+    members = stored(shared.join(classes.select("h1", "rep"), "h1").select("sig", "rep"), f"{folder}/members")
     wanted = members.select(F.col("rep").alias("k")).distinct()
     texts = stored(docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
                    .join(wanted, "k", "left_semi"), f"{folder}/texts")
+    sizes = stored(classes.groupBy("rep").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+                   .join(wanted.select(F.col("k").alias("rep")), "rep", "left_semi"), f"{folder}/sizes")
+
+    def check(pairs: DataFrame, labels: DataFrame | None, name: str) -> DataFrame | None:
+        """The labels after the links among ``pairs`` have joined their components."""
+        a, b = (sizes.select(F.col("rep").alias(x), F.col("lo").alias(f"{x}_lo"), F.col("hi").alias(f"{x}_hi")) for x in "ab")
+        near = pairs.distinct().join(a, "a").join(b, "b").where(
+            (100 * F.col("a_hi") >= percent * F.col("b_lo")) & (100 * F.col("b_hi") >= percent * F.col("a_lo"))).select("a", "b")
+        links = stored(linked_pairs(near, texts, words, percent), f"{folder}/links_{name}")
+        return labels if links.isEmpty() else _joined_labels(labels, links, f"{folder}/labels_{name}")
+
     labels = None
+    for turn in (1, 2):
+        known, opened = _open_groups(members, labels, f"{folder}/star{turn}")
+        pairs, members = _pivot_pairs(known, opened, 1, f"{folder}/star{turn}")
+        labels = check(pairs, labels, f"star{turn}")
+    known, opened = _open_groups(members, labels, f"{folder}/coarse")
+    labels = check(_small_pairs(known, opened), labels, "coarse")
+    large = known.join(opened.where(F.col("m") > SMALL), "sig").select(F.col("rep").alias("k")).distinct()
+    members = stored(rare_shared(stored(texts.join(large, "k", "left_semi"), f"{folder}/large"), folder, words, percent),
+                     f"{folder}/rare")
     turn = 0
     while not members.isEmpty():
         turn += 1
-        opened = stored(members.groupBy("sig").agg(F.min("rep").alias("a"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-                        .where("lo < hi").select("sig", "a"), f"{folder}/opened{turn}")
-        rest = stored(members.join(opened, "sig").where("rep > a"), f"{folder}/rest{turn}")
-        lead = opened.select("a").distinct().join(
-            classes.groupBy(F.col("rep").alias("a")).agg(F.min("n").alias("na_lo"), F.max("n").alias("na_hi")), "a")
-        if labels is not None:
-            lead = lead.join(labels.select(F.col("v").alias("a"), F.col("label").alias("ca")), "a", "left")
-        else:
-            lead = lead.withColumn("ca", F.lit(None).cast("bigint"))
-        lead = stored(lead, f"{folder}/lead{turn}")
-        pairs = rest.select("a", F.col("rep").alias("b"), "n", "c").distinct().join(lead, "a") \
-            .where((F.coalesce("ca", "a") != F.col("c")) & (100 * F.col("na_hi") >= percent * F.col("n"))
-                   & (100 * F.col("n") >= percent * F.col("na_lo"))).select("a", "b").distinct()
-        links = stored(linked_pairs(pairs, texts, words, percent), f"{folder}/links{turn}")
-        if not links.isEmpty():
-            labels = _joined_labels(labels, links, f"{folder}/labels{turn}")
-        members = rest.select("sig", "rep", "n", "c")
-        if labels is not None:
-            members = members.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left") \
-                .select("sig", "rep", "n", F.coalesce("label", "c").alias("c"))
-        members = stored(members, f"{folder}/members{turn}")
-    known = classes.select("h1", "h2", "n", "rep")
+        known, opened = _open_groups(members, labels, f"{folder}/fine{turn}")
+        together = stored(_group_links(known, opened, texts, words, percent), f"{folder}/links_groups{turn}")
+        if not together.isEmpty():
+            labels = _joined_labels(labels, together, f"{folder}/labels_groups{turn}")
+        pairs, members = _pivot_pairs(known, opened.where(F.col("m") > MATRIX), SMALL, f"{folder}/fine{turn}")
+        labels = check(pairs.union(_small_pairs(known, opened)), labels, f"fine{turn}")
+    found = classes
     if labels is not None:
-        known = known.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left") \
+        found = classes.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left") \
             .select("h1", "h2", "n", F.coalesce("label", "rep").alias("rep"))
-    result = slim.join(known, ["h1", "h2", "n"], "left")
+    result = slim.join(found, ["h1", "h2", "n"], "left")
     return result.select(F.col("k").alias(key), F.col("n").alias("n_shingles"),
                          F.when(F.col("k").isNotNull(), F.coalesce("rep", "k")).alias("component_id"))
 
 
+def _open_groups(members: DataFrame, labels: DataFrame | None, path: str) -> tuple[DataFrame, DataFrame]:
+    """``members`` (``sig``, ``rep``) with component ``c``, and ``sig`` and size ``m`` of groups over several components."""
+    if labels is None:
+        known = members.withColumn("c", F.col("rep"))
+    else:
+        known = members.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left") \
+            .select("sig", "rep", F.coalesce("label", "rep").alias("c"))
+    known = stored(known, f"{path}_known")
+    opened = known.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    return known, stored(opened.where("lo < hi").select("sig", "m"), f"{path}_opened")
+
+
+def _pivot_pairs(known: DataFrame, opened: DataFrame, pivots: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs of up to ``pivots`` members of each open group with the members of other components; the members left.
+
+    Pivots come from the components with the fewest members in the group, so stragglers are compared with the bulk
+    and leave it, not the other way round. They are picked by aggregation with partial results.
+    """
+    inside = stored(known.join(opened.select("sig"), "sig"), f"{path}_inside")
+    share = stored(inside.groupBy("sig", "c").agg(F.count(F.lit(1)).alias("n")), f"{path}_share")
+    ranked = inside.join(share, ["sig", "c"]).withColumn("order", F.col("n").cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast(
+        "decimal(20,0)") + F.col("rep").cast("decimal(20,0)"))
+    picked = ranked.groupBy("sig", F.pmod(F.xxhash64("rep"), F.lit(pivots)).alias("cell")).agg(F.min("order").alias("order"))
+    lead = stored(ranked.join(picked.select("sig", "order"), ["sig", "order"]).select("sig", F.col("rep").alias("p"),
+                                                                                     F.col("c").alias("pc")), f"{path}_lead")
+    pairs = inside.join(lead, "sig").where("c <> pc").select(F.least("p", "rep").alias("a"), F.greatest("p", "rep").alias("b"))
+    rest = inside.join(lead.select("sig", F.col("p").alias("rep")), ["sig", "rep"], "left_anti").select("sig", "rep")
+    return pairs.distinct(), stored(rest, f"{path}_rest")
+
+
+def _group_links(known: DataFrame, opened: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """One link ``a``, ``b`` per pair of linked components within open groups of ``SMALL`` to ``MATRIX`` members.
+
+    The common shingles of all members of such a group are counted by one matrix product, in slices of the shingles
+    that two members share, so no row per pair is made.
+    """
+    rows = known.join(opened.where(F.col("m").between(SMALL + 1, MATRIX)).select("sig"), "sig") \
+        .join(texts.select(F.col("k").alias("rep"), "t"), "rep").select("sig", "rep", "c", "t")
+
+    def links(table: pa.Table) -> pa.Table:
+        rep, c = (np.array(table.column(i).to_pylist(), np.int64) for i in (1, 2))
+        sets = [shingle_set(t, words) for t in table.column(3).to_pylist()]
+        sizes = np.array([len(u) for u in sets])
+        names, inverse, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        column = np.cumsum(seen > 1) - 1
+        column[seen < 2] = -1
+        column, owner = column[inverse], np.repeat(np.arange(len(sets)), sizes)
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        for lo in range(0, int((seen > 1).sum()), 4096):
+            here = (column >= lo) & (column < lo + 4096)
+            x = np.zeros((len(sets), 4096), np.float32)
+            x[owner[here], column[here] - lo] = 1
+            common += x @ x.T
+        union = sizes[:, None] + sizes[None, :] - common
+        i, j = np.nonzero((100 * common.astype(np.float64) >= percent * union) & (c[:, None] < c[None, :]))
+        one = np.unique(np.stack([c[i], c[j]]), axis=1, return_index=True)[1] if len(i) else np.empty(0, np.int64)
+        return pa.table({"a": pa.array(rep[i[one]]), "b": pa.array(rep[j[one]])})
+
+    return rows.groupBy("sig").applyInArrow(links, "a bigint, b bigint").distinct()
+
+
+def _small_pairs(known: DataFrame, opened: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b`` from different components within the open groups of 2 to ``SMALL`` members."""
+    small = known.join(opened.where(F.col("m") <= SMALL).select("sig"), "sig")
+    listed = small.groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("rep", "c"))).alias("r"))
+    pairs = F.transform("r", lambda x, i: F.transform(F.filter(F.slice("r", i + 2, SMALL), lambda y: y["c"] != x["c"]),
+                                                      lambda y: F.struct(x["rep"].alias("a"), y["rep"].alias("b"))))
+    return listed.select(F.inline(F.flatten(pairs))).distinct()
+
+
 def _joined_labels(labels: DataFrame | None, links: DataFrame, path: str) -> DataFrame:
     """Component labels of all vertices linked so far, from the labels before and new links."""
     if labels is None:
