@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm import (bpe_codec, decontamination, jaccard_join, line_dedup, quality_classifier, quality_rules, samples,
-                           token_counts, toxicity)
+from opsledger.llm import (bpe_codec, decontamination, jaccard_join, line_dedup, quality_classifier, quality_rules, repeated_bytes,
+                           samples, token_counts, toxicity, training_order)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -107,6 +107,12 @@ FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GRO
 """
 
 
+@query
+def op4_training_order(spark, folder):
+    """The index of the shards that it writes: one row per sequence."""
+    return training_order.write_shards(table(spark, folder, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))[0]
+
+
 @query
 def op5_token_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -117,6 +123,11 @@ def op6_bpe_codec(spark, folder):
     return bpe_codec.round_trip_digests(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op7_repeated_bytes(spark, folder):
+    return repeated_bytes.remove_repeated_bytes(table(spark, folder, "documents")).drop("spans")
+
+
 @query
 def op8_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
