@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def frees_memory(run: Callable) -> Callable:
+    """A task function that gives memory back at its end: Python workers outlive tasks and share a machine with joins."""
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return wrapped
+
+
 def map_documents(df: DataFrame, key: str, text: str, schema: str,
                   start: Callable[[], Callable[[list], list]]) -> DataFrame:
     """One output row per input row: ``key`` and what ``start()`` makes of the texts.
@@ -22,6 +40,7 @@ def map_documents(df: DataFrame, key: str, text: str, schema: str,
     fields = slim.sparkSession.createDataFrame([], schema).schema
     names = [f.name for f in fields][1:]
 
+    @frees_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
@@ -50,6 +69,7 @@ def with_columns(df: DataFrame, text: str, added: dict[str, str], start: Callabl
     types = [to_arrow_type(f.dataType) for f in plain]
     names = [f"k{i}" for i in range(len(kept))] + [n for n, _ in made]
 
+    @frees_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
@@ -63,7 +83,7 @@ def with_columns(df: DataFrame, text: str, added: dict[str, str], start: Callabl
     return rows.mapInArrow(run, schema).toDF(*kept, *added)
 
 
-def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch where its text column passes ``most_bytes``, so memory follows bytes and not row counts."""
     if batch.num_rows == 0:
         return

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opsledger.llm.arrow import slices
+from opsledger.llm.arrow import frees_memory, slices
 from opsledger.llm.components import components
 from opsledger.llm.shingles import mixed, shingle_set
 from opsledger.session import run_folder, stored
@@ -106,6 +106,7 @@ def signed_sets(docs: DataFrame, key: str, text: str, words: int, percent: int)
     """
     slim = docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
 
+    @frees_memory
     def run(batches):
         bands = Bands(percent)
         signed: set[tuple[int, int]] = set()
@@ -138,6 +139,7 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -
     both = pairs.join(texts.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b") \
         .join(texts.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb")
 
+    @frees_memory
     def run(batches):
         recent: OrderedDict[tuple[int, str], np.ndarray] = OrderedDict()
         held = 0
@@ -169,6 +171,7 @@ def rare_shared(texts: DataFrame, folder: str, words: int, percent: int) -> Data
 
     Frequencies are counted with partial sums per task; ranking them is work on the signatures of one text at a time.
     """
+    @frees_memory
     def run(batches):
         bands = Bands(percent)
         for batch in batches:

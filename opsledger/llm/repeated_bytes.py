@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsledger.llm.arrow import slices
+from opsledger.llm.arrow import frees_memory, slices
 from opsledger.llm.shingles import mixed
 from opsledger.session import run_folder, stored
 
@@ -84,6 +84,7 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
         begin = (ends - [len(r) for r in raws])[owner]
         return [owner, anchor - begin + np.array(base)[owner], anchor - first, last - first, gram.view(np.int64), ctx.view(np.int64)]
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2, CHUNK):
@@ -198,6 +199,7 @@ def _first_pass(joined: DataFrame, length: int) -> DataFrame:
     """Finish texts without open or model anchors; keep text, spans so far and those anchors of the others."""
     names = ["k", "f", "n_bytes", "n_removed", "spans", "kept_sha256", "t", "pieces"]
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2):
@@ -230,6 +232,7 @@ def _blocks(rest: DataFrame, length: int) -> DataFrame:
     ``whole`` is null where the union would pass a border of the text. ``lo`` to ``hi`` are the offsets of the windows
     that belong to the anchor.
     """
+    @frees_memory
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2, CHUNK):
@@ -259,6 +262,7 @@ def _blocks(rest: DataFrame, length: int) -> DataFrame:
 
 def _windows(rest: DataFrame, length: int) -> DataFrame:
     """One row per single window of the blocks in ``pieces``: anchor, offset ``o`` and digest."""
+    @frees_memory
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2, CHUNK):
@@ -279,6 +283,7 @@ def _windows(rest: DataFrame, length: int) -> DataFrame:
 
 def _last_pass(joined: DataFrame) -> DataFrame:
     """Finish the texts that had open anchors."""
+    @frees_memory
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2):

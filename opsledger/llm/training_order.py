@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opsledger.llm.arrow import slices
+from opsledger.llm.arrow import frees_memory, slices
 from opsledger.llm.shingles import mixed
 from opsledger.session import run_folder
 
@@ -74,6 +74,7 @@ def pack_sequences(docs: DataFrame, vocabulary: str, key: str, text: str, tokens
     """
     slim = docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
 
+    @frees_memory
     def run(batches):
         model = encoding(vocabulary)
         end = np.array([model.n_vocab], np.uint16)
@@ -139,6 +140,7 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str | None = None, ke
     order = Permutation(size, seed)
 
     def placed(columns: list[str], schema: str, change=lambda c: c) -> DataFrame:
+        @frees_memory
         def run(batches):
             for batch in batches:
                 slot = order.slots(batch.column(0).to_numpy()) if batch.num_rows else np.empty(0, np.int64)
@@ -151,6 +153,7 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str | None = None, ke
             squeeze = zstandard.ZstdCompressor(level=1).compress
             return pa.array([squeeze(b) for b in column.to_pylist()], pa.binary())
 
+        @frees_memory
         def unpack(batches):
             stretch = zstandard.ZstdDecompressor().decompress
             for batch in batches:
@@ -177,6 +180,7 @@ def read_slots(spark: SparkSession, shards: Shards, first: int = 0) -> DataFrame
     files = spark.read.format("binaryFile").load(paths).select(
         F.regexp_extract("path", r"shard=(\d+)", 1).cast("bigint").alias("shard"), "content")
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
