@@ -199,13 +199,15 @@ def a8(t: Tables) -> DataFrame:
     return A.distinct_keys(t.lineitem, "l_suppkey", "l_returnflag")
 
 
-@query("a9_one_per_key", "SELECT l_orderkey, min(l_partkey) AS l_partkey, min(l_shipdate) AS l_shipdate FROM lineitem GROUP BY ALL")
+@query("a9_one_per_key", """SELECT l_orderkey, l_linestatus, l_partkey, l_shipdate FROM (SELECT *, row_number() OVER (
+PARTITION BY l_orderkey ORDER BY l_linestatus, l_partkey, l_shipdate) AS r FROM lineitem) WHERE r = 1""")
 def a9(t: Tables) -> DataFrame:
-    return A.one_per_key(t.lineitem, ["l_orderkey"], ["l_partkey", "l_shipdate"])
+    return A.one_per_key(t.lineitem, ["l_orderkey"], ["l_linestatus", "l_partkey", "l_shipdate"])
 
 
 @query("a10_first_last_by", """SELECT f.*, l.event_type, l.value FROM (SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY ALL) f
-JOIN (SELECT user_id, CAST(ts AS DATE) AS day, arg_max(event_type, ts) AS event_type, arg_max(value, ts) AS value FROM events GROUP BY ALL) l USING (user_id, day)""")
+JOIN (SELECT user_id, CAST(ts AS DATE) AS day, event_type, value, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
+  ORDER BY ts DESC, event_type DESC, value DESC) AS r FROM events) l ON l.user_id = f.user_id AND l.day = f.day AND l.r = 1""")
 def a10(t: Tables) -> DataFrame:
     days = t.events.withColumn("day", F.col("ts").cast("date"))
     latest = A.latest_by(days, ["user_id", "day"], "ts", ["event_type", "value"]).drop("ts")
@@ -276,8 +278,8 @@ def w1(t: Tables) -> DataFrame:
 first_value(value) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, value DESC) AS last_value FROM events""")
 def w2(t: Tables) -> DataFrame:
     days = t.events.withColumn("day", F.col("ts").cast("date"))
-    return W.attach_group_values(days, ["user_id", "day"], first_value=F.min_by("value", F.struct("ts", "value")),
-                                 last_value=F.max_by("value", F.struct("ts", "value"))).select("event_id", "first_value", "last_value")
+    return W.attach_first_last(days, ["user_id", "day"], "ts", "value", "first_value", "last_value") \
+        .select("event_id", "first_value", "last_value")
 
 
 @query("w3_group_min_max", f"""SELECT {LINE_KEYS}, min(l_shipdate) OVER (PARTITION BY l_orderkey) AS lo, max(l_shipdate) OVER (PARTITION BY l_orderkey) AS hi FROM lineitem""")
@@ -316,14 +318,17 @@ def o2(t: Tables) -> DataFrame:
     return W.ordered(a2(t), "sheet_date", "merch_facility_group_id")
 
 
-@query("o3_top_per_group", """SELECT user_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type, arg_max(value, ts) AS value FROM events GROUP BY ALL""")
+@query("o3_top_per_group", """SELECT user_id, date_trunc('month', ts) AS ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+ORDER BY date_trunc('month', ts) DESC, event_type DESC, value DESC) AS r FROM events) WHERE r = 1""")
 def o3(t: Tables) -> DataFrame:
-    return A.latest_by(t.events, ["user_id"], "ts", ["event_type", "value"])
+    months = t.events.withColumn("ts", F.date_trunc("month", "ts"))  # many ties
+    return A.latest_by(months, ["user_id"], "ts", ["event_type", "value"])
 
 
-@query("o5_bounded_sample")
+@query("o5_hash_sample", f"""SELECT {LINE_KEYS} FROM lineitem
+WHERE substr(md5(concat_ws(',', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))), 1, 4) < '028f'""")
 def o5(t: Tables) -> DataFrame:
-    return W.bounded_sample(t.lineitem.select(*LINE_KEY_LIST), 0.01, 10_000, seed=7)
+    return W.hash_sample(t.lineitem.select(*LINE_KEY_LIST), ["l_orderkey", "l_linenumber"], 0.01)
 
 
 # ---- set operators --------------------------------------------------------------------------------

@@ -159,7 +159,7 @@ def k5(t: Tables) -> DataFrame:
 KEYED_SQL = """old AS (SELECT line_id, CASE WHEN payment_id <> 3 THEN year(sheet_date) * 100 + month(sheet_date) END AS period, amount
   FROM lines WHERE sheetname <> 'W'),
 new AS (SELECT line_id, CASE WHEN payment_id <> 3 THEN year(sheet_date) * 100 + month(sheet_date) END AS period, amount + 1 AS amount
-  FROM lines WHERE sheetname = 'G' AND sheet_date >= DATE '1998-07-01')"""
+  FROM lines WHERE sheetname = 'G')"""
 
 
 @query("k5_upsert_stored_partitions", D.with_tables(D.LINES, KEYED_SQL) + f"""
@@ -170,7 +170,7 @@ def k5_stored(t: Tables) -> DataFrame:
     period = F.when(F.col("payment_id") != 3, F.year("sheet_date") * 100 + F.month("sheet_date"))
     rows = D.bank_lines(t).withColumn("period", period)
     old = rows.where(F.col("sheetname") != "W").select("line_id", "period", "amount")
-    new = rows.where((F.col("sheetname") == "G") & (F.col("sheet_date") >= "1998-07-01")).select(
+    new = rows.where(F.col("sheetname") == "G").select(
         "line_id", "period", (F.col("amount") + 1).cast("decimal(18,2)").alias("amount"))
     for load_id, load in ((0, old), (1, new), (1, new)):  # the second load is run again
         writers.replace_partitions(load, load_id, path, "period")
@@ -217,7 +217,7 @@ def k9(t: Tables) -> DataFrame:
 
 INGEST_SQL = """drops AS (SELECT o_orderkey AS line_id, CASE WHEN o_orderpriority <> '5-LOW' THEN year(o_orderdate) * 100 + month(o_orderdate) END AS period,
   o_orderstatus AS s FROM orders), first AS (SELECT line_id, period, 1 AS delivery FROM drops WHERE s <> 'P'),
-second AS (SELECT line_id, period, 2 AS delivery FROM drops WHERE s = 'P' AND (period >= 199801 OR period IS NULL))"""
+second AS (SELECT line_id, period, 2 AS delivery FROM drops WHERE s = 'P')"""
 
 
 @query("k10_incremental_batch_ingest", D.with_tables(INGEST_SQL) + """
@@ -229,7 +229,7 @@ def k10(t: Tables) -> DataFrame:
     period = F.when(F.col("o_orderpriority") != "5-LOW", F.year("o_orderdate") * 100 + F.month("o_orderdate"))
     rows = t.orders.select(F.col("o_orderkey").alias("line_id"), period.alias("period"), F.col("o_orderstatus").alias("s"))
     first = rows.where(F.col("s") != "P").withColumn("delivery", F.lit(1))
-    second = rows.where((F.col("s") == "P") & (F.coalesce(F.col("period"), F.lit(999999)) >= 199801)).withColumn("delivery", F.lit(2))
+    second = rows.where(F.col("s") == "P").withColumn("delivery", F.lit(2))
     schema = T.StructType.fromDDL("line_id bigint, period int, delivery int")
     for delivery in (first, second, None):
         if delivery is not None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsledger.operators.windows import top_row
+
 
 def sum_by(df: DataFrame, keys: list[str], measures: list[str], drop_null_keys: bool = True) -> DataFrame:
     """Sums that are 0 for nothing; rows with a null key are left out unless asked for."""
@@ -34,8 +36,8 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def one_per_key(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """One row per key with the smallest value of each other column: repeatable, unlike keep-any."""
-    return df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in columns])
+    """One whole row per key, the smallest by ``columns`` in their order: repeatable, unlike keep-any."""
+    return top_row(df.select(*keys, *columns), keys, [F.col(c).asc_nulls_last() for c in columns])
 
 
 def first_last_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -43,15 +45,13 @@ def first_last_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def latest_by(df: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
-    """Values of the row latest by ``order``; equal orders are settled by the larger value."""
-    return df.groupBy(*keys).agg(
-        F.max(order).alias(order),
-        *[F.max_by(F.col(c), F.struct(F.col(order), F.col(c))).alias(c) for c in columns])
+    """The whole row latest by ``order``; equal orders are settled by the larger ``columns``, in their order."""
+    return top_row(df.select(*keys, order, *columns), keys, [F.col(c).desc_nulls_last() for c in (order, *columns)])
 
 
 def value_at_top(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
     """The ``value`` of the row with the largest ``order`` (ties: the larger value)."""
-    return df.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(F.col(order), F.col(value))).alias(out))
+    return latest_by(df, keys, order, [value]).select(*keys, F.col(value).alias(out))
 
 
 def pivot_fixed(df: DataFrame, index: list[str], column: str, values: list[str], measure: str,

@@ -12,12 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key holding more than this share of the detail rows is spread over several tasks.
-HOT_KEY_SHARE = 1 / 256
-
-# Number of tasks that merge the sketches of frequent keys in a first step.
-SKETCH_GROUPS = 256
+# A key with more detail rows than this is spread over several tasks, however large the table is.
+ROWS_PER_TASK = 1_000_000
 
 
 def _unique(dim: DataFrame, keys: list[str], columns: list[str], on_duplicate: str) -> DataFrame:
@@ -32,7 +30,7 @@ def _unique(dim: DataFrame, keys: list[str], columns: list[str], on_duplicate: s
         return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in columns])
     if on_duplicate != "raise":
         raise ValueError(f"on_duplicate must be raise, first or fanout, not {on_duplicate!r}")
-    grouped = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in columns])
+    grouped = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in columns])
     complain = F.raise_error(F.concat(F.lit("lookup key repeats: "), F.to_json(F.struct(*keys))))
 
     def checked(c: str) -> Column:
@@ -65,34 +63,30 @@ def lookup_inner(df: DataFrame, dim: DataFrame, keys: list[str], columns: list[s
     return _equi(df, _unique(dim, keys, columns, on_duplicate), keys, "inner", null_safe)
 
 
-def hot_key_chunks(df: DataFrame, key: str) -> DataFrame:
-    """One row with a map from each very frequent key to the number of chunks it should be cut into.
+def hot_key_chunks(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """One row with a map from each frequent key to the number of chunks it should be cut into.
 
-    Frequent-item sketches are merged in two steps, so the number of sketches
-    that meet in one task does not grow with the number of input splits. The
-    counts are estimates; they decide how rows are spread, never which rows join.
+    The unit of a chunk is ``rows_per_task`` rows, or the mean of a shuffle partition where that is less. Counts are
+    exact and summed per task first; as a listed key holds more than a unit, there are at most as many of them as
+    the table has units.
     """
-    sketched = df.where(F.col(key).isNotNull()) \
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g")).agg(
-        F.expr(f"approx_top_k({key}, 64, 4096)").alias("top"), F.count(F.lit(1)).alias("n"))
-    # the row without an item carries the number of rows
-    items = sketched.select(F.explode(F.concat(
-        F.expr("transform(top, x -> struct(x.item AS item, x.count AS n))"),
-        F.array(F.struct(F.lit(None).cast(df.schema[key].dataType).alias("item"), F.col("n"))))).alias("x")) \
-        .groupBy("x.item").agg(F.sum("x.n").alias("n"))
-    total = F.max(F.when(F.col("item").isNull(), F.col("n")))
-    seen = F.collect_list(F.when(F.col("item").isNotNull(), F.struct("item", "n")))
-    return items.agg(seen.alias("seen"), (total * HOT_KEY_SHARE).alias("unit")).select(F.map_from_entries(F.expr(
-        "transform(filter(seen, x -> x.n > unit), x -> struct(x.item, CAST(ceil(x.n / unit) AS INT)))")).alias("chunks"))
-
-
-def expand_detail_left(df: DataFrame, detail: DataFrame, key: str, never_match: list[int] = ()) -> DataFrame:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = df.where(F.col(key).isNotNull()).select(F.count(F.lit(1))).scalar()
+    unit = F.least(F.lit(rows_per_task).cast("double"), F.greatest(total / F.lit(partitions), F.lit(1.0)))
+    frequent = counts.withColumn("unit", unit).where("n > unit")
+    return frequent.agg(F.map_from_entries(F.collect_list(
+        F.struct(F.col(key), F.ceil(F.col("n") / F.col("unit")).cast("int")))).alias("chunks"))
+
+
+def expand_detail_left(df: DataFrame, detail: DataFrame, key: str, never_match: list[int] = (),
+                       rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """One-to-many left join of ``df`` with its details.
 
     Rows whose key is null or in ``never_match`` cannot find a detail; they go
-    past the join without being shuffled. Detail keys that hold a large share
-    of all details (found by one sketch pass) are cut into chunks, and only the
-    few rows of ``df`` with such a key are repeated once per chunk.
+    past the join without being shuffled. Detail keys with more rows than a task
+    should get are cut into chunks, and only the few rows of ``df`` with such a
+    key are repeated once per chunk.
     """
     joinable = F.col(key).isNotNull()
     if never_match:
@@ -100,7 +94,7 @@ def expand_detail_left(df: DataFrame, detail: DataFrame, key: str, never_match:
     detail = detail.where(joinable)
     extra = [c for c in detail.columns if c != key]
 
-    hot = hot_key_chunks(detail, key).scalar()
+    hot = hot_key_chunks(detail, key, rows_per_task).scalar()
 
     def chunks() -> Column:
         return F.coalesce(F.try_element_at(F.col("_hot"), F.col(key)), F.lit(1))
@@ -126,25 +120,23 @@ def expand_detail_left(df: DataFrame, detail: DataFrame, key: str, never_match:
 
 
 def outer_merge_fill0(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join on ``keys``; numeric gaps become 0."""
+    """Full outer join on ``keys``; gaps of numeric columns become 0, those of other columns stay null."""
     merged = a.join(b, keys, "full")
-    numeric = [f.name for f in merged.schema.fields
-               if f.name not in keys and f.dataType.typeName() not in ("string", "date", "timestamp", "timestamp_ntz")]
+    numeric = [f.name for f in merged.schema.fields if f.name not in keys and isinstance(f.dataType, T.NumericType)]
     return merged.withColumns({n: F.coalesce(F.col(n), F.lit(0).cast(merged.schema[n].dataType)) for n in numeric})
 
 
 def left_agg_chain(base: DataFrame, receipts: DataFrame, deducts: DataFrame) -> DataFrame:
     """Base dates ⟕ summed receipts ⟕ deduction, the second keyed on the receipts' facility.
 
-    A day without receipts therefore has no deduction either.
+    A day without receipts therefore has no deduction either. Two deductions of a facility are an error.
     """
     summed = receipts.groupBy("sheet_date", "dist_facility_group_id").agg(F.sum("amount").alias("amount"))
     with_receipts = base.join(
         summed, (F.col("sheet_date") == F.col("date"))
         & (F.col("dist_facility_group_id") == F.col("facility_group_id")), "left")
-    per_facility = deducts.select(F.col("facility_group_id").alias("_deduct_facility"), "deduct")
-    return with_receipts.join(
-        per_facility, F.col("_deduct_facility") == F.col("dist_facility_group_id"), "left").select(
+    per_facility = deducts.select(F.col("facility_group_id").alias("dist_facility_group_id"), "deduct")
+    return lookup_left(with_receipts, per_facility, ["dist_facility_group_id"], ["deduct"]).select(
         "date", "facility_group_id",
         F.coalesce(F.col("amount"), F.lit(0)).alias("amount"),
         F.coalesce(F.col("deduct"), F.lit(0)).alias("deduct"))

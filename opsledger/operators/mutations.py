@@ -9,12 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert_by_key(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def upsert_by_key(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
     """Target rows whose key occurs in the source are replaced by all source rows.
 
-    Null keys never match: old null rows stay and new ones are added.
+    Null keys match nothing, so old null rows stay and new ones are added; with ``null_safe`` a null is a key value
+    like others and is replaced.
     """
     incoming = source.select(*keys).distinct()
+    if null_safe:
+        renamed = incoming.withColumnsRenamed({k: f"_new_{k}" for k in keys})
+        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+        return target.join(renamed, on, "left_anti").unionByName(source)
     return target.join(incoming, keys, "left_anti").select(*target.columns).unionByName(source)
 
 

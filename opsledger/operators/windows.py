@@ -62,10 +62,31 @@ def attach_group_values(df: DataFrame, keys: list[str], **aggregates: Column) ->
     return df.join(groups, on, "left").drop(*[f"_g_{k}" for k in keys])
 
 
+def attach_first_last(df: DataFrame, keys: list[str], order: str, value: str, first: str, last: str) -> DataFrame:
+    """The ``value`` of each group's earliest and latest row on every row (ties: the smaller, the larger value).
+
+    Tasks cut their rows to one per group and end before a shuffle; the rows themselves meet only those.
+    """
+    out = df
+    for name, columns in ((first, [F.col(order).asc_nulls_last(), F.col(value).asc_nulls_last()]),
+                          (last, [F.col(order).desc_nulls_last(), F.col(value).desc_nulls_last()])):
+        ends = top_row(df.select(*keys, order, value), keys, columns) \
+            .select(*[F.col(k).alias(f"_g_{k}") for k in keys], F.col(value).alias(name))
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+        out = out.join(ends, on, "left").drop(*[f"_g_{k}" for k in keys])
+    return out
+
+
 def ordered(df: DataFrame, *keys: str) -> DataFrame:
     return df.orderBy(*keys)
 
 
-def bounded_sample(df: DataFrame, fraction: float = 0.01, rows: int = 10_000, seed: int = 0) -> DataFrame:
-    """A Bernoulli sample of at most ``rows`` rows (the operator's purpose, not a shortcut)."""
-    return df.sample(False, fraction, seed).limit(rows)
+def hash_sample(df: DataFrame, keys: list[str], fraction: float = 0.01) -> DataFrame:
+    """The rows whose keys hash into ``fraction`` of the hash range: the same rows at each run and in any engine.
+
+    The hash is the first four digits of the md5 of the keys as text, joined by commas (a null key: empty text).
+    """
+    text = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return df.where(F.substring(F.md5(text), 1, 4) < F.lit(f"{round(fraction * 65536):04x}"))

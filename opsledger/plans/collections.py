@@ -35,7 +35,7 @@ def receipt_tables(lines: DataFrame, detail: DataFrame, policies: Policies, root
 
 def report_tables(products: dict[str, DataFrame], lines: DataFrame, calendar: DataFrame, deducts: DataFrame,
                   facility_names: DataFrame, targets: DataFrame, as_of: date, root: str,
-                  start: date = report.REPORT_START, include_weekends: bool = False) -> dict[str, DataFrame]:
+                  start: date, include_weekends: bool = False) -> dict[str, DataFrame]:
     """Day x facility base, collections report and sheet report from the receipt tables."""
     facility = products["facility_receipts"]
     ids = facility.select(F.col("dist_facility_group_id").alias("facility_group_id"))

@@ -78,10 +78,8 @@ def contact_feed(raw: DataFrame, schema: T.StructType | None = None, date_format
 
 
 def store_contacts(raw: DataFrame, paths: list[str], refuse_empty: bool = True) -> None:
-    """The contact table in each of the given places, from one pass over the export."""
-    contacts = contact_feed(raw).persist()
-    try:
-        for path in paths:
-            replace_table(contacts, path, refuse_empty)
-    finally:
-        contacts.unpersist()
+    """The contact table in each of the given places: the export is read once, further places copy the first table."""
+    contacts = contact_feed(raw)
+    for path in paths:
+        replace_table(contacts, path, refuse_empty)
+        contacts = raw.sparkSession.read.parquet(paths[0])

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from opsledger.operators.mutations import purge_audit, purge_range, upsert_by_key
 from opsledger.operators.schema import require_columns, strict_cast_and_order
-from opsledger.sources.writers import rewrite_table
+from opsledger.sources.writers import is_keyed, purge_keyed, rewrite_table
 
 TARGET_SCHEMA = T.StructType([
     T.StructField("date", T.DateType()), T.StructField("facility", T.StringType()),
@@ -21,12 +21,13 @@ def clean_targets(rows: DataFrame) -> DataFrame:
 
 
 def target_load(rows: DataFrame, existing: DataFrame | None = None, replace_keys: bool = True) -> DataFrame:
-    """Target table after the load. With ``replace_keys`` a rerun does not repeat rows; without, rows are appended."""
+    """Target table after the load. With ``replace_keys`` a rerun does not repeat rows, not even those
+    without a facility or date; without, rows are appended."""
     new = clean_targets(rows)
     if existing is None:
         return new
     if replace_keys:
-        return upsert_by_key(existing, new, ["date", "facility_group_id"])
+        return upsert_by_key(existing, new, ["date", "facility_group_id"], null_safe=True)
     return existing.unionByName(new)
 
 
@@ -38,6 +39,7 @@ def range_purge(tables: dict[str, tuple[DataFrame, str]], start: str, end: str)
 def purge_stored(spark: SparkSession, paths: dict[str, tuple[str, str]], start: str, end: str, staging: str) -> list:
     """Purge stored tables. All dates are checked and all counts are taken before the first write.
 
+    A table laid out by key keeps its layout, and only its partitions with rows in the range are rewritten.
     Returns one audit row per table.
     """
     tables = {name: (spark.read.parquet(path), column) for name, (path, column) in paths.items()}
@@ -45,5 +47,8 @@ def purge_stored(spark: SparkSession, paths: dict[str, tuple[str, str]], start:
     if not start or not end:
         return audit
     for name, (path, column) in paths.items():
+        if is_keyed(spark, path):
+            purge_keyed(spark, path, f"{staging}/{name}", lambda df, c=column: purge_range(df, c, start, end))
+            continue
         rewrite_table(spark, path, f"{staging}/{name}", lambda df, c=column: purge_range(df, c, start, end))
     return audit

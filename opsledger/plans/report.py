@@ -11,10 +11,6 @@ from opsledger.functions import scalars as X
 from opsledger.operators.joins import cross_fill, dates_in_touched_weeks, left_agg_chain, lookup_left
 from opsledger.operators.schema import weekday_only
 
-# Fixed value: first day of the report's calendar.
-REPORT_START = date(2023, 1, 1)
-
-
 def calendar_between(spark: SparkSession, lo: Column, hi: Column) -> DataFrame:
     """Calendar days from ``lo`` to ``hi``: date, calendar_week_id, year, period (month), week."""
     days = spark.range(1).select(lo.alias("lo"), hi.alias("hi")) \
@@ -39,7 +35,7 @@ def collections_report_base(base: DataFrame, receipts: DataFrame, deducts: DataF
 
 
 def densify_report(calendar: DataFrame, report: DataFrame, facility_names: DataFrame,
-                   start: date = REPORT_START, on_duplicate: str = "raise") -> DataFrame:
+                   start: date, on_duplicate: str = "raise") -> DataFrame:
     """Every calendar day from ``start`` x every facility of the report, gaps 0, net amount, facility name."""
     days = calendar.where(F.col("date") >= F.lit(start)).select(
         F.col("date").alias("bank_dept_dt"), F.col("calendar_week_id").alias("bank_dept_calendar_week_id"),
@@ -52,7 +48,7 @@ def densify_report(calendar: DataFrame, report: DataFrame, facility_names: DataF
     return lookup_left(filled, facility_names, ["facility_group_id"], ["facility_group_name"], on_duplicate)
 
 
-def period_flags(report: DataFrame, calendar: DataFrame, as_of: date, start: date = REPORT_START) -> DataFrame:
+def period_flags(report: DataFrame, calendar: DataFrame, as_of: date, start: date) -> DataFrame:
     """Closed-week and current year / period / week flags at ``as_of``; all 0 when the calendar lacks that day."""
     today = calendar.where((F.col("date") == F.lit(as_of)) & (F.col("date") >= F.lit(start)))
 
@@ -78,7 +74,7 @@ def target_bands(report: DataFrame, targets: DataFrame, on_duplicate: str = "rai
 
 def collections_report(base: DataFrame, receipts: DataFrame, deducts: DataFrame, calendar: DataFrame,
                        facility_names: DataFrame, targets: DataFrame, as_of: date,
-                       start: date = REPORT_START, on_duplicate: str = "raise") -> DataFrame:
+                       start: date, on_duplicate: str = "raise") -> DataFrame:
     """The dense facility x day report with targets and period flags."""
     report = collections_report_base(base, receipts, deducts)
     dense = densify_report(calendar, report, facility_names, start, on_duplicate)

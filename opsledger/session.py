@@ -36,22 +36,48 @@ def literal_table(spark: SparkSession, columns: dict[str, str], rows: list[tuple
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session may fall back to a temporary folder of this machine, or name a ``file:`` folder; on a
+    cluster each machine would have its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if root:
+        if not local and root.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on a cluster, not {root}")
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="opsledger-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="opsledger-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_FOLDERS[application])
+    return _LOCAL_FOLDERS[application]
+
+
+# The fallback folder of each local application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of whatever store ``path`` names; nothing happens when it is not there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_run_folders(spark: SparkSession) -> None:
+    """Remove all folders that ``run_folder`` gave this application. Frames that read them end to be usable."""
+    for path in _RUN_FOLDERS.pop(spark.sparkContext.applicationId, []):
+        remove_folder(spark, path)
+
+
+_RUN_FOLDERS: dict[str, list[str]] = {}
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/opsledger/{uuid.uuid4().hex}/{name}"
+    own = f"{shared_folder(spark)}/opsledger/{uuid.uuid4().hex}"
+    _RUN_FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(own)
+    return f"{own}/{name}"
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t", encoding: str = "UTF-8",
@@ -45,8 +46,15 @@ def read_parquet_checked(spark: SparkSession, path: str, required: list[str]) ->
 
 
 def read_partition(spark: SparkSession, root: str, column: str, value) -> DataFrame:
-    """Exactly one partition (pruned at planning); raises when it is absent."""
-    df = spark.read.parquet(root).where(F.col(column) == F.lit(value))
+    """Exactly one partition (pruned at planning); raises when it is absent.
+
+    A text value is compared as text: partition values are then not guessed to be numbers, so '007' is not '7'.
+    """
+    reader = spark.read
+    if isinstance(value, str):
+        kept = [f for f in spark.read.parquet(root).schema.fields if f.name != column]
+        reader = reader.schema(T.StructType([*kept, T.StructField(column, T.StringType())]))
+    df = reader.parquet(root).where(F.col(column) == F.lit(value))
     if df.isEmpty():
         raise FileNotFoundError(f"no rows for {column}={value} below {root}")
     return df

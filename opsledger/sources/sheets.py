@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opsledger.operators.joins import lookup_inner
+
 CONFIG_SCHEMA = (
     "sheetname string, facility_group_id bigint, check_account int, "
     "lecture_parameters struct<read_columns: array<string>, rename_columns: map<string,string>>, is_active int")
@@ -25,7 +27,7 @@ def sheet_coverage(config: DataFrame, present: DataFrame) -> DataFrame:
 def read_sheets(rows: DataFrame, config: DataFrame, outputs: list[str]) -> DataFrame:
     """Each active sheet's rows under its own layout, as one table of ``outputs``.
 
-    The layout is applied as data: an output column takes the raw column that
+    A sheet that is registered twice is an error. The layout is applied as data: an output column takes the raw column that
     the sheet's config renames to it (or reads under that name). All sheets are
     handled in one scan, however many layouts there are.
     """
@@ -34,7 +36,7 @@ def read_sheets(rows: DataFrame, config: DataFrame, outputs: list[str]) -> DataF
         "sheetname", F.col("facility_group_id").alias("sheet_facility_group_id"), "check_account",
         F.col("lecture_parameters.read_columns").alias("_read"),
         F.col("lecture_parameters.rename_columns").alias("_rename"))
-    joined = rows.join(active, "sheetname")
+    joined = lookup_inner(rows, active, ["sheetname"], [c for c in active.columns if c != "sheetname"])
 
     def value_of(output: str):
         # first raw column of the layout whose new name is the output

@@ -3,21 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsledger.sources.writers import replace_partitions
 
+
 def ingest_available_now(spark: SparkSession, source: str, target: str, checkpoint: str, key: str,
                          schema: T.StructType, fmt: str = "parquet", files_per_batch: int | None = None,
                          options: dict | None = None, prepare=None):
-    """Process every file not seen before and stop. The checkpoint remembers the files."""
+    """Process every file not seen before and stop. The checkpoint remembers the files.
+
+    All files of a run are one delivery, into however many micro-batches ``files_per_batch`` cuts it: batches are
+    staged beside the checkpoint and replace their keys once, at the end. A run that fails is finished by the next
+    one, which takes the staged batches along. Rows without a key are kept per delivery, under the identity of the
+    stream and its first batch, so neither another source nor a new checkpoint overwrites them.
+    """
     reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.load(source)
     if prepare is not None:
         stream = prepare(stream)
+    staged, done = f"{checkpoint}_staged", f"{checkpoint}_done"
+
+    def stage(batch, batch_id):
+        batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(staged)
+
     query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True) \
-        .foreachBatch(lambda batch, batch_id: replace_partitions(batch, batch_id, target, key)).start()
+        .foreachBatch(stage).start()
     query.awaitTermination()
+    rows = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType())])
+    waiting = _existing(spark, staged, rows)
+    if waiting is None:
+        return query
+    finished = _existing(spark, done, T.StructType([T.StructField("last", T.LongType())]))
+    last = -1 if finished is None else finished.agg(F.max("last")).first()[0]
+    waiting = waiting.where(F.col("_batch") > last)
+    span = waiting.agg(F.min("_batch").alias("first"), F.max("_batch").alias("last")).first()
+    if span["first"] is not None:
+        replace_partitions(waiting.drop("_batch"), f"{query.id}-{span['first']}", target, key)
+        spark.createDataFrame([(span["last"],)], "last bigint").write.mode("append").parquet(done)
     return query
+
+
+def _existing(spark: SparkSession, path: str, schema: T.StructType):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.schema(schema).parquet(path) if there else None

@@ -80,7 +80,7 @@ def collections_report(spark, calendar, as_of, weekends=False):
     names = spark.createDataFrame([(1, "One")], "facility_group_id int, facility_group_name string")
     deducts = spark.createDataFrame([(1, 2.0)], "facility_group_id int, deduct double")
     targets = spark.createDataFrame([("2024-01-02", 1, 100.0)], "date string, facility_group_id int, target double")
-    out = report.collections_report(base, receipts, deducts, calendar, names, targets, as_of)
+    out = report.collections_report(base, receipts, deducts, calendar, names, targets, as_of, D(2023, 1, 1))
     return {(r.bank_dept_dt, r.facility_group_id): r for r in out.collect()}
 
 
