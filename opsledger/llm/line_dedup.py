@@ -54,11 +54,11 @@ def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "tex
     never changed. Rows that share a key take the same place in the order, so a row repeated as a whole is not
     removed by its own copy; rows with a null key come first. An empty table gives an empty table.
     """
-    found = repeated_windows(docs, key, text, lines)
+    found = repeated_windows(docs, key, text, lines).toDF("__key", "__print", "__starts")
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_spans", "kept_lines")]
     rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumns(
         {"__k": F.col(f"`{key}`").cast("bigint"), "__f": F.xxhash64(F.col(f"`{text}`"))})
-    joined = rows.join(found, F.col("__k").eqNullSafe(found.k) & (F.col("__f") == found.f), "left")
+    joined = rows.join(found, F.col("__k").eqNullSafe(F.col("__key")) & (F.col("__f") == F.col("__print")), "left")
 
     def cut(a: Column, p: Column) -> Column:
         n = F.size(a)
@@ -69,11 +69,11 @@ def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "tex
         return F.struct(n.alias("n_lines"), F.size(begins).alias("n_spans"), kept.alias("kept_lines"))
 
     no_starts = F.array().cast("array<int>")
-    both = F.array(F.struct(F.split(F.col(f"`{text}`"), "\n").alias("a"), F.coalesce("starts", no_starts).alias("p")))
-    result = joined.select(*[F.col(f"`{c}`") for c in names], "starts", F.inline_outer(
+    both = F.array(F.struct(F.split(F.col(f"`{text}`"), "\n").alias("a"), F.coalesce("__starts", no_starts).alias("p")))
+    result = joined.select(*[F.col(f"`{c}`") for c in names], "__starts", F.inline_outer(
         F.transform(both, lambda x: F.when(x["a"].isNotNull(), cut(x["a"], x["p"])))))
     return result.select(
-        *[F.when(F.col("starts").isNull(), F.col(f"`{c}`")).otherwise(F.array_join("kept_lines", "\n")).alias(c)
+        *[F.when(F.col("__starts").isNull(), F.col(f"`{c}`")).otherwise(F.array_join("kept_lines", "\n")).alias(c)
           if c == text else F.col(f"`{c}`") for c in names],
         F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.col("n_lines") - F.size("kept_lines"), F.lit(0)).cast("bigint").alias("n_removed"),

@@ -18,7 +18,7 @@ def odd(spark):
             (None, None), (8, prose(rng, 30_000)), (9, "x" * 3000), (10, "Ünï \x00 日本 <|endoftext|> ΣΑΣ"), (11, "a\nb\nc\nd\na\nb\nc")]
     return spark.createDataFrame(data, "doc_id bigint, text string").withColumns(
         {"n_tokens": F.lit("clash"), "score": F.lit("clash"), "starts": F.lit(1), "k": F.lit(2), "t": F.lit(3), "f": F.lit(4),
-         "odd `name": F.lit(5), "h": F.lit(6)})
+         "odd.name": F.lit(5), "h": F.lit(6)})
 
 
 @pytest.fixture(scope="session")
