@@ -19,6 +19,7 @@ from opsledger.session import run_folder, stored
 _NONE = np.empty(0, np.uint64)
 #: Groups of up to this many candidates are checked pair by pair, and those of up to the second as one matrix.
 SMALL, MATRIX = 16, 2048
+SKETCH_BITS = 2048
 
 
 class Bands:
@@ -98,8 +99,14 @@ class Bands:
         return found
 
 
+def parity_sketch(u: np.ndarray) -> bytes:
+    """Parities of the number of elements in ``SKETCH_BITS`` cells; two sets differ in at least as many elements as bits."""
+    cells = (mixed(u + np.uint64(0x632BE59BD9B4E019)) % np.uint64(SKETCH_BITS)).astype(np.intp)
+    return np.packbits((np.bincount(cells, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+
+
 def signed_sets(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """``k`` (key), ``n`` (set size), 128-bit fingerprint ``h1``, ``h2`` and ``sigs`` per row of ``docs``.
+    """``k`` (key), ``n`` (set size), 128-bit fingerprint ``h1``, ``h2``, ``sketch`` and ``sigs`` per row of ``docs``.
 
     A task signs the first row of each set and leaves ``sigs`` of its further copies empty, so a set that a third of
     all rows share is signed once per task and not once per row.
@@ -112,12 +119,13 @@ def signed_sets(docs: DataFrame, key: str, text: str, words: int, percent: int)
         signed: set[tuple[int, int]] = set()
         for batch in batches:
             for part in slices(batch, 1):
-                n, h1, h2, sigs = [], [], [], []
+                n, h1, h2, sketches, sigs = [], [], [], [], []
                 for t, no_key in zip(part.column(1).to_pylist(), part.column(0).is_null().to_pylist()):
                     u = shingle_set(t, words)
                     n.append(len(u))
                     h1.append(int(u.sum(dtype=np.uint64)))
                     h2.append(int(mixed(u * np.uint64(0x94D049BB133111EB)).sum(dtype=np.uint64)))
+                    sketches.append(parity_sketch(u))
                     again = no_key or (h1[-1], h2[-1]) in signed
                     sigs.append(_NONE if again else bands.signatures(u))
                     if not again:
@@ -129,9 +137,26 @@ def signed_sets(docs: DataFrame, key: str, text: str, words: int, percent: int)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(n, pa.int64()), pa.array(np.array(h1, np.uint64).view(np.int64)),
                     pa.array(np.array(h2, np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["k", "n", "h1", "h2", "sigs"])
+                    pa.array(sketches, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["k", "n", "h1", "h2", "sketch", "sigs"])
+
+    return slim.mapInArrow(run, "k bigint, n bigint, h1 bigint, h2 bigint, sketch binary, sigs array<bigint>")
+
+
+def near_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The rows ``a``, ``b`` of ``pairs`` whose sizes and sketches (``rep``, ``n``, ``sketch``) allow the similarity."""
+    x, y = (sketches.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
+    both = pairs.join(x, "a").join(y, "b").where((100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na")))
+
+    @frees_memory
+    def run(batches):
+        for batch in batches:
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (4, 5)]
+            differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64) if batch.num_rows else np.empty(0, np.int64)
+            yield batch.select([0, 1]).filter(pa.array((100 + percent) * differ <= (100 - percent) * sizes))
 
-    return slim.mapInArrow(run, "k bigint, n bigint, h1 bigint, h2 bigint, sigs array<bigint>")
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def linked_pairs(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -197,8 +222,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Two rows link when their sets of ``words``-word shingles have a Jaccard similarity of ``percent`` / 100 or more.
     Equal sets form one class, which its smallest key stands for. Classes that share a signature are candidates, and
-    only pairs from different components so far are checked, exactly and on the texts. Two rounds check one pivot per
-    group against its other members, which joins most copies. In groups of at most ``SMALL`` classes all pairs still
+    only pairs from different components so far are checked: sizes and parity sketches bound their difference from
+    below, and what those leave open is decided exactly on the texts. First the smallest class of each group is
+    compared with its other members, which joins most copies. In groups of at most ``SMALL`` classes all pairs still
     open follow. Classes in larger open groups are signed anew with fine signatures, of which each keeps its rarest,
     so near copies that are not similar enough part company before any pair is made. Groups that are still larger are
     compared as one matrix up to ``MATRIX`` members. Of yet larger ones ``SMALL`` pivots from the smallest components
@@ -222,22 +248,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     wanted = members.select(F.col("rep").alias("k")).distinct()
     texts = stored(docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
                    .join(wanted, "k", "left_semi"), f"{folder}/texts")
-    sizes = stored(classes.groupBy("rep").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-                   .join(wanted.select(F.col("k").alias("rep")), "rep", "left_semi"), f"{folder}/sizes")
+    sketches = stored(sets.select("k", "h1", "h2", "n", "sketch").join(classes.select("h1", "h2", "n", F.col("rep").alias("k"))
+                                                                       .join(wanted, "k", "left_semi"), ["k", "h1", "h2", "n"])
+                      .select(F.col("k").alias("rep"), "n", "sketch").distinct(), f"{folder}/sketches")
 
     def check(pairs: DataFrame, labels: DataFrame | None, name: str) -> DataFrame | None:
         """The labels after the links among ``pairs`` have joined their components."""
-        a, b = (sizes.select(F.col("rep").alias(x), F.col("lo").alias(f"{x}_lo"), F.col("hi").alias(f"{x}_hi")) for x in "ab")
-        near = pairs.distinct().join(a, "a").join(b, "b").where(
-            (100 * F.col("a_hi") >= percent * F.col("b_lo")) & (100 * F.col("b_hi") >= percent * F.col("a_lo"))).select("a", "b")
+        near = stored(near_pairs(pairs, sketches, percent), f"{folder}/near_{name}")
         links = stored(linked_pairs(near, texts, words, percent), f"{folder}/links_{name}")
         return labels if links.isEmpty() else _joined_labels(labels, links, f"{folder}/labels_{name}")
 
-    labels = None
-    for turn in (1, 2):
-        known, opened = _open_groups(members, labels, f"{folder}/star{turn}")
-        pairs, members = _pivot_pairs(known, opened, 1, f"{folder}/star{turn}")
-        labels = check(pairs, labels, f"star{turn}")
+    lead = members.groupBy("sig").agg(F.min("rep").alias("a"))
+    star = members.join(lead, "sig").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
+    labels = check(star, None, "star")
     known, opened = _open_groups(members, labels, f"{folder}/coarse")
     labels = check(_small_pairs(known, opened), labels, "coarse")
     large = known.join(opened.where(F.col("m") > SMALL), "sig").select(F.col("rep").alias("k")).distinct()
