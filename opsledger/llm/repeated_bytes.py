@@ -21,7 +21,7 @@ from opsledger.llm.shingles import mixed
 from opsledger.session import run_folder, stored
 
 GRAM, BLOCK = 32, 32
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _LETTERS = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
 
