@@ -279,6 +279,19 @@ def d20(t: Tables) -> DataFrame:
         "minutes_in_status")
 
 
+@query("d20_visit_tables", D.with_tables(D.VISITS, D.CLINICS) + """
+SELECT 'raw_visits' AS table_name, count(*) AS n FROM vis UNION ALL
+SELECT 'status_time_summary', count(*) FROM (SELECT DISTINCT facility_name, resource_provider_name, patient_id, visit_type, appointment_date,
+  status FROM vis JOIN clin USING (facility_name)) UNION ALL
+SELECT 'visit_wait_time', count(*) FROM (SELECT DISTINCT patient_id, appointment_date, substr(facility_group_name, 1, 3), visit_type
+  FROM vis JOIN clin USING (facility_name))""")
+def d20_tables(t: Tables) -> DataFrame:
+    """The visit job from an export to its three stored tables."""
+    places = visits.store_visits(D.visit_export(t), D.clinics(t), D.event_calendar(t), run_folder(t.spark, "visits"))
+    return union_by_name(*[t.spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
+                           for n, p in places.items()])
+
+
 WAIT = """ranked AS (SELECT *, dense_rank() OVER (ORDER BY visit_type) - 1 AS visit_type_id FROM vis JOIN clin USING (facility_name)),
 keyed AS (SELECT *, patient_id || strftime(appointment_date, '%Y-%m-%d') || substr(facility_group_name, 1, 3) AS visit_id_group,
       patient_id || strftime(appointment_date, '%Y-%m-%d') || substr(facility_group_name, 1, 3) || visit_type_id AS visit_id FROM ranked),
@@ -380,8 +393,12 @@ SELECT assigned_to, scan_dt, document_id, reviewed_dt, review_flag, incref, revi
   TRY_CAST(nullif(regexp_extract(patient_id_name, '^(\\d+)', 1), '') AS BIGINT) AS patient_id,
   CAST(date_diff('day', DATE '1969-12-29', CAST(date_trunc('week', scan_dt) AS DATE)) // 7 AS BIGINT) AS scan_calendar_week_id FROM days""")
 def d25(t: Tables) -> DataFrame:
-    feed = documents.document_feed(D.register_export(t), D.AS_OF).drop("process_date")
-    return documents.document_sla(feed, D.ship_calendar(t))
+    register, table = run_folder(t.spark, "documents"), run_folder(t.spark, "document_sla")
+    feed = documents.document_feed(D.register_export(t), D.AS_OF)
+    documents.store_documents(feed.withColumn("process_date", F.date_sub("process_date", 1)), register)  # another day's export
+    documents.store_documents(feed, register)
+    documents.store_document_sla(t.spark, register, D.AS_OF, table, D.ship_calendar(t))
+    return t.spark.read.parquet(table)
 
 
 # ---- fees -----------------------------------------------------------------------------------------
@@ -423,8 +440,13 @@ UNION ALL SELECT '1990-01-01', n_name, 1.5, n_nationkey FROM nation""")
 def d28(t: Tables) -> DataFrame:
     old = t.nation.select(F.lit("1990-01-01").alias("date"), F.col("n_name").alias("facility"), F.lit(1.5).alias("target"),
                           F.col("n_nationkey").cast("bigint").alias("facility_group_id"))
-    once = maintenance.target_load(target_rows(t), old)
-    return maintenance.target_load(target_rows(t), once)  # a rerun changes nothing
+    table = run_folder(t.spark, "targets")
+    maintenance.replace_table(old, table)
+    sheet = target_rows(t).withColumns({"sheetname": F.lit("Targets"), "position": F.lit(2)})
+    notes = sheet.limit(1).withColumns({"sheetname": F.lit("Notes"), "position": F.lit(1)})
+    for run in ("first", "again"):  # a rerun changes nothing
+        maintenance.store_targets(sheet.unionByName(notes), table, run_folder(t.spark, f"targets_{run}"), "Targets")
+    return t.spark.read.parquet(table)
 
 
 PURGED_TABLES = {"bank_lines": ("lines", "sheet_date"), "posting_detail": ("det", "sheet_date"),

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsledger.functions import scalars as X
 from opsledger.operators.joins import lookup_left
 from opsledger.operators.schema import rename_map
-from opsledger.sources.writers import size_based_partitions, write_partitioned
+from opsledger.sources.readers import read_partition
+from opsledger.sources.writers import replace_table, write_partitioned
 
 # Column names of the register export.
 REGISTER_NAMES = {
@@ -40,9 +41,16 @@ def document_feed(raw: DataFrame, as_of: date) -> DataFrame:
     return rename_map(raw, REGISTER_NAMES).withColumn("process_date", F.lit(as_of).cast("date"))
 
 
-def store_documents(documents: DataFrame, path: str, target_mb: int = 256) -> None:
-    """Parquet by process date in files of about ``target_mb``; other dates stay."""
-    write_partitioned(documents, path, "process_date", size_based_partitions(documents, target_mb))
+def store_documents(documents: DataFrame, path: str) -> None:
+    """Parquet by process date in one pass, in files of the session's advisory partition size; other dates stay."""
+    write_partitioned(documents, path, "process_date")
+
+
+def store_document_sla(spark: SparkSession, documents_path: str, as_of: date, table_path: str,
+                       calendar: DataFrame | None = None) -> None:
+    """The SLA table of one process date: its partition is read, judged and replaces the stored table."""
+    documents = read_partition(spark, documents_path, "process_date", as_of).drop("process_date")
+    replace_table(document_sla(documents, calendar), table_path, refuse_empty=True)
 
 
 def document_sla(documents: DataFrame, calendar: DataFrame | None = None,

@@ -7,7 +7,9 @@ from pyspark.sql import types as T
 
 from opsledger.operators.mutations import purge_audit, purge_range, upsert_by_key
 from opsledger.operators.schema import require_columns, strict_cast_and_order
-from opsledger.sources.writers import is_keyed, purge_keyed, rewrite_table
+from opsledger.session import folder_exists
+from opsledger.sources.sheets import pick_sheet
+from opsledger.sources.writers import is_keyed, purge_keyed, replace_table, rewrite_table
 
 TARGET_SCHEMA = T.StructType([
     T.StructField("date", T.DateType()), T.StructField("facility", T.StringType()),
@@ -31,6 +33,20 @@ def target_load(rows: DataFrame, existing: DataFrame | None = None, replace_keys
     return existing.unionByName(new)
 
 
+def store_targets(rows: DataFrame, path: str, staging: str, sheet: str | None = None) -> None:
+    """Replace the keys of a delivery in the stored target table, or start the table with it.
+
+    ``rows`` come from one workbook: with ``sheet`` that sheet is taken, or else the first one.
+    """
+    spark = rows.sparkSession
+    if sheet is not None:
+        rows = pick_sheet(rows, sheet).drop("sheetname", "position")
+    if folder_exists(spark, path):
+        rewrite_table(spark, path, staging, lambda old: target_load(rows, old))
+    else:
+        replace_table(target_load(rows), path, refuse_empty=True)
+
+
 def range_purge(tables: dict[str, tuple[DataFrame, str]], start: str, end: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """(audit, table name -> remaining rows). Both ends of the range go; blank dates purge nothing."""
     return purge_audit(tables, start, end), {n: purge_range(df, c, start, end) for n, (df, c) in tables.items()}

@@ -9,7 +9,8 @@ from opsledger.functions import scalars as X
 from opsledger.operators.joins import lookup_inner, lookup_left
 from opsledger.operators.schema import rename_map, select_existing
 from opsledger.operators.windows import category_rank
-from opsledger.session import reliable_checkpoint
+from opsledger.session import reliable_checkpoint, stored
+from opsledger.sources.writers import replace_table
 
 # Column names of the log export.
 LOG_NAMES = {
@@ -125,6 +126,19 @@ def status_time_summary(visits: DataFrame, clinics: DataFrame, calendar: DataFra
     return lookup_left(at_clinics, _weeks(calendar), ["appointment_date"], ["appointment_date_calendar_week_id"], on_duplicate)
 
 
+def store_visits(raw: DataFrame, clinics: DataFrame, calendar: DataFrame, root: str) -> dict[str, str]:
+    """The raw, wait time and status tables of an export of any number of files; returns their places.
+
+    The raw table is written first and the other two start from it, so the export is read once.
+    """
+    places = {n: f"{root}/{n}" for n in ("raw_visits", "visit_wait_time", "status_time_summary")}
+    visits = stored(normalise_visits(raw), f"{root}/normalised")
+    replace_table(raw_visits(visits), places["raw_visits"], refuse_empty=True)
+    replace_table(visit_wait_time(visits, clinics, calendar), places["visit_wait_time"])
+    replace_table(status_time_summary(visits, clinics, calendar), places["status_time_summary"])
+    return places
+
+
 def _weeks(calendar: DataFrame) -> DataFrame:
     return calendar.select(F.col("date").alias("appointment_date"),
                            F.col("calendar_week_id").alias("appointment_date_calendar_week_id"))

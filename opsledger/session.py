@@ -64,6 +64,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove_run_folders(spark: SparkSession) -> None:
     """Remove all folders that ``run_folder`` gave this application. Frames that read them end to be usable."""
     for path in _RUN_FOLDERS.pop(spark.sparkContext.applicationId, []):

@@ -118,7 +118,7 @@ def size_report(df: DataFrame, target_mb: int = 256, fraction: float | None = No
         "n_partitions", F.greatest(F.ceil(F.col("size_mb") / target_mb), F.lit(1)).cast("int"))
 
 
-def size_based_partitions(df: DataFrame, target_mb: int = 256, fraction: float | None = 0.01) -> int:
+def size_based_partitions(df: DataFrame, target_mb: int = 256, fraction: float | None = None) -> int:
     """Number of output partitions for ``df`` (a single number comes back to the driver)."""
     return size_report(df, target_mb, fraction).first()["n_partitions"]
 

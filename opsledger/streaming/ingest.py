@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsledger.session import folder_exists
 from opsledger.sources.writers import replace_partitions
 
 
@@ -49,6 +50,4 @@ def ingest_available_now(spark: SparkSession, source: str, target: str, checkpoi
 
 
 def _existing(spark: SparkSession, path: str, schema: T.StructType):
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-    return spark.read.schema(schema).parquet(path) if there else None
+    return spark.read.schema(schema).parquet(path) if folder_exists(spark, path) else None
