@@ -19,7 +19,6 @@ from opsledger.session import run_folder, stored
 _NONE = np.empty(0, np.uint64)
 #: Groups of up to this many candidates are checked pair by pair, and those of up to the second as one matrix.
 SMALL, MATRIX = 16, 2048
-SKETCH_BITS = 2048
 
 
 class Bands:
@@ -100,9 +99,20 @@ class Bands:
 
 
 def parity_sketch(u: np.ndarray) -> bytes:
-    """Parities of the number of elements in ``SKETCH_BITS`` cells; two sets differ in at least as many elements as bits."""
-    cells = (mixed(u + np.uint64(0x632BE59BD9B4E019)) % np.uint64(SKETCH_BITS)).astype(np.intp)
-    return np.packbits((np.bincount(cells, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+    """Parities of the number of elements in cells, four cells or more per element and a power of two of them."""
+    cells = 1 << max(11, (4 * len(u) - 1).bit_length())
+    place = (mixed(u + np.uint64(0x632BE59BD9B4E019)) % np.uint64(cells)).astype(np.intp)
+    return np.packbits((np.bincount(place, minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """The number of unequal parities: two sets differ in at least as many elements. A larger sketch is folded first."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
 
 
 def signed_sets(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
@@ -152,8 +162,7 @@ def near_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     def run(batches):
         for batch in batches:
             sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (4, 5)]
-            differ = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1, dtype=np.int64) if batch.num_rows else np.empty(0, np.int64)
+            differ = np.array([least_difference(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5))], np.int64)
             yield batch.select([0, 1]).filter(pa.array((100 + percent) * differ <= (100 - percent) * sizes))
 
     return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a bigint, b bigint").distinct()

@@ -105,6 +105,15 @@ def test_signatures_meet_at_the_limit():
             assert np.intersect1d(bands.signatures(a), bands.signatures(b)).size, size
 
 
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 50, 400, 700, 3000, 20_000):
+        a = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        b = np.unique(np.append(a[size // 5:], rng.integers(0, 1 << 64, size // 3 + 1, dtype=np.uint64)))
+        bound = jaccard_join.least_difference(jaccard_join.parity_sketch(a), jaccard_join.parity_sketch(b))
+        assert 0.7 * len(np.setxor1d(a, b)) <= bound + 1 and bound <= len(np.setxor1d(a, b))
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.range(200).selectExpr("id as a", "id + 1 as b")
     assert {r.label for r in components(links).collect()} == {0}
