@@ -156,7 +156,8 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
     slim = docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("f"),
                        F.col(f"`{text}`").cast("string").alias("t"))
     anchors = stored(_anchor_rows(slim, length), f"{folder}/anchors")
-    twice = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # written first, so the join below gets both sides from a shuffle and Spark can split a gram with very many rows
+    twice = stored(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), f"{folder}/twice")
     shared = stored(anchors.join(twice, "gram"), f"{folder}/shared")
     alike = stored(shared.groupBy("gram", "ctx", "off", "len").agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("model")),
                    f"{folder}/alike")
