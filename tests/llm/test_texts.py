@@ -172,6 +172,34 @@ def test_benchmark_recall_and_clean_documents(spark):
     assert len(pairs & wanted) >= 0.9 * len(wanted) and not pairs - wanted
 
 
+def brute_matches(docs, items):
+    """Pairs of which four fifths of the item's words stand in order within five quarters of its length."""
+    found = set()
+    for i, text in items:
+        item = text.encode().split()
+        for d, other in docs:
+            words, reach = other.encode().split(), -(-5 * len(item) // 4)
+            hits = [p for p, w in enumerate(words) if w in set(item)]
+            if any(5 * decontamination.common_subsequence(item, words[p:p + reach]) >= 4 * len(item) for p in hits):
+                found.add((d, i))
+    return found
+
+
+def test_benchmark_of_many_items(spark):
+    rng = random.Random(12)
+    items = [(i, prose(rng, rng.randint(15, 59))) for i in range(2048)]
+    docs = []
+    for d in range(120):
+        words = items[d * 17][1].split()
+        for x in range(d % 3, len(words), 7 if d % 2 else 1000):  # exact copies and copies with a seventh of the words changed
+            words[x] = "other"
+        docs.append((d, f"{prose(rng, rng.randint(20, 90))} {' '.join(words)} {prose(rng, rng.randint(20, 90))}"))
+    wanted = brute_matches(docs, [items[d * 17] for d in range(120)])
+    found = decontamination.benchmark_matches(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                              spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert len(wanted) >= 100 and not wanted - {(r.doc_id, r.item_id) for r in found}
+
+
 def test_benchmark_of_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "x"), (3, odd.where("doc_id = 5").first().text[:200])], "item_id bigint, text string")
     rows = decontamination.benchmark_matches(odd, items).collect()
