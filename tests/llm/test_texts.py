@@ -200,6 +200,17 @@ def test_benchmark_of_many_items(spark):
     assert len(wanted) >= 100 and not wanted - {(r.doc_id, r.item_id) for r in found}
 
 
+def test_benchmark_of_hot_and_long_passages(spark):
+    rng = random.Random(14)
+    items = [(1, prose(rng, 18)), (2, prose(rng, 900)), (3, prose(rng, 40))]
+    docs = [(d, f"{prose(rng, 60)} {items[0][1] if d % 3 else ''} {prose(rng, 60)}") for d in range(240)]
+    docs += [(1000, f"{prose(rng, 100)} {items[1][1]} {prose(rng, 90)}")]
+    wanted = {(d, 1) for d in range(240) if d % 3} | {(1000, 2)}
+    found = decontamination.benchmark_matches(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                              spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == wanted
+
+
 def test_benchmark_of_odd_rows(spark, odd, empty):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "x"), (3, odd.where("doc_id = 5").first().text[:200])], "item_id bigint, text string")
     rows = decontamination.benchmark_matches(odd, items).collect()
