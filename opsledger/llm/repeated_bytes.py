@@ -71,7 +71,9 @@ def find_anchors(data: np.ndarray, windows: np.ndarray, length: int) -> tuple[np
 
 def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
     """``k``, ``f``, anchor ``a`` with its first window at ``a - off`` and ``len`` more, ``gram``, ``ctx``, row number ``u``."""
-    def rows_of(raws: list[bytes], base: list[int]) -> list[np.ndarray] | None:
+    width = length - GRAM + 1
+
+    def rows_of(raws: list[bytes], base: list[int], own: list[int]) -> list[np.ndarray] | None:
         data = np.frombuffer(b"".join(raws), np.uint8)
         ends = np.cumsum([len(r) for r in raws])
         windows = np.zeros(len(data), bool)
@@ -81,25 +83,30 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
             return None
         first, last, anchor, gram, ctx = find_anchors(data, windows, length)
         owner = np.searchsorted(ends, first, side="right")
-        begin = (ends - [len(r) for r in raws])[owner]
-        return [owner, anchor - begin + np.array(base)[owner], anchor - first, last - first, gram.view(np.int64), ctx.view(np.int64)]
+        shift = (np.array(base) - ends + [len(r) for r in raws])[owner]
+        begin = first + shift - np.array(own)[owner]
+        here = (begin >= 0) & (begin < CHUNK)
+        return [x[here] for x in (owner, anchor + shift, anchor - first, last - first, gram.view(np.int64), ctx.view(np.int64))]
 
     @frees_memory
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2, CHUNK):
-                index, raws, base = [], [], []
+                index, raws, base, own = [], [], [], []
                 for i, t in enumerate(part.column(2).to_pylist()):
                     raw = (t or "").encode("utf-8")
                     for at in range(0, max(len(raw) - length + 1, 0), CHUNK):
-                        index.append(i), base.append(at), raws.append(raw[at:at + CHUNK + length - 1])
+                        # a run of windows belongs to the chunk in which it begins: a chunk sees the window before it and the
+                        # longest run after it, so a run over a border is one row
+                        index.append(i), own.append(at), base.append(max(at - 1, 0))
+                        raws.append(raw[base[-1]:at + CHUNK + width + length - 1])
                 at = 0
                 while at < len(raws):
                     stop, held = at, 0
                     while stop < len(raws) and (stop == at or held + len(raws[stop]) <= CHUNK):
                         held += len(raws[stop])
                         stop += 1
-                    found = rows_of(raws[at:stop], base[at:stop])
+                    found = rows_of(raws[at:stop], base[at:stop], own[at:stop])
                     if found is not None:
                         rows = pa.array(np.array(index[at:stop])[found[0]])
                         yield pa.RecordBatch.from_arrays(

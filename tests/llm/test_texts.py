@@ -143,6 +143,17 @@ def test_repeated_bytes_equal_brute_force(spark, seed):
     assert [found[i] for i in range(len(texts))] == brute_bytes([t.encode() for t in texts], 400)
 
 
+def test_repeated_bytes_across_chunks(spark, monkeypatch):
+    monkeypatch.setattr(repeated_bytes, "CHUNK", 1000)
+    rng = random.Random(5)
+    part = prose(rng, 150)
+    texts = [prose(rng, rng.randint(300, 900)) for _ in range(12)]
+    texts += [f"{prose(rng, rng.randint(40, 300))} {part} {prose(rng, 200)}" for _ in range(8)] + ["z" * 2500, "ab" * 1700]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in repeated_bytes.remove_repeated_bytes(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_bytes([t.encode() for t in texts], 400)
+
+
 def test_repeated_bytes_of_odd_rows(odd, empty, monkeypatch):
     rows = repeated_bytes.remove_repeated_bytes(odd).collect()
     given = [(r.doc_id, (r.text or "").encode()) for r in odd.collect()]
