@@ -249,10 +249,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     slim = sets.select("k", "n", "h1", "h2")
     classes = stored(slim.where("n > 0 and k is not null").groupBy("h1", "h2", "n").agg(F.min("k").alias("rep")),
                      f"{folder}/classes")
-    group = Window.partitionBy("sig")
     signed = sets.where("n > 0 and k is not null").select("h1", F.explode("sigs").alias("sig"))
-    shared = stored(signed.withColumns({"lo": F.min("h1").over(group), "hi": F.max("h1").over(group)}).where("lo < hi")
-                    .select("sig", "h1").distinct(), f"{folder}/shared")
+    # written first, so the join gets both sides from a shuffle and Spark can split a signature with very many rows
+    several = stored(signed.groupBy("sig").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("sig"),
+                     f"{folder}/several")
+    shared = stored(signed.join(several, "sig").select("sig", "h1").distinct(), f"{folder}/shared")
     members = stored(shared.join(classes.select("h1", "rep"), "h1").select("sig", "rep"), f"{folder}/members")
     wanted = members.select(F.col("rep").alias("k")).distinct()
     texts = stored(docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))

@@ -83,6 +83,18 @@ def test_components_equal_brute_force(spark, monkeypatch, small, matrix):
     assert found == brute_components(texts, 4, 85)
 
 
+def test_shared_signatures_are_found_without_a_window(spark, odd, monkeypatch):
+    plans, write = {}, jaccard_join.stored
+
+    def stored(df, path):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, path)
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    jaccard_join.jaccard_components(odd).count()
+    assert "Window" not in plans["shared"] and "Aggregate" in plans["several"]
+
+
 def test_components_of_odd_rows(odd, empty):
     rows = jaccard_join.jaccard_components(odd).collect()
     assert len(rows) == odd.count()
