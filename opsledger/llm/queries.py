@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsledger.llm import (bpe_codec, decontamination, jaccard_join, line_dedup, quality_classifier, quality_rules, repeated_bytes,
-                           samples, token_counts, toxicity, training_order)
+                           samples, token_alignment, token_counts, toxicity, training_order)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -147,3 +147,9 @@ def op10_quality_classifier(spark, folder):
     model = quality_classifier.fit_on(docs, table(spark, folder, "labels"), samples.fold("doc_id", 5) != 0)
     return quality_classifier.score_quality(docs, model).select(
         "doc_id", F.coalesce(samples.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_token_alignment(spark, folder):
+    return token_alignment.align_tokens(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"),
+                                        vocabulary("piece_bpe_32k.model"))
