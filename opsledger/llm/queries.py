@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm import (bpe_codec, decontamination, jaccard_join, line_dedup, quality_classifier, quality_rules, repeated_bytes,
-                           samples, token_alignment, token_counts, toxicity, training_order)
+from opsledger.llm import (bpe_codec, decontamination, hard_negatives, jaccard_join, line_dedup, quality_classifier, quality_rules,
+                           repeated_bytes, samples, token_alignment, token_counts, toxicity, training_order, web_archives)
+from opsledger.session import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -149,6 +150,48 @@ def op10_quality_classifier(spark, folder):
         "doc_id", F.coalesce(samples.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_hard_negatives(spark, folder):
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
+SQL["op11_hard_negatives"] = """
+WITH e AS (SELECT vec_id AS i, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.i AS a, b.i AS b, a.l = b.l AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.i % 100 = 0 AND a.i <> b.i),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (SELECT p.a, p.b AS p, p.score AS ps, s.b AS n, s.score AS ns,
+             row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS r
+      FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT a AS anchor_id, p AS positive_id, CAST(r AS INTEGER) AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score
+FROM n WHERE r <= 5
+"""
+
+
+@query
+def op12_web_archives(spark, folder):
+    """Pages as legacy archives, converted to WARC files, and these read back."""
+    work = run_folder(spark, "web_archives")
+    web_archives.write_arc(table(spark, folder, "pages"), f"{work}/arc")
+    web_archives.convert_arc(spark, f"{work}/arc", f"{work}/warc")
+    return web_archives.read_warc(spark, f"{work}/warc").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op12_web_archives"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+r AS (SELECT page_id, strlen(h) AS n, sha1(h) AS d, strlen(h) >= 1000 AND row_number() OVER (PARTITION BY h ORDER BY page_id DESC) > 1 AS again,
+             max(page_id) OVER (PARTITION BY h) AS last
+      FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN last END AS refers_to
+FROM r
+"""
+
+
 @query
 def op13_token_alignment(spark, folder):
     return token_alignment.align_tokens(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"),

@@ -13,7 +13,7 @@ def test_same_rows_as_sql(spark, con, name):
 
 def test_registered():
     numbers = {int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op") and n[2].isdigit()}
-    assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_stages_take_and_return_documents(spark, odd):
