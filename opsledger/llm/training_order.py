@@ -10,13 +10,13 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from opsledger.llm.arrow import frees_memory, slices
 from opsledger.llm.shingles import mixed
-from opsledger.session import run_folder
+from opsledger.session import remove_folder, run_folder, stored
 
 #: Fixed value: the pattern that splits text before the merges of the rank file.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -67,10 +67,11 @@ class Shards:
 
 
 def pack_sequences(docs: DataFrame, vocabulary: str, key: str, text: str, tokens: int) -> DataFrame:
-    """``ids`` (16-bit little-endian), ``n_tokens`` and ``doc_ids`` per sequence of ``tokens`` ids.
+    """``ids`` (16-bit little-endian), ``n_tokens`` and ``doc_ids`` per sequence of ``tokens`` ids, with ``task`` and ``row``.
 
     The documents of a task stand one after the other, each closed by an end id; the task's last sequence is filled
-    up with end ids. ``doc_ids`` are the documents with an id in the sequence, in order.
+    up with end ids. ``doc_ids`` are the documents with an id in the sequence, in order. ``row`` counts the sequences of
+    a task from 0.
     """
     slim = docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
 
@@ -79,10 +80,11 @@ def pack_sequences(docs: DataFrame, vocabulary: str, key: str, text: str, tokens
         model = encoding(vocabulary)
         end = np.array([model.n_vocab], np.uint16)
         held, open_docs, filled = [], [], 0
+        task, made = TaskContext.get().partitionId(), 0
 
         def cut(last: bool):
             """Full sequences of what is held; with ``last`` also the rest, filled up."""
-            nonlocal held, open_docs, filled
+            nonlocal held, open_docs, filled, made
             ids = np.concatenate(held) if held else np.empty(0, np.uint16)
             out = []
             for at in range(0, len(ids), tokens):
@@ -96,9 +98,11 @@ def pack_sequences(docs: DataFrame, vocabulary: str, key: str, text: str, tokens
             held = [ids[used:]]
             open_docs = [(k, begin - used, stop - used) for k, begin, stop in open_docs if stop > used]
             filled = len(ids) - used
+            made += len(out)
             return pa.RecordBatch.from_arrays([
+                pa.array([task] * len(out), pa.int32()), pa.array(range(made - len(out), made), pa.int64()),
                 pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.int32()),
-                pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["ids", "n_tokens", "doc_ids"])
+                pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["task", "row", "ids", "n_tokens", "doc_ids"])
 
         for batch in batches:
             for part in slices(batch, 1, 1 << 20):
@@ -110,18 +114,20 @@ def pack_sequences(docs: DataFrame, vocabulary: str, key: str, text: str, tokens
                 yield cut(False)
         yield cut(True)
 
-    return slim.mapInArrow(run, "ids binary, n_tokens int, doc_ids array<bigint>")
+    return slim.mapInArrow(run, "task int, row bigint, ids binary, n_tokens int, doc_ids array<bigint>")
 
 
 def write_shards(docs: DataFrame, vocabulary: str, folder: str | None = None, key: str = "doc_id", text: str = "text",
                  tokens: int = 2048, records: int = 4096, seed: int = 20240229) -> tuple[DataFrame, Shards]:
     """Write all sequences of ``docs`` in training order; returns the index and the place of the shards.
 
-    The packed sequences are stored once; a sequence's number is its place in that table, so numbers are dense and a
-    task that runs again changes none. The keyed permutation turns numbers to slots. Sequences go to the partition of
-    their shard's range, where each shard is sorted and written as one file of equal records, so any slot is found by
-    arithmetic and a reader can go on from any slot. The index has one row per sequence: ``slot``, ``shard``,
-    ``byte_offset``, ``n_tokens`` (without filling) and ``doc_ids``.
+    The packed sequences are stored once; a sequence's number is its place in its task after those of the tasks before,
+    so numbers are dense and a task that runs again changes none. Only the number of sequences per task reaches the
+    driver, and tasks get their sums as an array of 8 bytes per packing task: rows learn their numbers where they are.
+    The keyed permutation turns numbers to slots. Sequences are shuffled once, to the partition of their shard's range,
+    where each shard is sorted and written as one file of equal records, so any slot is found by arithmetic and a
+    reader can go on from any slot. The index has one row per sequence: ``slot``, ``shard``, ``byte_offset``, ``n_tokens``
+    (without filling) and ``doc_ids``. When both stand, the packed sequences are removed.
 
     A null or empty text is one end id. Repeated rows are written again, a null key is null in ``doc_ids``, a long
     text fills many sequences. An empty table has no sequences and an empty index.
@@ -129,28 +135,27 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str | None = None, ke
     spark = docs.sparkSession
     folder = folder or run_folder(spark, "training_order")
     pack_sequences(docs, vocabulary, key, text, tokens).write.option("compression", "zstd").parquet(f"{folder}/packed")
-    packed = spark.read.parquet(f"{folder}/packed").select("*", F.col("_metadata.file_path").alias("file"),
-                                                           F.col("_metadata.row_index").alias("row"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    files = packed.groupBy("file").agg(F.count(F.lit(1)).alias("n")) \
-        .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    size = packed.count()
+    packed = spark.read.parquet(f"{folder}/packed")
+    per_task = packed.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = np.zeros(max((r.task for r in per_task), default=-1) + 1, np.int64)
+    counts[[r.task for r in per_task]] = [r.n for r in per_task]
+    size = int(counts.sum())
+    before = spark.sparkContext.broadcast(np.cumsum(counts) - counts)
     shards = Shards(f"{folder}/shards", size, tokens, records)
-    numbered = packed.join(files, "file").withColumn("number", F.col("row") + F.col("base"))
     order = Permutation(size, seed)
 
     def placed(columns: list[str], schema: str, change=lambda c: c) -> DataFrame:
         @frees_memory
         def run(batches):
             for batch in batches:
-                slot = order.slots(batch.column(0).to_numpy()) if batch.num_rows else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(slot), *map(change, batch.columns[1:])], names=["slot", *columns])
-        return numbered.select("number", *columns).mapInArrow(run, schema)
+                slot = order.slots(before.value[batch.column(0).to_numpy()] + batch.column(1).to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(slot), *map(change, batch.columns[2:])], names=["slot", *columns])
+        return packed.select("task", "row", *columns).mapInArrow(run, schema)
 
     count = -(-size // records)
     if count:
         def packed_small(column):
-            squeeze = zstandard.ZstdCompressor(level=1).compress
+            squeeze = zstandard.ZstdCompressor(level=3).compress
             return pa.array([squeeze(b) for b in column.to_pylist()], pa.binary())
 
         @frees_memory
@@ -166,7 +171,8 @@ def write_shards(docs: DataFrame, vocabulary: str, folder: str | None = None, ke
             .mapInArrow(unpack, "slot bigint, ids binary").withColumn("shard", shard) \
             .sortWithinPartitions("shard", "slot").select(F.col("ids").cast("string").alias("value"), "shard") \
             .write.partitionBy("shard").text(shards.folder)
-    index = placed(["n_tokens", "doc_ids"], "slot bigint, n_tokens int, doc_ids array<bigint>")
+    index = stored(placed(["n_tokens", "doc_ids"], "slot bigint, n_tokens int, doc_ids array<bigint>"), f"{folder}/index")
+    remove_folder(spark, f"{folder}/packed")
     return index.select("slot", F.expr(f"slot div {records}").alias("shard"),
                         (F.col("slot") % records * shards.stride).alias("byte_offset"), "n_tokens", "doc_ids"), shards
 

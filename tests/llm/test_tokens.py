@@ -76,3 +76,40 @@ def test_shards_hold_every_token_once(spark, odd, empty):
     assert {r.slot: r.ids for r in later.collect()} == {s: i for s, i in read.items() if s >= 20}
     nothing, place = training_order.write_shards(empty, ranks)
     assert nothing.count() == 0 == training_order.read_slots(spark, place).count()
+
+
+def test_slots_contents_and_documents_by_hand(spark, odd):
+    """Every slot, offset, id and document list from a permutation and a packing that are written out here."""
+    ranks = queries.vocabulary("byte_bpe_multi_50k.tiktoken")
+    docs = odd.select("doc_id", "text").coalesce(1)
+    rows, tokens, records, key = docs.collect(), 32, 8, 77
+    index, shards = training_order.write_shards(docs, ranks, tokens=tokens, records=records, seed=key)
+    model = training_order.encoding(ranks)
+    stream = [(i, r.doc_id) for r in rows for i in [*model.encode(r.text or "", disallowed_special=()), model.n_vocab]]
+    size = -(-len(stream) // tokens)
+    half = max(1, (max(size - 1, 1).bit_length() + 1) // 2)
+    keys = [int(k) for k in np.random.default_rng(key).integers(0, 1 << 64, 6, dtype=np.uint64)]
+
+    def spread(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+        return x ^ x >> 29
+
+    def slot(x):
+        while True:
+            left, right = x >> half, x % (1 << half)
+            for k in keys:
+                left, right = right, left ^ spread((right + k) % (1 << 64)) % (1 << half)
+            x = left << half | right
+            if x < size:
+                return x
+
+    want = {}
+    for n in range(size):
+        part = stream[n * tokens:(n + 1) * tokens]
+        s = slot(n)
+        documents = [k for i, (_, k) in enumerate(part) if i == 0 or part[i - 1][0] == model.n_vocab]
+        ids = [i for i, _ in part] + [model.n_vocab] * (tokens - len(part))
+        want[s] = (s // records, s % records * shards.stride, len(part), documents, ids)
+    assert sorted(want) == list(range(size)) and size > 2000
+    read = {r.slot: r.ids for r in training_order.read_slots(spark, shards).collect()}
+    assert {r.slot: (r.shard, r.byte_offset, r.n_tokens, r.doc_ids, read[r.slot]) for r in index.collect()} == want
