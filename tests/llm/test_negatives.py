@@ -94,7 +94,7 @@ def test_every_point_lies_within_its_nodes():
 
 
 def test_one_vector_sends_few_rows(spark):
-    rows = spark.range(20_000).select(F.col("id").alias("i"), (F.col("id") * 0).alias("l"), F.array(F.col("id") * 0 + 5).alias("x"))
-    assert {r.i for r in hn._first_copies(rows).collect()} == set(range(6))
+    rows = spark.range(20_000).select(F.col("id").alias("i"), (F.col("id") % 2).alias("l"), F.array(F.col("id") % 3).alias("x"))
+    assert {r.i for r in hn._first_copies(rows).collect()} == set(range(36))
     plan = hn._first_copies(rows)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
