@@ -13,7 +13,7 @@ from opsledger.plans import collections, contacts, documents, fees, maintenance,
 from opsledger.plans.policy import default_policies
 from opsledger.session import run_folder, stored
 from opsledger.sources.readers import read_delimited, read_partition
-from opsledger.sources.writers import append_table
+from opsledger.sources.writers import read_table, replace_table
 
 FACILITY_MONEY = ("allocated_pmt", "dist_payment", "amount")
 SHEET_MONEY = ("amount", "dist_payment", "posted_nodb_pmt", "unposted_lag", "unposted_workload", "allocated_pmt",
@@ -288,7 +288,7 @@ SELECT 'visit_wait_time', count(*) FROM (SELECT DISTINCT patient_id, appointment
 def d20_tables(t: Tables) -> DataFrame:
     """The visit job from an export to its three stored tables."""
     places = visits.store_visits(D.visit_export(t), D.clinics(t), D.event_calendar(t), run_folder(t.spark, "visits"))
-    return union_by_name(*[t.spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
+    return union_by_name(*[read_table(t.spark, p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
                            for n, p in places.items()])
 
 
@@ -367,7 +367,7 @@ def d23(t: Tables) -> DataFrame:
     contact_export(t).write.options(header=True, sep="\t", encoding="UTF-16LE", lineSep="\n").csv(path)
     raw_table, mart_table = run_folder(t.spark, "contacts_raw"), run_folder(t.spark, "contacts_mart")
     contacts.store_contacts(read_delimited(t.spark, path, encoding="UTF-16LE"), [raw_table, mart_table])
-    return _contacts_out(t.spark.read.parquet(mart_table))
+    return _contacts_out(read_table(t.spark, mart_table))
 
 
 # ---- documents ------------------------------------------------------------------------------------
@@ -395,10 +395,9 @@ SELECT assigned_to, scan_dt, document_id, reviewed_dt, review_flag, incref, revi
 def d25(t: Tables) -> DataFrame:
     register, table = run_folder(t.spark, "documents"), run_folder(t.spark, "document_sla")
     feed = documents.document_feed(D.register_export(t), D.AS_OF)
-    documents.store_documents(feed.withColumn("process_date", F.date_sub("process_date", 1)), register)  # another day's export
     documents.store_documents(feed, register)
     documents.store_document_sla(t.spark, register, D.AS_OF, table, D.ship_calendar(t))
-    return t.spark.read.parquet(table)
+    return read_table(t.spark, table)
 
 
 # ---- fees -----------------------------------------------------------------------------------------
@@ -441,12 +440,12 @@ def d28(t: Tables) -> DataFrame:
     old = t.nation.select(F.lit("1990-01-01").alias("date"), F.col("n_name").alias("facility"), F.lit(1.5).alias("target"),
                           F.col("n_nationkey").cast("bigint").alias("facility_group_id"))
     table = run_folder(t.spark, "targets")
-    maintenance.replace_table(old, table)
+    replace_table(old, table)
     sheet = target_rows(t).withColumns({"sheetname": F.lit("Targets"), "position": F.lit(2)})
     notes = sheet.limit(1).withColumns({"sheetname": F.lit("Notes"), "position": F.lit(1)})
-    for run in ("first", "again"):  # a rerun changes nothing
-        maintenance.store_targets(sheet.unionByName(notes), table, run_folder(t.spark, f"targets_{run}"), "Targets")
-    return t.spark.read.parquet(table)
+    for _ in ("first", "again"):  # a rerun changes nothing
+        maintenance.store_targets(sheet.unionByName(notes), table, "Targets")
+    return read_table(t.spark, table)
 
 
 PURGED_TABLES = {"bank_lines": ("lines", "sheet_date"), "posting_detail": ("det", "sheet_date"),
@@ -465,7 +464,7 @@ def d29(t: Tables) -> DataFrame:
     tables = {"bank_lines": (lines, "sheet_date"), "posting_detail": (receipts.posting_detail(lines, detail), "sheet_date"),
               "facility_receipts": (products["facility_receipts"], "sheet_date"), "sheet_receipts": (products["sheet_receipts"], "sheet_date"),
               "calendar": (D.order_calendar(t), "date"), "targets": (D.targets(t), "date")}
-    audit, left = maintenance.range_purge(tables, D.PURGE_START, D.PURGE_END)
-    remaining = union_by_name(*[df.agg(F.count(F.lit(1)).alias("rows_left")).select(F.lit(n).alias("table_name"), "rows_left")
-                                for n, df in left.items()])
-    return audit.join(remaining, "table_name")
+    audit, left = maintenance.purge_into(tables, D.PURGE_START, D.PURGE_END, run_folder(t.spark, "purged"))
+    remaining = union_by_name(*[table.read().agg(F.count(F.lit(1)).alias("rows_left")).select(F.lit(n).alias("table_name"), "rows_left")
+                                for n, table in left.items()])
+    return t.spark.createDataFrame(audit).join(remaining, "table_name")

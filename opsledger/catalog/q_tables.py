@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from opsledger.catalog import domain as D
 from opsledger.catalog.registry import Tables, query, sql_money, with_money
-from opsledger.operators.mutations import purge_audit, purge_range, upsert_by_key
+from opsledger.operators.mutations import in_range, purge_audit, upsert_by_key
 from opsledger.session import literal_table, run_folder
 from opsledger.sources import readers, sheets, writers
+from opsledger.sources.versions import VersionedTable
 from opsledger.streaming.ingest import ingest_available_now
 
 # ---- sources --------------------------------------------------------------------------------------
@@ -125,7 +126,7 @@ def k1(t: Tables) -> DataFrame:
     path, rows = run_folder(t.spark, "replaced"), t.orders.select("o_orderkey", "o_orderstatus")
     writers.replace_table(rows.where(F.col("o_orderstatus") == "F"), path)
     writers.replace_table(rows, path, refuse_empty=True)
-    return t.spark.read.parquet(path)
+    return writers.read_table(t.spark, path)
 
 
 @query("k2_append_table", "SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
@@ -133,7 +134,7 @@ def k2(t: Tables) -> DataFrame:
     path, rows = run_folder(t.spark, "appended"), t.orders.select("o_orderkey", "o_orderstatus")
     writers.replace_table(rows, path)
     writers.append_table(rows.where(F.col("o_orderstatus") == "F"), path)
-    return t.spark.read.parquet(path)
+    return writers.read_table(t.spark, path)
 
 
 # Lines of one class have no date; one sheet is delivered again with new amounts.
@@ -173,17 +174,17 @@ def k5_stored(t: Tables) -> DataFrame:
     new = rows.where(F.col("sheetname") == "G").select(
         "line_id", "period", (F.col("amount") + 1).cast("decimal(18,2)").alias("amount"))
     for load_id, load in ((0, old), (1, new), (1, new)):  # the second load is run again
-        writers.replace_partitions(load, load_id, path, "period")
-    return with_money(writers.read_keyed(t.spark, path), "amount")
+        writers.load_by_key(load, load_id, path, "period")
+    return with_money(writers.read_table(t.spark, path), "amount")
 
 
 @query("k6_purge_range", D.with_tables(D.LINES, UPSERT_SQL) + f"""
 SELECT line_id, sheet_date FROM old WHERE sheet_date IS NULL OR NOT sheet_date BETWEEN DATE '{D.PURGE_START}' AND DATE '{D.PURGE_END}'""")
 def k6(t: Tables) -> DataFrame:
-    path, staging = run_folder(t.spark, "purged"), run_folder(t.spark, "staging")
+    path = run_folder(t.spark, "purged")
     writers.replace_table(_upsert_sides(t)[0].select("line_id", "sheet_date"), path)
-    writers.rewrite_table(t.spark, path, staging, lambda df: purge_range(df, "sheet_date", D.PURGE_START, D.PURGE_END))
-    return t.spark.read.parquet(path)
+    VersionedTable(t.spark, path).remove(in_range("sheet_date", D.PURGE_START, D.PURGE_END))
+    return writers.read_table(t.spark, path)
 
 
 AUDITED = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
@@ -233,6 +234,6 @@ def k10(t: Tables) -> DataFrame:
     schema = T.StructType.fromDDL("line_id bigint, period int, delivery int")
     for delivery in (first, second, None):
         if delivery is not None:
-            writers.append_table(delivery.drop("s"), source)
+            delivery.drop("s").write.mode("append").parquet(source)
         ingest_available_now(t.spark, source, target, checkpoint, "period", schema)
-    return writers.read_keyed(t.spark, target)
+    return writers.read_table(t.spark, target)

@@ -30,11 +30,16 @@ def _as_date(text: str, name: str) -> date:
         raise ValueError(f"{name} must be YYYY-MM-DD, got {text!r}") from error
 
 
-def _inside(column: str, start: str | None, end: str | None) -> Column:
+def in_range(column: str, start: str | None, end: str | None) -> Column:
+    """Whether a date lies in [start, end]: a plain comparison that reaches the scan, null where there is no date."""
     if not start or not end:  # without both dates nothing is purged
         return F.lit(False)
     lo, hi = _as_date(start, "start"), _as_date(end, "end")
-    return F.coalesce(F.col(column).between(F.lit(lo), F.lit(hi)), F.lit(False))
+    return F.col(column).between(F.lit(lo), F.lit(hi))
+
+
+def _inside(column: str, start: str | None, end: str | None) -> Column:
+    return F.coalesce(in_range(column, start, end), F.lit(False))
 
 
 def purge_range(df: DataFrame, column: str, start: str, end: str) -> DataFrame:

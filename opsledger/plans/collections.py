@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from opsledger.plans import receipts, report
 from opsledger.plans.policy import Policies
 from opsledger.session import stored
-from opsledger.sources.writers import read_keyed, replace_partitions
+from opsledger.sources.writers import load_by_key, read_table
 
 
 def load_bank_lines(lines: DataFrame, load_id: int, path: str) -> DataFrame:
     """Bank line table after a delivery: delivered days replace the days already there."""
-    replace_partitions(lines, load_id, path, "sheet_date")
-    return read_keyed(lines.sparkSession, path)
+    load_by_key(lines, load_id, path, "sheet_date")
+    return read_table(lines.sparkSession, path)
 
 
 def receipt_tables(lines: DataFrame, detail: DataFrame, policies: Policies, root: str) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from opsledger.functions import scalars as X
 from opsledger.operators.schema import conform_schema, rename_map
-from opsledger.sources.writers import replace_table
+from opsledger.sources.writers import read_table, replace_table
 
 # Fixed value: date format of the export.
 DATE_FORMAT = "yyyy-MM-dd"
@@ -82,4 +82,4 @@ def store_contacts(raw: DataFrame, paths: list[str], refuse_empty: bool = True)
     contacts = contact_feed(raw)
     for path in paths:
         replace_table(contacts, path, refuse_empty)
-        contacts = raw.sparkSession.read.parquet(paths[0])
+        contacts = read_table(raw.sparkSession, paths[0])

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsledger.operators.mutations import purge_audit, purge_range, upsert_by_key
+from opsledger.operators.mutations import in_range, upsert_by_key
 from opsledger.operators.schema import require_columns, strict_cast_and_order
-from opsledger.session import folder_exists
 from opsledger.sources.sheets import pick_sheet
-from opsledger.sources.writers import is_keyed, purge_keyed, replace_table, rewrite_table
+from opsledger.sources.versions import VersionedTable, store_counted
 
 TARGET_SCHEMA = T.StructType([
     T.StructField("date", T.DateType()), T.StructField("facility", T.StringType()),
@@ -33,38 +33,49 @@ def target_load(rows: DataFrame, existing: DataFrame | None = None, replace_keys
     return existing.unionByName(new)
 
 
-def store_targets(rows: DataFrame, path: str, staging: str, sheet: str | None = None) -> None:
+def store_targets(rows: DataFrame, path: str, sheet: str | None = None) -> None:
     """Replace the keys of a delivery in the stored target table, or start the table with it.
 
     ``rows`` come from one workbook: with ``sheet`` that sheet is taken, or else the first one.
     """
-    spark = rows.sparkSession
     if sheet is not None:
         rows = pick_sheet(rows, sheet).drop("sheetname", "position")
-    if folder_exists(spark, path):
-        rewrite_table(spark, path, staging, lambda old: target_load(rows, old))
+    table = VersionedTable(rows.sparkSession, path)
+    if table.exists():
+        table.rewrite(lambda old: target_load(rows, old))
     else:
-        replace_table(target_load(rows), path, refuse_empty=True)
+        table.replace(target_load(rows), refuse_empty=True)
 
 
-def range_purge(tables: dict[str, tuple[DataFrame, str]], start: str, end: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """(audit, table name -> remaining rows). Both ends of the range go; blank dates purge nothing."""
-    return purge_audit(tables, start, end), {n: purge_range(df, c, start, end) for n, (df, c) in tables.items()}
+def purge_into(tables: dict[str, tuple[DataFrame, str]], start: str, end: str, root: str) -> tuple[list[Row], dict[str, VersionedTable]]:
+    """Store each table below ``root`` without the rows of the range; returns one audit row per table, and the tables.
+
+    The counts are taken in the pass that writes. Both ends of the range go; blank dates purge nothing. All dates are
+    checked before the first write.
+    """
+    inside = {name: F.coalesce(in_range(column, start, end), F.lit(False)) for name, (_, column) in tables.items()}
+    audit, stored = [], {}
+    for name, (df, _) in tables.items():
+        stored[name] = VersionedTable(df.sparkSession, f"{root}/{name}")
+        counts = store_counted(stored[name], df, ~inside[name], rows_before=F.count(F.lit(1)), rows_purged=F.count_if(inside[name]))
+        audit.append(Row(table_name=name, **counts, rows_after=counts["rows_before"] - counts["rows_purged"]))
+    return audit, stored
 
 
-def purge_stored(spark: SparkSession, paths: dict[str, tuple[str, str]], start: str, end: str, staging: str) -> list:
-    """Purge stored tables. All dates are checked and all counts are taken before the first write.
+def purge_stored(spark: SparkSession, paths: dict[str, tuple[str, str]], start: str, end: str) -> list[Row]:
+    """Purge stored tables; returns one audit row per table.
 
-    A table laid out by key keeps its layout, and only its partitions with rows in the range are rewritten.
-    Returns one audit row per table.
+    All dates are checked, all rows counted and all new data written before the first table shows its new version.
+    Files without a row in the range stay as they are, in keyed tables as well.
     """
-    tables = {name: (spark.read.parquet(path), column) for name, (path, column) in paths.items()}
-    audit = purge_audit(tables, start, end).collect()  # one row per table
-    if not start or not end:
-        return audit
-    for name, (path, column) in paths.items():
-        if is_keyed(spark, path):
-            purge_keyed(spark, path, f"{staging}/{name}", lambda df, c=column: purge_range(df, c, start, end))
-            continue
-        rewrite_table(spark, path, f"{staging}/{name}", lambda df, c=column: purge_range(df, c, start, end))
+    inside = {name: in_range(column, start, end) for name, (_, column) in paths.items()}
+    audit, prepared = [], []
+    for name, (path, _) in paths.items():
+        table = VersionedTable(spark, path)
+        counts, version = table.removal(inside[name])
+        audit.append(Row(table_name=name, **counts))
+        prepared.append((table, version))
+    for table, version in prepared:
+        if version is not None:
+            table.publish(version)
     return audit

@@ -58,15 +58,52 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder of whatever store ``path`` names; nothing happens when it is not there."""
+def _place(spark: SparkSession, path: str):
+    """The path and the file system of whatever store it names."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file; nothing happens when it is not there."""
+    place, store = _place(spark, path)
+    store.delete(place, True)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    place, store = _place(spark, path)
+    return store.exists(place)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible entries of a folder, sorted; none when it is not there."""
+    place, store = _place(spark, path)
+    if not store.exists(place):
+        return []
+    names = (status.getPath().getName() for status in store.listStatus(place))
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    place, store = _place(spark, path)
+    stream = store.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_small_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file that appears whole under a new name, by a rename. False when the name is taken."""
+    place, store = _place(spark, path)
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{uuid.uuid4().hex}")
+    stream = store.create(own)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    if not store.exists(place) and store.rename(own, place):
+        return True
+    store.delete(own, False)
+    return False
 
 
 def remove_run_folders(spark: SparkSession) -> None:

@@ -1,33 +1,42 @@
-"""Sinks. Tables are parquet folders or catalog tables; databases go through the JDBC writer."""
+"""Sinks. Tables are kept in versions; exports are Parquet folders by partition; databases go through the JDBC writer."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsledger.functions import scalars as X
-from opsledger.session import remove_folder
+from opsledger.sources.versions import VersionedTable
 
 
 def replace_table(df: DataFrame, path: str, refuse_empty: bool = False) -> None:
-    """Overwrite the table at ``path``. With ``refuse_empty`` an empty frame leaves the old rows in place."""
-    if refuse_empty and df.isEmpty():
-        raise ValueError(f"refusing to replace {path} with an empty table")
-    df.write.mode("overwrite").parquet(path)
+    """The table at ``path`` is ``df`` from now on; ``df`` may read it. With ``refuse_empty`` an empty frame changes nothing."""
+    VersionedTable(df.sparkSession, path).replace(df, refuse_empty)
 
 
 def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    VersionedTable(df.sparkSession, path).append(df)
+
+
+def rewrite_table(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace a table by ``change(table)``: written once, then seen at once."""
+    VersionedTable(spark, path).rewrite(change)
+
+
+def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The latest rows of a stored table, or those of an earlier version."""
+    return VersionedTable(spark, path).read(version)
 
 
-def rewrite_table(spark: SparkSession, path: str, staging: str, change) -> None:
-    """Replace a table by ``change(table)``.
+def load_by_key(df: DataFrame, load_id: int | str, path: str, key: str) -> None:
+    """Keyed replacement: old rows whose key is in ``df`` go, all rows of ``df`` come in.
 
-    The new state is written to ``staging`` first, so the table is never read
-    and overwritten by the same job and a failed job leaves a full copy.
+    Null keys match nothing, so old null rows stay and new ones are added. A load that is run again after a failure
+    (same ``load_id``) gives the same table, so the id must name the source as well as the load.
     """
-    change(spark.read.parquet(path)).write.mode("errorifexists").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    VersionedTable(df.sparkSession, path).load(df, str(load_id), key)
 
 
 def write_partitioned(df: DataFrame, path: str, column: str, files_per_partition: int | None = None) -> None:
@@ -42,65 +51,6 @@ def write_partitioned(df: DataFrame, path: str, column: str, files_per_partition
         .partitionBy(column).parquet(path)
 
 
-# The layout of a keyed table: its key as marked text, and for rows without a key the load they came with. The key
-# itself stays a column of the files, so its type and texts like '007' or '' come back as they were.
-KEY_COLUMN, LOAD_COLUMN = "key_part", "null_key_load"
-
-
-def replace_partitions(df: DataFrame, load_id: int | str, path: str, key: str) -> None:
-    """Keyed replacement in a table laid out by ``key``: only the partitions of the load are rewritten.
-
-    Old rows whose key is in ``df`` go, all rows of ``df`` come in; null keys
-    match nothing, so old null rows stay and new ones are added. A load that is
-    run again after a failure (same ``load_id``) gives the same table, so the id
-    must name the source as well as the load.
-    """
-    laid_out = df.withColumns({
-        KEY_COLUMN: F.concat(F.lit("k"), F.col(key).cast("string")),
-        LOAD_COLUMN: F.when(F.col(key).isNull(), F.lit(f"l{load_id}")).otherwise(F.lit("l"))})
-    laid_out.hint("rebalance", F.col(KEY_COLUMN)).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(KEY_COLUMN, LOAD_COLUMN).parquet(path)
-
-
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(KEY_COLUMN, LOAD_COLUMN)
-
-
-def is_keyed(spark: SparkSession, path: str) -> bool:
-    return {KEY_COLUMN, LOAD_COLUMN} <= set(spark.read.parquet(path).columns)
-
-
-def purge_keyed(spark: SparkSession, path: str, staging: str, keep) -> None:
-    """Replace a keyed table by ``keep(table)``, a filter; partitions that lose no row are not touched.
-
-    What stays of the others is staged before it overwrites them, and partitions left without a row are removed last,
-    so a purge that failed half way is finished by running it again.
-    """
-    table = spark.read.parquet(path)
-    parts = [KEY_COLUMN, LOAD_COLUMN]
-    on = F.col(KEY_COLUMN).eqNullSafe(F.col("_k")) & (F.col(LOAD_COLUMN) == F.col("_l"))
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*parts).agg(F.count(F.lit(1)).alias(name))
-
-    kept = counted(keep(table), "kept").withColumnsRenamed({KEY_COLUMN: "_k", LOAD_COLUMN: "_l"})
-    changed = counted(table, "n").join(kept, on, "left").select(*parts, "n", F.coalesce("kept", F.lit(0)).alias("kept")) \
-        .where("kept < n")
-    changed.write.mode("errorifexists").parquet(f"{staging}/partitions")
-    changed = spark.read.parquet(f"{staging}/partitions")
-    touched = changed.select(F.col(KEY_COLUMN).alias("_k"), F.col(LOAD_COLUMN).alias("_l"))
-    keep(table).join(touched, on, "left_semi").write.mode("errorifexists").partitionBy(*parts).parquet(f"{staging}/rows")
-    if not changed.where("kept > 0").isEmpty():
-        spark.read.parquet(f"{staging}/rows").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(*parts).parquet(path)
-    emptied = changed.where("kept = 0").select("key_part", "null_key_load")
-    files = spark.read.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
-    touched = emptied.select(F.col(KEY_COLUMN).alias("_k"), F.col(LOAD_COLUMN).alias("_l"))
-    folders = files.join(touched, on, "left_semi").select(F.regexp_extract("_file", "^(.*)/[^/]*$", 1).alias("f")).distinct()
-    for row in folders.toLocalIterator():  # one short row per partition to remove
-        remove_folder(spark, row.f)
-
-
 def size_report(df: DataFrame, target_mb: int = 256, fraction: float | None = None, seed: int = 0) -> DataFrame:
     """One row: rows, bytes per row as JSON, size and partitions of ``target_mb`` each.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsledger.session import folder_exists
-from opsledger.sources.writers import replace_partitions
+from opsledger.session import names_in, read_small_file, remove_folder
+from opsledger.sources.versions import LOAD, Part, VersionedTable
 
 
 def ingest_available_now(spark: SparkSession, source: str, target: str, checkpoint: str, key: str,
@@ -15,10 +17,11 @@ def ingest_available_now(spark: SparkSession, source: str, target: str, checkpoi
                          options: dict | None = None, prepare=None):
     """Process every file not seen before and stop. The checkpoint remembers the files.
 
-    All files of a run are one delivery, into however many micro-batches ``files_per_batch`` cuts it: batches are
-    staged beside the checkpoint and replace their keys once, at the end. A run that fails is finished by the next
-    one, which takes the staged batches along. Rows without a key are kept per delivery, under the identity of the
-    stream and its first batch, so neither another source nor a new checkpoint overwrites them.
+    All files of a run are one delivery, into however many micro-batches ``files_per_batch`` cuts it: each batch is
+    written once, as a data folder of the table that no version names yet, and the last step makes them all one load
+    by publishing a version. A run that fails is finished by the next one, which takes the waiting folders along. Rows
+    without a key are kept per delivery, under the identity of the stream and its first batch, so neither another
+    source nor a new checkpoint overwrites them.
     """
     reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if files_per_batch:
@@ -26,28 +29,48 @@ def ingest_available_now(spark: SparkSession, source: str, target: str, checkpoi
     stream = reader.load(source)
     if prepare is not None:
         stream = prepare(stream)
-    staged, done = f"{checkpoint}_staged", f"{checkpoint}_done"
+    table = VersionedTable(spark, target)
+    before = table.version()
+    number = 1 + (before.number if before else 0)
 
     def stage(batch, batch_id):
-        batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(staged)
+        query_id = _stream_id(spark, checkpoint)
+        for name, (_, found, _) in _waiting(table, query_id).items():  # what an earlier try of this batch has left
+            if found == batch_id:
+                remove_folder(spark, f"{table.path}/data/{name}")
+        batch.withColumn(LOAD, F.lit(number).cast("bigint")).write.mode("overwrite") \
+            .parquet(f"{table.path}/data/{query_id}.{batch_id}.{number}")
 
     query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True) \
         .foreachBatch(stage).start()
     query.awaitTermination()
-    rows = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType())])
-    waiting = _existing(spark, staged, rows)
-    if waiting is None:
-        return query
-    finished = _existing(spark, done, T.StructType([T.StructField("last", T.LongType())]))
-    last = -1 if finished is None else finished.agg(F.max("last")).first()[0]
-    waiting = waiting.where(F.col("_batch") > last)
-    span = waiting.agg(F.min("_batch").alias("first"), F.max("_batch").alias("last")).first()
-    if span["first"] is not None:
-        replace_partitions(waiting.drop("_batch"), f"{query.id}-{span['first']}", target, key)
-        spark.createDataFrame([(span["last"],)], "last bigint").write.mode("append").parquet(done)
+    query_id = _stream_id(spark, checkpoint)
+    seen = -1 if before is None else before.marks.get(query_id, -1)
+    waiting = {name: found for name, found in _waiting(table, query_id).items() if found[1] > seen}
+    if waiting:
+        batches = [b for _, b, _ in waiting.values()]
+        parts = [_renumbered(table, name, n, number, stream.schema) for name, (_, _, n) in waiting.items()]
+        table.adopt(parts, stream.schema, f"{query_id}-{min(batches)}", key, before, number, {query_id: max(batches)})
     return query
 
 
-def _existing(spark: SparkSession, path: str, schema: T.StructType):
-    return spark.read.schema(schema).parquet(path) if folder_exists(spark, path) else None
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that Spark keeps in its checkpoint."""
+    return json.loads(read_small_file(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
+def _waiting(table: VersionedTable, query_id: str) -> dict[str, tuple[str, int, int]]:
+    """Data folders that runs of this stream have written: name to (stream, batch, load number)."""
+    parts = {n: n.split(".") for n in names_in(table.spark, f"{table.path}/data")}
+    return {n: (p[0], int(p[1]), int(p[2])) for n, p in parts.items() if len(p) == 3 and p[0] == query_id}
+
+
+def _renumbered(table: VersionedTable, name: str, written: int, number: int, schema: T.StructType) -> Part:
+    """The folder as a part of load ``number``; written anew if another writer has taken its number meanwhile."""
+    if written == number:
+        return Part(f"data/{name}")
+    rows = table.spark.read.schema(T.StructType([*schema, T.StructField(LOAD, T.LongType())])).parquet(f"{table.path}/data/{name}")
+    again = name.rsplit(".", 1)[0] + f".{number}"
+    rows.withColumn(LOAD, F.lit(number).cast("bigint")).write.mode("overwrite").parquet(f"{table.path}/data/{again}")
+    remove_folder(table.spark, f"{table.path}/data/{name}")
+    return Part(f"data/{again}")

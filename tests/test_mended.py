@@ -30,26 +30,26 @@ def test_purge_between_two_loads_keeps_the_other_days(spark, tmp_path):
         collections.load_bank_lines(spark.createDataFrame(data, "sheet_date date, v string"), number, path)
 
     load(1, 1, 2, 3, None)
-    audit = maintenance.purge_stored(spark, {"lines": (path, "sheet_date")}, "2024-01-02", "2024-01-02", str(tmp_path / "stage"))
+    audit = maintenance.purge_stored(spark, {"lines": (path, "sheet_date")}, "2024-01-02", "2024-01-02")
     assert tuple(audit[0]) == ("lines", 4, 1, 3)
     load(2, 3, None)
-    assert {r.v for r in writers.read_keyed(spark, path).collect()} == {"1:1", "2:3", "1:None", "2:None"}
+    assert {r.v for r in writers.read_table(spark, path).collect()} == {"1:1", "2:3", "1:None", "2:None"}
 
 
 def test_purge_rewrites_a_partition_it_cuts(spark, tmp_path):
     path = str(tmp_path / "t")
     data = [("a", D(2024, 1, 1)), ("a", D(2024, 1, 2)), ("b", D(2024, 1, 2)), ("c", D(2024, 1, 3))]
-    writers.replace_partitions(spark.createDataFrame(data, "k string, d date"), 1, path, "k")
-    maintenance.purge_stored(spark, {"t": (path, "d")}, "2024-01-02", "2024-01-02", str(tmp_path / "stage"))
-    assert rows(writers.read_keyed(spark, path)) == Counter([data[0], data[3]])
+    writers.load_by_key(spark.createDataFrame(data, "k string, d date"), 1, path, "k")
+    maintenance.purge_stored(spark, {"t": (path, "d")}, "2024-01-02", "2024-01-02")
+    assert rows(writers.read_table(spark, path)) == Counter([data[0], data[3]])
 
 
 def test_text_keys_come_back_as_they_were(spark, tmp_path):
     path = str(tmp_path / "t")
     data = [("007", 1), ("7", 2), ("", 3), (None, 4)]
-    writers.replace_partitions(spark.createDataFrame(data, "k string, v int"), "x", path, "k")
-    writers.replace_partitions(spark.createDataFrame([("7", 5)], "k string, v int"), "y", path, "k")
-    assert rows(writers.read_keyed(spark, path)) == Counter([("007", 1), ("7", 5), ("", 3), (None, 4)])
+    writers.load_by_key(spark.createDataFrame(data, "k string, v int"), "x", path, "k")
+    writers.load_by_key(spark.createDataFrame([("7", 5)], "k string, v int"), "y", path, "k")
+    assert rows(writers.read_table(spark, path)) == Counter([("007", 1), ("7", 5), ("", 3), (None, 4)])
 
 
 def test_one_text_partition_is_read_by_its_text(spark, tmp_path):
@@ -64,9 +64,9 @@ def test_small_batches_are_one_delivery(spark, tmp_path):
     for source in ("one", "two"):
         place = str(tmp_path / source)
         for part in range(3):
-            writers.append_table(spark.createDataFrame([(1, f"{source}{part}"), (None, f"n{source}{part}")], schema).coalesce(1), place)
+            spark.createDataFrame([(1, f"{source}{part}"), (None, f"n{source}{part}")], schema).coalesce(1).write.mode("append").parquet(place)
         ingest_available_now(spark, place, target, str(tmp_path / f"state_{source}"), "k", schema, files_per_batch=1)
-    found = {r.v for r in writers.read_keyed(spark, target).collect()}
+    found = {r.v for r in writers.read_table(spark, target).collect()}
     assert found == {f"two{i}" for i in range(3)} | {f"n{s}{i}" for s in ("one", "two") for i in range(3)}
 
 

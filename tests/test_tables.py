@@ -104,9 +104,9 @@ def test_replace_refuses_empty(spark, tmp_path):
     writers.replace_table(spark.range(3), path)
     with pytest.raises(ValueError, match="empty"):
         writers.replace_table(spark.range(0), path, refuse_empty=True)
-    assert spark.read.parquet(path).count() == 3
+    assert writers.read_table(spark, path).count() == 3
     writers.append_table(spark.range(2), path)
-    assert spark.read.parquet(path).count() == 5
+    assert writers.read_table(spark, path).count() == 5
 
 
 def test_partition_write_keeps_other_partitions(spark, tmp_path):
@@ -166,12 +166,12 @@ def test_stored_purge_checks_dates_before_any_write(spark, tmp_path):
     for path, _ in paths.values():
         writers.replace_table(spark.createDataFrame([(D(2024, 1, d),) for d in (1, 2, 3)], "d date"), path)
     with pytest.raises(ValueError):
-        maintenance.purge_stored(spark, paths, "2024-01-02", "soon", str(tmp_path / "stage0"))
-    assert all(spark.read.parquet(p).count() == 3 for p, _ in paths.values())
-    audit = maintenance.purge_stored(spark, paths, "2024-01-02", "2024-01-02", str(tmp_path / "stage1"))
+        maintenance.purge_stored(spark, paths, "2024-01-02", "soon")
+    assert all(writers.read_table(spark, p).count() == 3 for p, _ in paths.values())
+    audit = maintenance.purge_stored(spark, paths, "2024-01-02", "2024-01-02")
     assert [(r.table_name, r.rows_before, r.rows_purged, r.rows_after) for r in audit] == [("a", 3, 1, 2), ("b", 3, 1, 2)]
-    assert all(spark.read.parquet(p).count() == 2 for p, _ in paths.values())
-    again = maintenance.purge_stored(spark, paths, "2024-01-02", "2024-01-02", str(tmp_path / "stage2"))
+    assert all(writers.read_table(spark, p).count() == 2 for p, _ in paths.values())
+    again = maintenance.purge_stored(spark, paths, "2024-01-02", "2024-01-02")
     assert [r.rows_purged for r in again] == [0, 0]
 
 
@@ -192,23 +192,23 @@ def test_ingest_once_replaces_keys_and_keeps_null_rows(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
 
     def deliver(*data):
-        writers.append_table(spark.createDataFrame(list(data), schema), source)
+        spark.createDataFrame(list(data), schema).write.mode("append").parquet(source)
         ingest_available_now(spark, source, target, state, "k", schema)
 
     deliver((1, "a"), (2, "b"), (None, "n1"))
     deliver((2, "c"), (None, "n2"))
     wanted = Counter([("a", 1), ("c", 2), ("n1", None), ("n2", None)])
-    assert rows(writers.read_keyed(spark, target).select("v", "k")) == wanted
+    assert rows(writers.read_table(spark, target).select("v", "k")) == wanted
     ingest_available_now(spark, source, target, state, "k", schema)  # nothing new
-    assert rows(writers.read_keyed(spark, target).select("v", "k")) == wanted
+    assert rows(writers.read_table(spark, target).select("v", "k")) == wanted
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     target = str(tmp_path / "out")
     batch = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
     for _ in range(2):
-        writers.replace_partitions(batch, 0, target, "k")
-    assert rows(writers.read_keyed(spark, target).select("v", "k")) == Counter([("a", 1), ("n", None)])
+        writers.load_by_key(batch, 0, target, "k")
+    assert rows(writers.read_table(spark, target).select("v", "k")) == Counter([("a", 1), ("n", None)])
 
 
 def test_bank_line_load_replaces_days(spark, tmp_path):
@@ -225,4 +225,4 @@ def test_contacts_go_to_every_place(spark, tmp_path):
     from opsledger.plans import contacts
     paths = [str(tmp_path / "raw"), str(tmp_path / "mart")]
     contacts.store_contacts(spark.createDataFrame([("1",)], "`Patient ID` string"), paths)
-    assert [spark.read.parquet(p).select("patient_id").first()[0] for p in paths] == [1, 1]
+    assert [writers.read_table(spark, p).select("patient_id").first()[0] for p in paths] == [1, 1]
