@@ -146,7 +146,7 @@ CALENDAR = """cal AS (SELECT d AS date, CAST(date_diff('day', DATE '1969-12-29',
 FACILITIES = "fac AS (SELECT CAST(n_nationkey AS BIGINT) AS facility_group_id, n_name AS facility_group_name FROM nation)"
 
 DEDUCTS = """ded AS (SELECT CAST(n_nationkey AS BIGINT) AS facility_group_id, n_nationkey * 10.5::DOUBLE AS deduct
-    FROM nation WHERE n_regionkey <> 4)"""
+    FROM nation)"""
 
 TARGETS = """tgt AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_custkey % 25 AS facility_group_id,
     CAST(1000 + 10 * (o_custkey % 25) + day(o_orderdate) AS DOUBLE) AS target FROM orders)"""
@@ -172,7 +172,7 @@ def facilities(t: Tables) -> DataFrame:
 
 
 def deductions(t: Tables) -> DataFrame:
-    return t.nation.where(F.col("n_regionkey") != 4).select(
+    return t.nation.select(
         F.col("n_nationkey").cast("bigint").alias("facility_group_id"), (F.col("n_nationkey") * F.lit(10.5)).alias("deduct"))
 
 
@@ -226,16 +226,16 @@ def sheet_rows(t: Tables) -> DataFrame:
         home.alias("sheet_facility_group_id"), F.when(sheet == "C", 1).otherwise(0).alias("check_account"))
 
 
-# ---- visit log ----------------------------------------------------------------------------------
+# ---- visit log: clinics 25 to 29 are not registered ---------------------------------------------
 
-VISITS = """vis AS (SELECT 'Clinic ' || (user_id % 25) AS facility_name, 'Provider ' || (event_id % 7) AS resource_provider_name,
+VISITS = """vis AS (SELECT 'Clinic ' || (user_id % 30) AS facility_name, 'Provider ' || (event_id % 7) AS resource_provider_name,
     user_id AS patient_id, CAST(ts AS DATE) AS appointment_date,
     CASE WHEN event_type = 'error' THEN 'notype' ELSE event_type END AS visit_type, ts AS log_time,
     'ST' || (CAST(json_extract_string(props, '$.k') AS BIGINT) % 4) AS status,
     CAST(json_extract_string(props, '$.k') AS INT) AS minutes_in_status FROM events)"""
 
 CLINICS = """clin AS (SELECT 'Clinic ' || n_nationkey AS facility_name, CAST(n_nationkey AS BIGINT) AS facility_group_id,
-    n_name AS facility_group_name FROM nation WHERE n_regionkey <> 3)"""
+    n_name AS facility_group_name FROM nation)"""
 
 EVENT_CALENDAR = """ecal AS (SELECT d AS appointment_date,
       CAST(date_diff('day', DATE '1969-12-29', CAST(date_trunc('week', d) AS DATE)) // 7 AS BIGINT) AS appointment_date_calendar_week_id
@@ -247,7 +247,7 @@ def visit_export(t: Tables) -> DataFrame:
     """The status log as exported: long names, text minutes, a missing type as null."""
     k = F.get_json_object("props", "$.k")
     return t.events.select(
-        F.concat(F.lit("Clinic "), (F.col("user_id") % 25).cast("string")).alias("Appointment Facility Name"),
+        F.concat(F.lit("Clinic "), (F.col("user_id") % 30).cast("string")).alias("Appointment Facility Name"),
         F.concat(F.lit("Provider "), (F.col("event_id") % 7).cast("string")).alias("Resource Provider Name"),
         F.col("user_id").alias("Patient Acct No"), F.col("ts").alias("Appointment Date"),
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("Visit Type"), F.col("ts").alias("Log Time"),
@@ -256,7 +256,7 @@ def visit_export(t: Tables) -> DataFrame:
 
 
 def clinics(t: Tables) -> DataFrame:
-    return t.nation.where(F.col("n_regionkey") != 3).select(
+    return t.nation.select(
         F.concat(F.lit("Clinic "), F.col("n_nationkey").cast("string")).alias("facility_name"),
         F.col("n_nationkey").cast("bigint").alias("facility_group_id"), F.col("n_name").alias("facility_group_name"))
 
@@ -271,26 +271,46 @@ REGISTER = """reg AS (SELECT CASE WHEN l_linenumber = 1 THEN 'Incoming, Referral
     CAST(l_shipdate AS DATE) AS scan_dt, l_orderkey * 10 + l_linenumber AS document_id,
     CASE WHEN l_linestatus = 'O' THEN l_partkey || ' Name' ELSE 'Name ' || l_partkey END AS patient_id_name,
     CASE WHEN l_returnflag = 'R' THEN NULL
-      ELSE CAST(l_shipdate AS DATE) + CAST((l_partkey * 7919 + l_suppkey * 104729) % 4001 - 2000 AS INT) END AS reviewed_dt
+      ELSE CAST(l_shipdate AS DATE) + CAST((l_partkey * 7919 + l_suppkey * 104729) % 4001 - 2000 AS INT) END AS reviewed_dt,
+    'Scanner ' || (l_suppkey % 9) AS scanned_by, CASE l_linenumber % 3 WHEN 0 THEN 'Lab "final"' WHEN 1 THEN 'Referral' END AS document_type,
+    'order ' || l_orderkey || chr(13) || chr(10) || 'part ' || l_partkey AS custom_name, 'Clinic ' || (l_suppkey % 25) AS document_facility_name,
+    'Practice ' || (l_partkey % 4) AS appointment_facility_name, CASE WHEN l_returnflag = 'R' THEN 'No' ELSE 'Yes' END AS reviewed,
+    CASE WHEN l_returnflag <> 'R' THEN 'Dr ' || (l_suppkey % 11) END AS reviewer_name,
+    CASE WHEN l_quantity > 40 THEN 'Yes' ELSE 'No' END AS high_priority, 'No' AS publish_to_ehx, 'Yes' AS migrated
     FROM lineitem)"""
 
 
 def register_export(t: Tables) -> DataFrame:
+    """The register with all columns of the export; a custom name has a line break, which text files of
+    the export hold as a carriage return and a line feed, and a type has quotes."""
     shift = ((F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729) % 4001 - 2000).cast("int")
     scan = F.col("l_shipdate").cast("date")
-    number = F.col("l_partkey").cast("string")
+    number, reviewed = F.col("l_partkey").cast("string"), F.col("l_returnflag") != "R"
+
+    def numbered(word: str, value: Column) -> Column:
+        return F.concat(F.lit(word), value.cast("string"))
+
     return t.lineitem.select(
-        F.when(F.col("l_linenumber") == 1, "Incoming, Referrals").otherwise(
-            F.concat(F.lit("Desk "), F.col("l_linenumber").cast("string"))).alias("Assigned To"),
-        scan.cast("string").alias("Scan Date"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("Document ID"),
+        F.when(F.col("l_linenumber") == 1, "Incoming, Referrals").otherwise(numbered("Desk ", F.col("l_linenumber"))).alias("Assigned To"),
+        numbered("Scanner ", F.col("l_suppkey") % 9).alias("Scanned By"), scan.cast("string").alias("Scan Date"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("Document ID"),
         F.when(F.col("l_linestatus") == "O", F.concat(number, F.lit(" Name"))).otherwise(
             F.concat(F.lit("Name "), number)).alias("Patient Acct No + Name"),
-        F.when(F.col("l_returnflag") != "R", F.date_add(scan, shift)).cast("string").alias("Reviewed Date"))
+        F.when(F.col("l_linenumber") % 3 == 0, 'Lab "final"').when(F.col("l_linenumber") % 3 == 1, "Referral").alias("Document Type"),
+        F.concat(numbered("order ", F.col("l_orderkey")), numbered("\npart ", F.col("l_partkey"))).alias("Custom Name"),
+        numbered("Clinic ", F.col("l_suppkey") % 25).alias("Document Facility Name"),
+        numbered("Practice ", F.col("l_partkey") % 4).alias("Appointment Practice Name"),
+        F.when(reviewed, "Yes").otherwise("No").alias("Reviewed"),
+        F.when(reviewed, numbered("Dr ", F.col("l_suppkey") % 11)).alias("Reviewer Name"),
+        F.when(reviewed, F.date_add(scan, shift)).cast("string").alias("Reviewed Date"),
+        F.when(F.col("l_quantity") > 40, "Yes").otherwise("No").alias("High Priority"),
+        F.lit("No").alias("Publish To EHX"), F.lit("Yes").alias("Migrated"))
 
 
-# ---- fee sheet ----------------------------------------------------------------------------------
+# ---- fee sheet: the codes of some sizes are not procedures --------------------------------------
 
-FEE_SHEET = """sheet AS (SELECT p_name AS cpt_description, CAST(p_partkey AS VARCHAR) AS cpt_code, p_brand AS cpt_group,
+FEE_SHEET = """sheet AS (SELECT p_name AS cpt_description,
+    CAST(p_partkey + CASE WHEN p_size = 5 THEN 100000000 ELSE 0 END AS VARCHAR) AS cpt_code, p_brand AS cpt_group,
     p_type AS mod_1, CAST(NULL AS VARCHAR) AS mod_2, CASE WHEN p_size % 2 = 0 THEN 'MD' ELSE 'NP' END AS resource_provider_type,
     p_retailprice AS plan_a, CASE WHEN p_size % 3 <> 0 THEN p_retailprice * 0.5 END AS plan_b, p_retailprice + p_size AS plan_c
     FROM part)"""
@@ -298,13 +318,14 @@ FEE_SHEET = """sheet AS (SELECT p_name AS cpt_description, CAST(p_partkey AS VAR
 FEE_PLANS = """plans AS (SELECT CASE r_regionkey WHEN 0 THEN 'plan_a' WHEN 1 THEN 'plan_b' ELSE 'plan_x' || r_regionkey END AS fee_plan,
     r_regionkey + 100.0::DOUBLE AS id_fee_plan FROM region)"""
 
-PROCEDURES = """proc AS (SELECT p_partkey + 1000 AS cpt_id, p_partkey AS cpt_code FROM part WHERE p_size <> 5)"""
+PROCEDURES = """proc AS (SELECT p_partkey + 1000 AS cpt_id, p_partkey AS cpt_code FROM part)"""
 
 
 def fee_sheet(t: Tables) -> DataFrame:
     price = F.col("p_retailprice")
     return t.part.select(
-        F.col("p_name").alias("cpt_description"), F.col("p_partkey").alias("cpt_code"), F.col("p_brand").alias("cpt_group"),
+        F.col("p_name").alias("cpt_description"),
+        (F.col("p_partkey") + F.when(F.col("p_size") == 5, 100_000_000).otherwise(0)).alias("cpt_code"), F.col("p_brand").alias("cpt_group"),
         F.col("p_type").alias("mod_1"), F.lit(None).cast("string").alias("mod_2"),
         F.when(F.col("p_size") % 2 == 0, "MD").otherwise("NP").alias("resource_provider_type"),
         price.alias("plan_a"), F.when(F.col("p_size") % 3 != 0, price * 0.5).alias("plan_b"),
@@ -318,4 +339,4 @@ def fee_plans(t: Tables) -> DataFrame:
 
 
 def procedures(t: Tables) -> DataFrame:
-    return t.part.where(F.col("p_size") != 5).select((F.col("p_partkey") + 1000).alias("cpt_id"), F.col("p_partkey").alias("cpt_code"))
+    return t.part.select((F.col("p_partkey") + 1000).alias("cpt_id"), F.col("p_partkey").alias("cpt_code"))

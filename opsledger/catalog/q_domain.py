@@ -158,6 +158,15 @@ def d13_sheet(t: Tables) -> DataFrame:
     return with_money(receipts.sheet_collections(D.bank_lines(t), D.payment_details(t), default_policies(t.spark)), *SHEET_MONEY)
 
 
+@query("d13_leftover_receipts", D.with_tables(D.LINES, """odd AS (SELECT *, CASE WHEN payment_id <> 3 THEN sheet_date END AS day,
+  CASE WHEN sheetname NOT IN ('W', 'G', 'C') THEN 'no policy' WHEN payment_id = 3 THEN 'no date' END AS reason FROM lines)""") + f"""
+SELECT sheetname, day AS sheet_date, reason, {sql_money('sum(amount)')} AS amount, count(*) AS n_lines FROM odd WHERE reason IS NOT NULL GROUP BY ALL""")
+def d13_leftover(t: Tables) -> DataFrame:
+    """Single sheets are not registered here, and lines of one class have no date."""
+    lines = D.bank_lines(t).withColumn("sheet_date", F.when(F.col("payment_id") != 3, F.col("sheet_date")))
+    return with_money(receipts.leftover_receipts(lines, default_policies(t.spark).only("W", "G", "C")), "amount")
+
+
 # ---- reports --------------------------------------------------------------------------------------
 
 BASE = """wk AS (SELECT DISTINCT calendar_week_id FROM cal WHERE date BETWEEN (SELECT min(sheet_date) FROM lines)
@@ -262,6 +271,28 @@ def collections_report(t: Tables) -> DataFrame:
     return with_money(reports["collections_report"], "amount").withColumn("net_amount", F.col("amount") - F.col("deduct"))
 
 
+# An amount that is no number, of a sheet without debit and credit, adds nothing to its day.
+CHAIN_LINES = """lines AS (SELECT sheet_date, coalesce(amount, 0) AS amount, payment_id, sheetname, merch_facility_group_id FROM step5)"""
+
+
+@query("chain_collections_report", D.with_tables(
+    D.SHEET_ROWS, D.MERCHANTS, D.FACILITIES, NORMALISED, CHAIN_LINES, D.DETAIL, D.CLASSES, D.ALLOCATION, D.CALENDAR, D.DEDUCTS, D.TARGETS,
+    BASE, REPORT, NOW) + f"""
+SELECT {DENSE_COLUMNS}, {FLAGS}, {BANDS} FROM dense CROSS JOIN now
+LEFT JOIN tgt ON tgt.date = bank_dept_dt AND tgt.facility_group_id = dense.facility_group_id""".replace(
+    "deduct, facility_group_id", "deduct, dense.facility_group_id").replace("bank_dept_week, facility_group_id", "bank_dept_week, dense.facility_group_id"))
+def chain(t: Tables) -> DataFrame:
+    """From sheet rows to the report: lines are made, stored by day, delivered again for some days, matched, shared out, reported."""
+    rows, bank = D.sheet_rows(t), run_folder(t.spark, "bank_lines")
+    lines = receipts.normalise_bank_lines(rows, D.merchants(t), D.facilities(t), D.ALIASES)
+    collections.load_bank_lines(lines, "first delivery", bank)
+    stored_lines = collections.load_bank_lines(lines.where(F.dayofmonth("sheet_date") <= 3), "corrections", bank)
+    products = collections.receipt_tables(stored_lines, D.payment_details(t), default_policies(t.spark), run_folder(t.spark, "chain"))
+    reports = collections.report_tables(products, stored_lines, D.order_calendar(t), D.deductions(t), D.facilities(t), D.targets(t), D.AS_OF,
+                                        run_folder(t.spark, "chain_reports"), D.REPORT_START)
+    return with_money(reports["collections_report"], "amount").withColumn("net_amount", F.col("amount") - F.col("deduct"))
+
+
 @query("d19_sheet_report", D.with_tables(*D.RECEIPTS, D.SHEETS, D.CALENDAR) + f"""
 SELECT s.*, c.week AS sheet_week, c.period AS sheet_period, c.year AS sheet_year FROM ({SHEET_SELECT}) s
 LEFT JOIN cal c ON c.date = s.sheet_date""")
@@ -364,7 +395,7 @@ def _contacts_out(df: DataFrame) -> DataFrame:
 @query("d23_contact_feed", CONTACT_SELECT)
 def d23(t: Tables) -> DataFrame:
     path = run_folder(t.spark, "contact_export")
-    contact_export(t).write.options(header=True, sep="\t", encoding="UTF-16LE", lineSep="\n").csv(path)
+    _text_export(contact_export(t), path)
     raw_table, mart_table = run_folder(t.spark, "contacts_raw"), run_folder(t.spark, "contacts_mart")
     contacts.store_contacts(read_delimited(t.spark, path, encoding="UTF-16LE"), [raw_table, mart_table])
     return _contacts_out(read_table(t.spark, mart_table))
@@ -372,12 +403,19 @@ def d23(t: Tables) -> DataFrame:
 
 # ---- documents ------------------------------------------------------------------------------------
 
-@query("d24_document_feed", D.with_tables(D.REGISTER) + f"""
-SELECT assigned_to, CAST(scan_dt AS VARCHAR) AS scan_dt, document_id, patient_id_name, CAST(reviewed_dt AS VARCHAR) AS reviewed_dt,
-  DATE '{D.AS_OF}' AS process_date FROM reg""")
+def _text_export(df: DataFrame, path: str) -> None:
+    """Tab-separated text in the byte order of the exports, quotes doubled, lines ended as on Windows."""
+    df.write.options(header=True, sep="\t", encoding="UTF-16LE", lineSep="\r\n", escape='"').csv(path)
+
+
+REGISTER_COLUMNS = ", ".join(f"CAST({n} AS VARCHAR) AS {n}" for n in documents.REGISTER_NAMES.values())
+
+
+@query("d24_document_feed", D.with_tables(D.REGISTER) + f"SELECT {REGISTER_COLUMNS}, DATE '{D.AS_OF}' AS process_date FROM reg")
 def d24(t: Tables) -> DataFrame:
-    path = run_folder(t.spark, "document_register")
-    documents.store_documents(documents.document_feed(D.register_export(t), D.AS_OF), path)
+    export, path = run_folder(t.spark, "register_export"), run_folder(t.spark, "document_register")
+    _text_export(D.register_export(t), export)
+    documents.store_documents(documents.document_feed(read_delimited(t.spark, export, encoding="UTF-16LE"), D.AS_OF), path)
     return read_partition(t.spark, path, "process_date", D.AS_OF)
 
 
@@ -394,7 +432,8 @@ SELECT assigned_to, scan_dt, document_id, reviewed_dt, review_flag, incref, revi
   CAST(date_diff('day', DATE '1969-12-29', CAST(date_trunc('week', scan_dt) AS DATE)) // 7 AS BIGINT) AS scan_calendar_week_id FROM days""")
 def d25(t: Tables) -> DataFrame:
     register, table = run_folder(t.spark, "documents"), run_folder(t.spark, "document_sla")
-    feed = documents.document_feed(D.register_export(t), D.AS_OF)
+    feed = documents.document_feed(D.register_export(t), D.AS_OF).select(
+        "assigned_to", "scan_dt", "document_id", "patient_id_name", "reviewed_dt", "process_date")
     documents.store_documents(feed, register)
     documents.store_document_sla(t.spark, register, D.AS_OF, table, D.ship_calendar(t))
     return read_table(t.spark, table)

@@ -18,10 +18,13 @@ LINE_KEY_LIST = LINE_KEYS.split(", ")
 # ---- joins ----------------------------------------------------------------------------------------
 
 
-@query("j1_lookup_left_raise", "SELECT o_orderkey, c_mktsegment, c_nationkey FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0")
+@query("j1_lookup_left_raise", """SELECT o_orderkey, c_mktsegment, c_nationkey FROM orders
+LEFT JOIN customer ON c_custkey = o_custkey + CASE WHEN o_orderpriority = '5-LOW' THEN 100000000 ELSE 0 END""")
 def j1_raise(t: Tables) -> DataFrame:
-    dim = t.customer.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
-    return J.lookup_left(t.orders, dim, ["o_custkey"], ["c_mktsegment", "c_nationkey"]).select("o_orderkey", "c_mktsegment", "c_nationkey")
+    """Orders of one priority name customers that are not there."""
+    dim = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
+    missing = F.when(F.col("o_orderpriority") == "5-LOW", 100_000_000).otherwise(0)
+    return J.lookup_left(t.orders.withColumn("o_custkey", F.col("o_custkey") + missing), dim, ["o_custkey"], ["c_mktsegment", "c_nationkey"]).select("o_orderkey", "c_mktsegment", "c_nationkey")
 
 
 # Every merchant with an even number is registered twice, so the lookup key repeats.
@@ -93,12 +96,12 @@ def j4(t: Tables) -> DataFrame:
 
 @query("j5_left_agg_subquery", D.with_tables(D.DEDUCTS) + f"""
 SELECT b.date, b.facility_group_id, {sql_money('coalesce(r.amount, 0)')} AS amount, coalesce(ded.deduct, 0) AS deduct
-FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, l_suppkey % 25 AS facility_group_id FROM lineitem) b
-LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, o_custkey % 25 AS f, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS amount FROM orders GROUP BY ALL) r
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, l_suppkey % 27 AS facility_group_id FROM lineitem) b
+LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, o_custkey % 27 AS f, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS amount FROM orders GROUP BY ALL) r
   ON r.d = b.date AND r.f = b.facility_group_id LEFT JOIN ded ON ded.facility_group_id = r.f""")
 def j5(t: Tables) -> DataFrame:
-    base = t.lineitem.select(F.col("l_shipdate").cast("date").alias("date"), (F.col("l_suppkey") % 25).alias("facility_group_id")).distinct()
-    receipts = t.orders.select(F.col("o_orderdate").cast("date").alias("sheet_date"), (F.col("o_custkey") % 25).alias("dist_facility_group_id"),
+    base = t.lineitem.select(F.col("l_shipdate").cast("date").alias("date"), (F.col("l_suppkey") % 27).alias("facility_group_id")).distinct()
+    receipts = t.orders.select(F.col("o_orderdate").cast("date").alias("sheet_date"), (F.col("o_custkey") % 27).alias("dist_facility_group_id"),
                                F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
     return with_money(J.left_agg_chain(base, receipts, D.deductions(t)), "amount")
 

@@ -138,13 +138,13 @@ def k2(t: Tables) -> DataFrame:
 
 
 # Lines of one class have no date; one sheet is delivered again with new amounts.
-UPSERT_SQL = """old AS (SELECT line_id, CASE WHEN payment_id <> 3 THEN sheet_date END AS sheet_date, amount FROM lines WHERE sheetname <> 'W'),
+UPSERT_SQL = """old AS (SELECT line_id, CASE WHEN payment_id <> 3 THEN sheet_date END AS sheet_date, amount FROM lines),
 new AS (SELECT line_id, CASE WHEN payment_id <> 3 THEN sheet_date END AS sheet_date, amount + 1 AS amount FROM lines WHERE sheetname = 'G')"""
 
 
 def _upsert_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
     rows = D.bank_lines(t).withColumn("sheet_date", F.when(F.col("payment_id") != 3, F.col("sheet_date")))
-    old = rows.where(F.col("sheetname") != "W").select("line_id", "sheet_date", "amount")
+    old = rows.select("line_id", "sheet_date", "amount")
     new = rows.where(F.col("sheetname") == "G").select("line_id", "sheet_date", (F.col("amount") + 1).cast("decimal(18,2)").alias("amount"))
     return old, new
 
@@ -158,7 +158,7 @@ def k5(t: Tables) -> DataFrame:
 
 
 KEYED_SQL = """old AS (SELECT line_id, CASE WHEN payment_id <> 3 THEN year(sheet_date) * 100 + month(sheet_date) END AS period, amount
-  FROM lines WHERE sheetname <> 'W'),
+  FROM lines),
 new AS (SELECT line_id, CASE WHEN payment_id <> 3 THEN year(sheet_date) * 100 + month(sheet_date) END AS period, amount + 1 AS amount
   FROM lines WHERE sheetname = 'G')"""
 
@@ -170,7 +170,7 @@ def k5_stored(t: Tables) -> DataFrame:
     path = run_folder(t.spark, "upserted")
     period = F.when(F.col("payment_id") != 3, F.year("sheet_date") * 100 + F.month("sheet_date"))
     rows = D.bank_lines(t).withColumn("period", period)
-    old = rows.where(F.col("sheetname") != "W").select("line_id", "period", "amount")
+    old = rows.select("line_id", "period", "amount")
     new = rows.where(F.col("sheetname") == "G").select(
         "line_id", "period", (F.col("amount") + 1).cast("decimal(18,2)").alias("amount"))
     for load_id, load in ((0, old), (1, new), (1, new)):  # the second load is run again

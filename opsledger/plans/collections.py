@@ -24,13 +24,18 @@ def load_bank_lines(lines: DataFrame, load_id: int, path: str) -> DataFrame:
 
 
 def receipt_tables(lines: DataFrame, detail: DataFrame, policies: Policies, root: str) -> dict[str, DataFrame]:
-    """Measures, facility receipts and sheet receipts. The measures hold one row per sheet, day and facility."""
+    """Measures, facility receipts, sheet receipts and what is left over.
+
+    The measures hold one row per sheet, day and facility. Lines of unregistered sheets and lines without a date are in
+    ``leftover_receipts``, so no money goes unseen.
+    """
     measures = stored(receipts.receipt_measures(lines, detail, policies), f"{root}/receipt_measures") \
         .repartition(*receipts.DAY_KEYS)
     return {
         "receipt_measures": measures,
         "facility_receipts": stored(receipts.facility_from_measures(measures, policies), f"{root}/facility_receipts"),
-        "sheet_receipts": stored(receipts.sheet_from_measures(measures), f"{root}/sheet_receipts")}
+        "sheet_receipts": stored(receipts.sheet_from_measures(measures), f"{root}/sheet_receipts"),
+        "leftover_receipts": stored(receipts.leftover_receipts(lines, policies), f"{root}/leftover_receipts")}
 
 
 def report_tables(products: dict[str, DataFrame], lines: DataFrame, calendar: DataFrame, deducts: DataFrame,

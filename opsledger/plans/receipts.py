@@ -136,6 +136,19 @@ def _payment_parts(detail: DataFrame, excluded) -> DataFrame:
             F.count_if(F.col("posted_payment").isNull()).alias("n_open"))
 
 
+def leftover_receipts(lines: DataFrame, policies: Policies) -> DataFrame:
+    """Money that is in no receipt table: lines of a sheet without a policy, and lines without a date.
+
+    One row per sheet, day and ``reason``, with the amount and the number of lines. Every line is either here or in the
+    receipts, so the two together add up to the bank.
+    """
+    known = policies.sheets.select(F.col("sheet").alias("sheetname"), F.lit(True).alias("_known"))
+    reason = F.when(F.col("_known").isNull(), "no policy").when(F.col("sheet_date").isNull(), "no date")
+    return lines.select("sheetname", "sheet_date", F.col("amount").cast(CENTS).alias("amount")).join(known, "sheetname", "left") \
+        .withColumn("reason", reason).where("reason is not null").groupBy("sheetname", "sheet_date", "reason") \
+        .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n_lines"))
+
+
 def receipt_measures(lines: DataFrame, detail: DataFrame, policies: Policies, excluded=TYPE_CODES) -> DataFrame:
     """Per sheet, day, facility: amount, dist, elsewhere, workload and lag, all exact.
 

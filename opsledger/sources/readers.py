@@ -6,21 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsledger.sources.records import read_delimited_records
+
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t", encoding: str = "UTF-8",
                    header: bool = True, **options) -> DataFrame:
     """Delimited text, every column as string.
 
-    UTF-16 with a byte order mark cannot be split at line ends, so each file is
-    read by one task. UTF-16LE/BE is split with an explicit line separator; its
-    byte order mark, if any, is left in the first header and removed here.
+    UTF-16LE/BE is read in splits by ``records``: quoted fields may hold line breaks, quotes in them are doubled, lines
+    end with or without a carriage return, and a record with a wrong number of fields is an error. UTF-16 with a byte
+    order mark that alone tells the order of bytes cannot be split, so each file is read by one task. Other encodings
+    go through Spark's reader and its ``options``.
     """
-    reader = spark.read.options(header=header, sep=sep, encoding=encoding, inferSchema=False, **options)
     kind = encoding.upper().replace("_", "-")
+    if kind in ("UTF-16LE", "UTF-16BE"):
+        if options:
+            raise ValueError(f"options {sorted(options)} do not apply to {kind}")
+        return read_delimited_records(spark, path, sep, kind, header)
+    reader = spark.read.options(header=header, sep=sep, encoding=encoding, inferSchema=False, **options)
     if kind == "UTF-16":
         reader = reader.option("multiLine", True)
-    elif kind in ("UTF-16LE", "UTF-16BE"):
-        reader = reader.option("lineSep", "\n")
     df = reader.csv(path)
     return df.withColumnsRenamed({c: c.lstrip("\uFEFF").rstrip("\r") for c in df.columns})
 
