@@ -1,6 +1,6 @@
 """Join operators.
 
-No join here carries a broadcast hint. Catalyst broadcasts a side when its
+No join here carries a broadcast hint for data. Catalyst broadcasts a side when its
 known size is below ``spark.sql.autoBroadcastJoinThreshold``, AQE re-checks
 with measured sizes, and larger sides fall back to shuffled joins in which AQE
 splits skewed partitions of the outer side.
@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 # A key with more detail rows than this is spread over several tasks, however large the table is.
 ROWS_PER_TASK = 1_000_000
+# So many hot keys are cut at most; below the limits of the summary that finds them.
+MOST_HOT_KEYS = 20_000
 
 
 def _unique(dim: DataFrame, keys: list[str], columns: list[str], on_duplicate: str) -> DataFrame:
@@ -63,20 +65,20 @@ def lookup_inner(df: DataFrame, dim: DataFrame, keys: list[str], columns: list[s
     return _equi(df, _unique(dim, keys, columns, on_duplicate), keys, "inner", null_safe)
 
 
-def hot_key_chunks(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """One row with a map from each frequent key to the number of chunks it should be cut into.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, most: int = MOST_HOT_KEYS) -> DataFrame:
+    """``hot_key`` and ``chunks``: frequent keys and the number of chunks each should be cut into, at most ``most`` rows.
 
-    The unit of a chunk is ``rows_per_task`` rows, or the mean of a shuffle partition where that is less. Counts are
-    exact and summed per task first; as a listed key holds more than a unit, there are at most as many of them as
-    the table has units.
+    One pass over the key column with a mergeable summary of frequent items, which holds a bounded number of counters
+    in each task. A key is hot when it has more rows than a unit: ``rows_per_task``, or a quarter of the mean of a
+    shuffle partition where that is less, so that a key's chunks spread over all tasks. The counts are estimates; they
+    only decide how rows are spread.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.where(F.col(key).isNotNull()).select(F.count(F.lit(1))).scalar()
-    unit = F.least(F.lit(rows_per_task).cast("double"), F.greatest(total / F.lit(partitions), F.lit(1.0)))
-    frequent = counts.withColumn("unit", unit).where("n > unit")
-    return frequent.agg(F.map_from_entries(F.collect_list(
-        F.struct(F.col(key), F.ceil(F.col("n") / F.col("unit")).cast("int")))).alias("chunks"))
+    found = df.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {most}, {10 * most})").alias("top"), F.count(F.lit(1)).alias("total"))
+    unit = F.least(F.lit(rows_per_task).cast("double"), F.greatest(F.col("total") / (4 * partitions), F.lit(1.0)))
+    return found.select(F.explode("top").alias("t"), unit.alias("unit")).where("t.count > unit") \
+        .select(F.col("t.item").alias("hot_key"), F.ceil(F.col("t.count") / F.col("unit")).cast("int").alias("chunks"))
 
 
 def expand_detail_left(df: DataFrame, detail: DataFrame, key: str, never_match: list[int] = (),
@@ -86,29 +88,29 @@ def expand_detail_left(df: DataFrame, detail: DataFrame, key: str, never_match:
     Rows whose key is null or in ``never_match`` cannot find a detail; they go
     past the join without being shuffled. Detail keys with more rows than a task
     should get are cut into chunks, and only the few rows of ``df`` with such a
-    key are repeated once per chunk.
+    key are repeated once per chunk. The table of hot keys has a fixed bound of
+    rows, so it is the one side here that is broadcast by a hint.
     """
     joinable = F.col(key).isNotNull()
     if never_match:
         joinable = joinable & ~F.col(key).isin(*never_match)
     detail = detail.where(joinable)
     extra = [c for c in detail.columns if c != key]
+    hot = F.broadcast(hot_keys(detail, key, rows_per_task))
 
-    hot = hot_key_chunks(detail, key, rows_per_task).scalar()
-
-    def chunks() -> Column:
-        return F.coalesce(F.try_element_at(F.col("_hot"), F.col(key)), F.lit(1))
+    def with_chunks(rows: DataFrame) -> DataFrame:
+        return rows.join(hot, F.col(key) == F.col("hot_key"), "left") \
+            .withColumn("_chunks", F.coalesce("chunks", F.lit(1))).drop("hot_key", "chunks")
 
     # The chunk of a detail depends on its values and its input partition only: a task that is
     # run again puts every row where it was, and equal copies from different splits are spread.
-    cut = detail.withColumn("_hot", hot).withColumn("_chunks", chunks()).withColumn(
+    cut = with_chunks(detail).withColumn(
         "_chunk", F.when(F.col("_chunks") == 1, F.lit(0)).otherwise(
             F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in detail.columns]),
                    F.col("_chunks")).cast("int"))
     ).select(key, "_chunk", *extra, F.lit(True).alias("_found"))
 
-    outer = df.where(joinable).withColumn("_hot", hot).withColumn("_chunks", chunks()) \
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_hot")
+    outer = with_chunks(df.where(joinable)).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
     matched = outer.join(cut, [key, "_chunk"], "left") \
         .where(F.col("_found") | (F.col("_chunks") == 1)) \
         .select(*df.columns, *extra)

@@ -45,22 +45,44 @@ def test_expand_detail_equals_nested_loop(no_broadcast, seed):
     assert rows(J.expand_detail_left(a, b, "k", [1, 3]).select("i", "k", "d")) == wanted
 
 
-def test_expand_detail_cuts_the_hot_key(no_broadcast):
-    """Details of one very frequent key reach the join in several chunks."""
+@pytest.fixture(params=[8, 200])
+def partitions(no_broadcast, request):
     spark = no_broadcast
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_expand_detail_cuts_the_hot_key(spark, partitions):
+    """Details of one very frequent key do not make one task much larger than the mean."""
     detail = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("bigint").alias("k"),
                                          F.col("id").alias("d"))
-    left = spark.createDataFrame([(7,), (8,), (200_001,)], "k bigint")
+    left = detail.select("k").distinct().union(spark.createDataFrame([(200_001,)], "k bigint"))
     out = J.expand_detail_left(left, detail, "k")
-    counts = {r.k: r["count"] for r in out.groupBy("k").count().collect()}
-    assert counts == {7: detail.where("k = 7").count(), 8: 1, 200_001: 1}
-    assert out.where("k = 200001 and d is null").count() == 1
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        spread = out.where("k = 7").groupBy(F.spark_partition_id()).count().count()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert spread > 4
+    tasks = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(tasks) == 200_001 and max(tasks) < 2.5 * 200_001 / partitions
+    assert out.where("k = 200001 and d is null").count() == 1 and out.where("k = 7").count() == detail.where("k = 7").count()
+
+
+def test_expand_detail_with_many_hot_keys(spark, partitions):
+    """Ten thousand keys above a unit are all found, and the rows are those of a plain join."""
+    detail = spark.range(300_000).select((F.col("id") % 10_000).alias("k"), F.col("id").alias("d"))
+    detail = detail.union(spark.range(20_000).select((F.col("id") + 10_000).alias("k"), F.col("id").alias("d")))
+    hot = {r.hot_key: r.chunks for r in J.hot_keys(detail, "k", rows_per_task=10).collect()}
+    assert set(hot) == set(range(10_000)) and set(hot.values()) == {3}
+    left = spark.range(0, 40_000, 3).select(F.col("id").alias("k"))
+    out = J.expand_detail_left(left, detail, "k", rows_per_task=10)
+    plain = left.join(detail, "k", "left")
+    assert out.exceptAll(plain).count() == 0 == plain.exceptAll(out).count()
+    assert J.hot_keys(detail, "k").count() == 0
+
+
+def test_hot_keys_have_a_bound(spark):
+    detail = spark.range(50_000).select((F.col("id") % 500).alias("k"))
+    assert J.hot_keys(detail, "k", rows_per_task=1, most=100).count() == 100
 
 
 def test_expand_detail_empty_sides(spark):

@@ -87,8 +87,7 @@ def test_first_and_last_value_sort_no_aggregate(spark):
 def test_many_medium_keys_are_all_cut(no_broadcast):
     spark = no_broadcast
     detail = spark.range(300 * 40).select((F.col("id") % 300 + 10).cast("int").alias("k"), F.col("id").alias("v"))
-    chunks = J.hot_key_chunks(detail, "k", rows_per_task=10).first().chunks
-    assert len(chunks) == 300 and set(chunks.values()) == {4}
+    assert {r.chunks for r in J.hot_keys(detail, "k", rows_per_task=10).collect()} == {4} and J.hot_keys(detail, "k", 10).count() == 300
     left = spark.range(310).select(F.col("id").cast("int").alias("k"))
     out = J.expand_detail_left(left, detail, "k", rows_per_task=10)
     assert out.count() == 300 * 40 + 10
