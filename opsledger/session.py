@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from decimal import Decimal
@@ -115,6 +116,16 @@ def remove_run_folders(spark: SparkSession) -> None:
 _RUN_FOLDERS: dict[str, list[str]] = {}
 
 
+def drop_finished_shuffles(spark: SparkSession) -> None:
+    """Give the disk of finished steps back while a long job goes on.
+
+    Spark removes shuffle files when the driver's collector finds that nothing refers to them any more, which may be
+    long after a step's result was stored. This asks both collectors to look now.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     own = f"{shared_folder(spark)}/opsledger/{uuid.uuid4().hex}"
