@@ -80,15 +80,18 @@ def bucket_frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
 
 
 class LatentIndex:
-    """Projection of word windows to the latent space of the items, and the cosine search in it.
+    """Projection of word windows to the latent space of a group of items, and the cosine search in it.
 
     A passage is the sum of its words' inverse document frequencies over hash buckets. Only buckets of item words
     can contribute to a product with an item, so the latent basis spans those; the norm of a window counts all words.
+    The basis keeps a share ``kept`` of each item, and a copy of the item has no more of a cosine than that: the
+    least cosine of a candidate is taken of what is kept.
     """
 
     def __init__(self, items: list[Item], n_docs: int, frequencies: np.ndarray):
         self.items = [i for i in items if i.words]
         self.idf = np.append(np.log((n_docs + 2) / (frequencies + 1)), 0.0).astype(np.float32)
+        self.host = 2 * float((frequencies * self.idf[:-1] ** 2).sum() / max(frequencies.sum(), 1))
         used = np.unique(np.concatenate([buckets_of(i.words) for i in self.items])) if self.items else np.empty(0, np.int64)
         self.column = np.full(BUCKETS + 1, len(used), np.int32)
         self.column[used] = np.arange(len(used))
@@ -114,13 +117,26 @@ class LatentIndex:
         v = np.linalg.svd(q.T @ whole, full_matrices=False)[2][:rank].T
         self.table = np.vstack([v * self.idf[self.used, None], np.zeros((1, v.shape[1]))]).astype(np.float32)
         latent = rows @ v
-        self.latent_items = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+        self.kept = np.linalg.norm(latent, axis=1)
+        self.latent_items = (latent / np.maximum(self.kept[:, None], 1e-9)).astype(np.float32)
         self.idf_squared = self.idf * self.idf
 
-    def candidates(self, texts: list[np.ndarray], least: float) -> list[tuple[int, int, int, float]]:
-        """(text, item, first word, cosine) of windows of two blocks whose cosine with an item is at least ``least``.
+    def beyond(self, least: float, share: float) -> np.ndarray:
+        """Marks the items of which a copy that keeps ``share`` of the words may stay below the candidates' cosine.
+
+        A window holds four fifths of a copy at the worst place between two windows, or its own length of a longer
+        one, and is filled up with host words, taken at twice the mean square of the corpus. Items of few or very
+        frequent words, long ones, and those of which the basis keeps less than half are marked.
+        """
+        sizes = np.array([len(i.words) for i in self.items])
+        own = np.array([self.idf_squared[buckets_of(i.words)].sum() for i in self.items])
+        whole = own + np.maximum(2 * BLOCK - sizes, 0) * self.host
+        reach = 0.8 * share * np.sqrt(np.minimum(1, 2 * BLOCK / sizes) * own / np.maximum(whole, 1e-9))
+        return (reach < least) | (self.kept < 0.5)
 
-        Texts are given by the buckets of their words.
+    def candidates(self, texts: list[np.ndarray], least: float) -> list[tuple[int, int, int, float]]:
+        """(text, item, first word, cosine) of windows of two blocks whose cosine with an item is at least ``least`` of
+        the item's kept share. Texts are given by the buckets of their words.
         """
         found = []
         start = 0
@@ -152,10 +168,10 @@ class LatentIndex:
         windows, squares = latent.copy(), square.copy()
         windows[follows] += latent[follows + 1]
         squares[follows] += square[follows + 1]
-        found = []
+        found, floor = [], (least * self.kept).astype(np.float32)
         for i in range(0, len(owner), 4000):
             cosines = windows[i:i + 4000] @ self.latent_items.T / np.sqrt(np.maximum(squares[i:i + 4000], 1e-9))[:, None]
-            for w, item in zip(*np.nonzero(cosines >= least)):
+            for w, item in zip(*np.nonzero(cosines >= floor)):
                 text = owner[i + w]
                 found.append((offset + int(text), int(item), int(i + w - first[text]) * BLOCK, float(cosines[w, item])))
         return found
@@ -221,14 +237,17 @@ class RareWords:
             yield t, i, base + at - int(ends[o]) + len(x)
 
 
-def corpus_sketch(docs: DataFrame, index: LatentIndex, key: str, text: str, sample_docs: int, width: int) -> np.ndarray:
-    """Random combinations of the passages of at most ``sample_docs`` documents: ``width`` rows over the item buckets.
+def corpus_sketch(docs: DataFrame, indexes: list[LatentIndex], key: str, text: str, sample_docs: int, width: int) -> list[np.ndarray]:
+    """Per index, random combinations of the passages of at most ``sample_docs`` documents: ``width`` rows over its buckets.
 
     Tasks add up Gaussian multiples of their passages per bucket; a shuffle by bucket adds the tasks' sums.
     """
     keys = samples.bounded(docs.select(F.col(f"`{key}`").cast("bigint").alias("k")).where("k is not null"), sample_docs)
     rows = samples.texts_of(docs, keys, key, text).select("k", "t")
-    column, idf, n = index.column, index.idf, len(index.used)
+    used, idf = np.unique(np.concatenate([i.used for i in indexes])), indexes[0].idf
+    n = len(used)
+    column = np.full(BUCKETS + 1, n, np.int32)
+    column[used] = np.arange(n)
 
     @frees_memory
     def run(batches):
@@ -259,34 +278,46 @@ def corpus_sketch(docs: DataFrame, index: LatentIndex, key: str, text: str, samp
     sketch = np.zeros((width, n), np.float32)
     for r in made:
         sketch[:, r.c] = np.frombuffer(r.v, np.float32)
-    return sketch
+    return [sketch[:, column[i.used]] for i in indexes]
 
 
-def match_rows(docs: DataFrame, items: list[Item], key: str = "doc_id", text: str = "text", rank: int = 128,
+def match_rows(docs: DataFrame, items: list[Item], key: str = "doc_id", text: str = "text", rank: int = 128, group: int = 256,
                sample_docs: int = 2000, cosine: float = 0.3, share: float = 0.8, with_answer: float = 0.6,
-               result: str = "matches") -> DataFrame:
+               result: str = "matches", frequencies: tuple[int, np.ndarray] | None = None, rare_words: bool = True) -> DataFrame:
     """``docs`` with an array column ``result``: one struct per item that the row's text holds.
 
     Fields: ``item_id``, ``item_words``, ``lcs`` (words of the item in order in the best span), ``cosine`` and
     ``answer_found``. A candidate counts when its span keeps ``share`` of the item's words in order, or
     ``with_answer`` of them and four fifths of the answer's. All columns of ``docs`` stay (one named ``result`` is
     replaced). Word frequencies and candidates cover every document; only the latent basis is fitted on a sample.
-    Candidates are windows with a latent cosine of at least ``cosine`` and places with enough of an item's rare words.
-    The latter need no basis and no weights, so neither an item that the basis does not keep, nor a passage that many
-    documents hold, nor one much longer than a window is missed; ``cosine`` is then that of the words from there on.
+    ``frequencies`` are those of ``bucket_frequencies``, counted here unless given.
+
+    Candidates are windows with a latent cosine of at least ``cosine`` of what the basis keeps of an item. Each ``group``
+    of items has a basis of ``rank`` directions of its own, all searched in one pass over the texts. Items of which a
+    copy may stay below that (``LatentIndex.beyond``) are looked up by their rare words as well, which need no basis and
+    no weights; ``rare_words`` can turn that off. ``cosine`` is then that of the words from there on.
 
     A null or empty text and an item without words match nothing; rows with a null key are searched like others;
     repeated rows give equal results; a very long text is searched in all its windows; an empty table gives an
     empty table.
     """
-    n_docs, frequencies = bucket_frequencies(docs, text)
-    index = LatentIndex(items, n_docs, frequencies)
-    if index.items:
-        index.fit(corpus_sketch(docs, index, key, text, sample_docs, min(rank, 64)), rank)
-    shared = docs.sparkSession.sparkContext.broadcast((index, RareWords(index.items, frequencies, min(share, with_answer))))
+    n_docs, counts = bucket_frequencies(docs, text) if frequencies is None else frequencies
+    given = [i for i in items if i.words]
+    indexes = [LatentIndex(given[at:at + group], n_docs, counts) for at in range(0, len(given), group)]
+    hard: list[int] = []
+    if indexes:
+        for g, (index, sketch) in enumerate(zip(indexes, corpus_sketch(docs, indexes, key, text, sample_docs, min(rank, 64)))):
+            index.fit(sketch, rank)
+            if rare_words:
+                hard += (np.flatnonzero(index.beyond(cosine, min(share, with_answer))) + g * group).tolist()
+    rare = RareWords([given[i] for i in hard], counts, min(share, with_answer))
+    shared = docs.sparkSession.sparkContext.broadcast((given, indexes, hard, rare))
 
     def start():
-        index, rare = shared.value
+        given, indexes, hard, rare = shared.value
+        distinct = [frozenset(i.words) for i in given]
+        # a span that keeps the asked share of the words lacks no more of the distinct ones than of all
+        needed = [len(d) - math.floor((1 - min(share, with_answer)) * len(i.words) + 1e-9) for i, d in zip(given, distinct)]
 
         def work(texts):
             words = [ascii_words(t) for t in texts]
@@ -294,26 +325,33 @@ def match_rows(docs: DataFrame, items: list[Item], key: str = "doc_id", text: st
             rows: list[dict[int, dict]] = [{} for _ in texts]
 
             def match(t, i, span, score):
-                item = index.items[i]
+                item = given[i]
+                if len(distinct[i].intersection(span)) < needed[i]:
+                    return
                 lcs = common_subsequence(item.words, span)
                 answer = bool(item.answer) and 5 * common_subsequence(item.answer, span) >= 4 * len(item.answer)
                 if lcs >= share * len(item.words) or answer and lcs >= with_answer * len(item.words):
                     rows[t][i] = {"item_id": item.id, "item_words": len(item.words), "lcs": lcs, "cosine": score(),
                                   "answer_found": answer}
 
-            candidates = index.candidates(buckets, cosine) if index.items else []
-            for t, i, at, score in sorted(candidates, key=lambda c: (c[0], c[1], -c[3])):
-                if i not in rows[t]:
-                    near = len(index.items[i].words) * 5 // 4
-                    match(t, i, words[t][max(at - near, 0):at + 2 * BLOCK + near], lambda: score)
+            for g, index in enumerate(indexes):
+                places: dict[tuple[int, int], list[int]] = {}
+                for t, i, at, score in sorted(index.candidates(buckets, cosine), key=lambda c: (c[0], c[1], -c[3])):
+                    n, before = len(index.items[i].words), places.setdefault((t, i), [])
+                    # a span reaches over its window by more than an item, so windows close by have been covered
+                    if i + g * group not in rows[t] and all(abs(at - x) > 3 * n // 4 for x in before):
+                        before.append(at)
+                        near = 5 * n // 4
+                        match(t, i + g * group, words[t][max(at - near, 0):at + 2 * BLOCK + near], lambda: score)
             tried = (-1, -1, 0)
-            for t, i, at in rare.candidates(buckets):
-                n, near = len(index.items[i].words), int(rare.reach[i])
+            for t, h, at in rare.candidates(buckets) if hard else ():
+                i, near = hard[h], int(rare.reach[h])
+                n = len(given[i].words)
                 # the span tried last also covers places up to a quarter of the item further on
                 if i not in rows[t] and (tried[:2] != (t, i) or at > tried[2] + n // 4):
                     tried = (t, i, at)
                     match(t, i, words[t][max(at - near, 0):at + near + n // 4],
-                          lambda: index.cosine(buckets_of(index.items[i].words), buckets[t][at:at + n]))
+                          lambda: indexes[0].cosine(buckets_of(given[i].words), buckets[t][at:at + n]))
             return [[list(r.values()) for r in rows]]
         return work
 
@@ -326,19 +364,23 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id"
                       block_items: int = 2048, **options) -> DataFrame:
     """``key`` and the fields of a match, one row per document row and benchmark item that it holds.
 
-    The benchmark is the query set: it is searched against all rows in blocks of about ``block_items`` items.
+    The benchmark is the query set: it is searched against all rows in blocks of about ``block_items`` items, with word
+    frequencies that are counted once. Null, empty, repeated and long texts, null keys, items without words and empty
+    tables: as in ``match_rows`` and ``item_blocks``. Other columns are not read.
     """
-    found = None
+    found, frequencies = None, bucket_frequencies(docs, text)
+    slim = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     for items in item_blocks(benchmark, item_key, item_text, answer, block_items):
-        rows = match_rows(docs.select(key, text), items, key, text, **options) \
-            .select(F.col(f"`{key}`"), F.inline("matches"))
+        rows = match_rows(slim, items, "k", "t", frequencies=frequencies, **options) \
+            .select(F.col("k").alias(key), F.inline("matches"))
         found = rows if found is None else found.union(rows)
     return found
 
 
 def item_blocks(benchmark: DataFrame, item_key: str = "item_id", item_text: str = "text", answer: str | None = None,
                 block_items: int = 2048):
-    """The items of a benchmark table in blocks of bounded size; rows without id are left out, repeated ones kept once."""
+    """The items of a benchmark table in blocks of bounded size; rows without id are left out, repeated ones kept once. A
+    null or empty text gives an item without words, an empty table one empty block."""
     given = F.lit(None).cast("string") if answer is None else F.col(f"`{answer}`")
     items = benchmark.select(F.col(f"`{item_key}`").cast("bigint").alias("i"), F.col(f"`{item_text}`").alias("t"),
                              given.alias("a")).where("i is not null").distinct()

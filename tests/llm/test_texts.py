@@ -251,3 +251,29 @@ def test_common_subsequence():
             for j, y in enumerate(b):
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
         assert decontamination.common_subsequence(a, b) == table[-1][-1]
+
+
+def test_lines_of_documents_without_a_key(spark):
+    """Different texts without a key have places of their own; one of them keeps the passage, copies as a whole stay."""
+    passage = "one line\ntwo lines\nthree lines"
+    data = [(None, f"{passage}\nx"), (None, f"{passage}\ny"), (None, f"{passage}\ny"), (1, f"z\n{passage}")]
+    rows = line_dedup.remove_repeated_lines(spark.createDataFrame(data, "doc_id bigint, text string")).collect()
+    kept = {r.text for r in rows if passage in (r.text or "")}
+    assert len(kept) == 1 and len(rows) == 4 and not any(r.doc_id == 1 and passage in r.text for r in rows)
+
+
+@pytest.mark.parametrize("count", [200, 600, 2048])
+def test_latent_search_alone_finds_nine_of_ten(spark, count):
+    """The candidates of the latent spaces, without any lookup of rare words, against brute force."""
+    rng = random.Random(count)
+    items = [(i, prose(rng, rng.randint(15, 59))) for i in range(count)]
+    docs = []
+    for d in range(150):
+        words = items[d * (count // 150)][1].split()
+        for x in range(d % 3, len(words), 7 if d % 2 else 1000):
+            words[x] = "other"
+        docs.append((d, f"{prose(rng, rng.randint(20, 90))} {' '.join(words)} {prose(rng, rng.randint(20, 90))}"))
+    wanted = brute_matches(docs, [items[d * (count // 150)] for d in range(150)])
+    frame, bench = (spark.createDataFrame(rows, f"{name} bigint, text string") for rows, name in ((docs, "doc_id"), (items, "item_id")))
+    found = {(r.doc_id, r.item_id) for r in decontamination.benchmark_matches(frame, bench, rare_words=False).collect()}
+    assert len(wanted) >= 130 and len(found & wanted) >= 0.9 * len(wanted)
