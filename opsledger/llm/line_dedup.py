@@ -20,10 +20,11 @@ def _windows(docs: DataFrame, lines: int) -> DataFrame:
     return docs.select("k", "f", F.posexplode(starts).alias("start", "h")).where(F.col("h").isNotNull())
 
 
-def _place(key: str, start: str) -> Column:
-    """Order of windows: by document, then by position; documents without a key come first."""
-    lowest = F.lit(-(1 << 63)).cast("decimal(20,0)")
-    return F.coalesce(F.col(key).cast("decimal(20,0)"), lowest) * F.lit(POSITIONS).cast("decimal(10,0)") + F.col(start)
+def _place(key: str, fingerprint: str, start: str) -> Column:
+    """Order of windows: by document, then by position; documents without a key come first, by their fingerprints."""
+    without = F.col(fingerprint).cast("decimal(20,0)") - F.lit(str(1 << 64)).cast("decimal(20,0)")
+    document = F.coalesce(F.col(key).cast("decimal(20,0)"), without.cast("decimal(20,0)"))
+    return document * F.lit(POSITIONS).cast("decimal(10,0)") + F.col(start)
 
 
 def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", lines: int = 3) -> DataFrame:
@@ -35,7 +36,7 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", l
     """
     slim = docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("f"),
                        F.col(f"`{text}`").cast("string").alias("t"))
-    windows = _windows(slim, lines).withColumn("place", _place("k", "start"))
+    windows = _windows(slim, lines).withColumn("place", _place("k", "f", "start"))
     first = windows.groupBy("h").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1") \
         .select("h", "first")
     later = windows.join(first, "h").where(F.col("place") > F.col("first"))
@@ -52,13 +53,16 @@ def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "tex
 
     A null text stays null with 0 lines; an empty text is one empty line. A text of fewer lines than a window is
     never changed. Rows that share a key take the same place in the order, so a row repeated as a whole is not
-    removed by its own copy; rows with a null key come first. An empty table gives an empty table.
+    removed by its own copy; rows with a null key come first, ordered by the fingerprints of their texts. An empty
+    table gives an empty table.
     """
-    found = repeated_windows(docs, key, text, lines).toDF("__key", "__print", "__starts")
+    found = repeated_windows(docs, key, text, lines).toDF("found_key", "found_print", "starts")
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_spans", "kept_lines")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumns(
-        {"__k": F.col(f"`{key}`").cast("bigint"), "__f": F.xxhash64(F.col(f"`{text}`"))})
-    joined = rows.join(found, F.col("__k").eqNullSafe(F.col("__key")) & (F.col("__f") == F.col("__print")), "left")
+    # columns go by position, so no name of the table can clash with one of these
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(f"`{key}`").cast("bigint").alias("k"),
+                       F.xxhash64(F.col(f"`{text}`")).alias("f"))
+    joined = rows.join(found, F.col("k").eqNullSafe(F.col("found_key")) & (F.col("f") == F.col("found_print")), "left")
+    whole = f"c{names.index(text)}"
 
     def cut(a: Column, p: Column) -> Column:
         n = F.size(a)
@@ -69,12 +73,12 @@ def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "tex
         return F.struct(n.alias("n_lines"), F.size(begins).alias("n_spans"), kept.alias("kept_lines"))
 
     no_starts = F.array().cast("array<int>")
-    both = F.array(F.struct(F.split(F.col(f"`{text}`"), "\n").alias("a"), F.coalesce("__starts", no_starts).alias("p")))
-    result = joined.select(*[F.col(f"`{c}`") for c in names], "__starts", F.inline_outer(
+    both = F.array(F.struct(F.split(F.col(whole), "\n").alias("a"), F.coalesce("starts", no_starts).alias("p")))
+    result = joined.select(*[f"c{i}" for i in range(len(names))], "starts", F.inline_outer(
         F.transform(both, lambda x: F.when(x["a"].isNotNull(), cut(x["a"], x["p"])))))
     return result.select(
-        *[F.when(F.col("__starts").isNull(), F.col(f"`{c}`")).otherwise(F.array_join("kept_lines", "\n")).alias(c)
-          if c == text else F.col(f"`{c}`") for c in names],
+        *[F.when(F.col("starts").isNull(), F.col(f"c{i}")).otherwise(F.array_join("kept_lines", "\n")).alias(c)
+          if c == text else F.col(f"c{i}").alias(c) for i, c in enumerate(names)],
         F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.col("n_lines") - F.size("kept_lines"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"),
