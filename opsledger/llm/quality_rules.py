@@ -90,12 +90,19 @@ def cascade_order(docs: DataFrame, rules: list[Rule], key: str = "doc_id", text:
     """The rules by rejected sample rows per second of their own run time, best first.
 
     Cost and selectivity come from at most ``sample_rows`` rows, each run ``times`` times. The sample only decides
-    the order of evaluation; a text is kept when no rule rejects it, so the verdict is the same in any order.
+    the order of evaluation; a text is kept when no rule rejects it, so the verdict is the same in any order. Rows are
+    chosen by a hash of their key in a share of the table that holds about twice as many, so what the tasks send to
+    the one that cuts the sample does not grow with their number.
     """
+    from opsledger.llm.samples import below_share
     from opsledger.session import run_folder, stored
 
     spark = docs.sparkSession
-    head = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).limit(sample_rows)
+    total = docs.count()
+    head = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
+    if total > 2 * sample_rows:
+        head = head.where(below_share(F.xxhash64(F.col(f"`{key}`")), 2 * sample_rows / total))
+    head = head.limit(sample_rows)
     sample = stored(with_counts(head, key, text), run_folder(spark, "rule_sample"))
     copies = sample.select("*", F.explode(F.sequence(F.lit(1), F.lit(times))).alias("copy"))
 

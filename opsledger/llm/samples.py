@@ -17,9 +17,21 @@ def training_labels(labels: DataFrame, key: str, label: str, learn: Column) -> D
         .agg((F.avg(F.col(f"`{label}`")) >= 0.5).cast("int").alias("y")).where("k is not null and y is not null")
 
 
+def below_share(hashed: Column, share: float) -> Column:
+    """Whether a 64-bit hash lies in the lowest ``share`` of its range."""
+    return hashed < F.lit(min(int(-(1 << 63) + share * (1 << 64)), (1 << 63) - 1))
+
+
 def bounded(keys: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` rows with a ``k``, chosen by a hash of it: the same ones at each run."""
-    return keys.orderBy(F.xxhash64("k"), "k").limit(rows)
+    """At most ``rows`` different rows with a ``k``, chosen by a hash of it: the same ones at each run.
+
+    The number of keys sets a share of the hash range that holds about twice as many, so the tasks together send that
+    many rows to the last step, however many tasks there are.
+    """
+    total = keys.count()
+    if total > 2 * rows:
+        keys = keys.where(below_share(F.xxhash64("k"), 2 * rows / total))
+    return keys.distinct().orderBy(F.xxhash64("k"), "k").limit(rows)
 
 
 def texts_of(docs: DataFrame, keys: DataFrame, key: str, text: str) -> DataFrame:
