@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from opsledger.llm.arrow import map_documents
+from opsledger.llm.arrow import frees_memory, map_documents
 from opsledger.llm.bpe import WordCodec
 
 
@@ -25,16 +27,21 @@ def encode_texts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``key`` and ``decoded`` per row: the vocabulary strings of ``ids`` one after the other. Null ids give ''."""
-    from pyspark.sql import functions as F
-    import pyarrow as pa
+    """``key`` and ``decoded`` per row: the vocabulary strings of ``ids`` one after the other.
 
+    A null or empty list gives ''. A list with an id that the vocabulary does not have (negative, too large or null)
+    has no text: null. Repeated rows are decoded one by one, a null key stays null, an empty table gives an empty
+    table; other columns are not read.
+    """
     slim = encoded.select(F.col(f"`{key}`").alias("k"), F.col(f"`{ids}`").alias("i"))
 
+    @frees_memory
     def run(batches):
-        decode = WordCodec(vocabulary).decode
+        codec = WordCodec(vocabulary)
+        size = len(codec.strings)
         for batch in batches:
-            texts = [decode(i or []) for i in batch.column(1).to_pylist()]
+            texts = [codec.decode(i or []) if all(x is not None and 0 <= x < size for x in i or []) else None
+                     for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, type=pa.string())], names=["k", "decoded"])
 
     return slim.mapInArrow(run, f"k {slim.schema[0].dataType.simpleString()}, decoded string").withColumnRenamed("k", key)
