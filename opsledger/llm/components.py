@@ -13,8 +13,11 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round takes the smallest label among neighbours and then follows labels one step, so long chains end
     in a logarithmic number of rounds. Each round is written to the shared folder; only a count reaches the driver.
+    Repeated and turned links count once, a vertex linked with itself is a component, links with a null end do not
+    count, an empty table gives an empty one.
     """
     folder = run_folder(links.sparkSession, "components")
+    links = links.where("a is not null and b is not null")
     both = stored(links.select(F.col("a").alias("v"), F.col("b").alias("u"))
                   .union(links.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct(), f"{folder}/links")
     labels = stored(both.groupBy("v").agg(F.min("u").alias("u")).select("v", F.least("v", "u").alias("label")),

@@ -109,7 +109,12 @@ def fit(ids: list[np.ndarray], stats: np.ndarray, y: np.ndarray, buckets: int =
 
 def fit_on(docs: DataFrame, labels: DataFrame, learn, label: str = "quality", key: str = "doc_id", text: str = "text",
            train_rows: int = 6000, buckets: int = 1 << 15) -> FactorisationMachine:
-    """Fit on at most ``train_rows`` labelled rows of the folds that ``learn`` names; only their features are collected."""
+    """Fit on at most ``train_rows`` labelled rows of the folds that ``learn`` names; only their features are collected.
+
+    Rows with a null key or label teach nothing; repeated labels of a key count as one by majority. A chosen key that
+    several documents share brings all their texts, null texts as empty ones. Without labels, or with one label only,
+    the machine is a constant.
+    """
     chosen = samples.bounded(samples.training_labels(labels, key, label, learn), train_rows)
     rows = samples.texts_of(docs, chosen, key, text)
 

@@ -67,6 +67,27 @@ def select_features(positive: list[np.ndarray], unlabelled: list[np.ndarray], pr
     return ids[good][order]
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def nnpu_risk(p: np.ndarray, u: np.ndarray, theta: np.ndarray, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """Risk of the positives and of the negatives under logistic loss, with their gradients.
+
+    ``p`` and ``u`` are the features of positive and unlabelled rows, ``theta`` the weights with the bias last. The risk of
+    the negatives is that of the unlabelled rows as negatives less the prior times that of the positives as negatives.
+    """
+    zp, zu = p @ theta[:-1] + theta[-1], u @ theta[:-1] + theta[-1]
+    sp, su = _sigmoid(zp), _sigmoid(zu)
+
+    def gradient(x, g):
+        return np.append(x.T @ g.astype(x.dtype), g.sum())
+
+    positive = prior * float(np.logaddexp(0, -zp).mean())
+    negative = float(np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean())
+    return positive, negative, prior * gradient(p, (sp - 1) / len(p)), gradient(u, su / len(u)) - prior * gradient(p, sp / len(p))
+
+
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, most: int = 1024,
              steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> PresenceModel:
     """Minimise prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)) with logistic loss.
@@ -96,21 +117,9 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     theta[-1] = bias
     first, second = np.zeros_like(theta), np.zeros_like(theta)
 
-    def sigmoid(z):
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-    def gradient(x, g):
-        return np.append(x.T @ g.astype(np.float32), g.sum())
-
     for step in range(1, steps + 1):
-        zp, zu = p @ theta[:-1] + theta[-1], u @ theta[:-1] + theta[-1]
-        sp, su = sigmoid(zp), sigmoid(zu)
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        of_negative = gradient(u, su / len(u)) - prior * gradient(p, sp / len(p))
-        if negative >= 0:
-            g = prior * gradient(p, (sp - 1) / len(p)) + of_negative
-        else:
-            g = -of_negative
+        _, negative, of_positive, of_negative = nnpu_risk(p, u, theta, prior)
+        g = of_positive + of_negative if negative >= 0 else -of_negative
         g[:-1] += decay * prior * theta[:-1]
         first += 0.1 * (g - first)
         second += 0.001 * (g * g - second)
@@ -124,6 +133,10 @@ def fit_on(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic", key:
 
     The unlabelled texts are drawn from all documents without a look at labels. The class prior is the share of
     positives among all labelled rows of the learning folds. Only feature hashes of the sample are collected.
+
+    Rows with a null key or label teach nothing; repeated labels of a key count as one by majority. A chosen key that
+    several documents share brings all their texts, null texts as empty ones. Without labels or documents the model
+    is a constant.
     """
     known = samples.training_labels(labels, key, label, learn)
     counts = known.agg(F.sum("y").alias("p"), F.count(F.lit(1)).alias("n")).first()
