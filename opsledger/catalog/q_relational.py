@@ -10,7 +10,10 @@ from opsledger.catalog.registry import Tables, query, sql_money, with_money
 from opsledger.operators import aggregates as A
 from opsledger.operators import joins as J
 from opsledger.operators import windows as W
+from opsledger.operators.lasting_ids import lasting_ids
 from opsledger.plans.policy import default_policies
+from opsledger.session import run_folder
+from opsledger.sources.versions import VersionedTable
 
 LINE_KEYS = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 LINE_KEY_LIST = LINE_KEYS.split(", ")
@@ -305,6 +308,17 @@ def w5(t: Tables) -> DataFrame:
     return W.dense_row_id(t.orders.select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], "row_id").select("row_id", "o_orderkey")
 
 
+@query("w5_lasting_ids", """WITH k AS (SELECT o_custkey AS k, bool_or(o_orderstatus = 'F') AS early FROM orders GROUP BY ALL),
+ids AS (SELECT k, row_number() OVER (ORDER BY NOT early, k) AS customer_id FROM k)
+SELECT o_orderkey, customer_id FROM orders JOIN ids ON k = o_custkey""")
+def w5_lasting(t: Tables) -> DataFrame:
+    """Customers of one class of orders come first; the load of all orders keeps their ids, and a third one changes none."""
+    table, rows = VersionedTable(t.spark, run_folder(t.spark, "customer_ids")), t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    for load in (rows.where(F.col("o_orderstatus") == "F"), rows, rows):
+        found = lasting_ids(load, ["o_custkey"], table, "customer_id")
+    return found.select("o_orderkey", "customer_id")
+
+
 # ---- order and limit ------------------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsledger.operators.lasting_ids import lasting_ids
 from opsledger.operators.mutations import in_range, upsert_by_key
 from opsledger.plans import maintenance
 from opsledger.sources import versions, writers
@@ -205,3 +206,25 @@ def test_ingest_goes_on_after_a_crash(spark, tmp_path, monkeypatch, step):
     assert rows(writers.read_table(spark, target)) == wanted
     run()
     assert rows(writers.read_table(spark, target)) == wanted
+
+
+def test_ids_last(spark, table):
+    """A second load with more rows keeps all earlier ids; new keys follow without gaps; nulls are keys."""
+    def load(*keys):
+        frame = spark.createDataFrame([(k, f"v{i}") for i, k in enumerate(keys)], "`odd.key` string, v string")
+        out = lasting_ids(frame, ["odd.key"], table, "id")
+        assert out.columns == ["odd.key", "v", "id"] and out.count() == len(keys)
+        return {r["odd.key"]: r.id for r in out.collect()}
+
+    first = load("m", "c", None, "c")
+    assert sorted(first.values()) == [1, 2, 3]
+    second = load("a", "m", "z", "c", None, "b")
+    assert {k: second[k] for k in first} == first and sorted(second.values()) == [1, 2, 3, 4, 5, 6]
+    assert second["a"] < second["b"] < second["z"]
+    versions_before = table.numbers()
+    assert load("z", "a") == {k: second[k] for k in ("z", "a")} and table.numbers() == versions_before
+
+
+def test_ids_of_an_empty_load(spark, table):
+    assert lasting_ids(spark.createDataFrame([], "k int"), ["k"], table, "id").count() == 0
+    assert [r.id for r in lasting_ids(spark.createDataFrame([(5,)], "k int"), ["k"], table, "id").collect()] == [1]
