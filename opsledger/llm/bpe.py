@@ -2,7 +2,7 @@
 
 ``PairTable`` holds a vocabulary file's merges. ``PieceCounter`` counts tokens of a byte-level vocabulary without
 producing ids; ``ByteEncoder`` gives its ids; ``WordCodec`` encodes and decodes a vocabulary with word ends.
-All caches are bounded: a full cache is emptied, which costs time and never changes a result.
+All caches are bounded, which costs time and never changes a result.
 """
 
 from __future__ import annotations
@@ -110,17 +110,25 @@ class Irregular(Exception):
 
 
 class _Cache(dict):
-    """Value per piece of text, made on first use; long pieces are not kept, a full cache is emptied."""
+    """Value per piece of text, made on first use, in two generations; long pieces are not kept.
+
+    When the younger generation is full it becomes the older one, whose pieces come back when they are used again. So
+    frequent pieces stay, and only those that were not used for a whole generation are made anew.
+    """
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, piece):
-        value = self.make(piece)
-        if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[piece] = value
+        value = self.older.get(piece)
+        if value is None:
+            value = self.make(piece)
+            if len(piece) > CACHED_CHARS:
+                return value
+        if len(self) >= CACHE_ENTRIES:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = value
         return value
 
 

@@ -113,3 +113,13 @@ def test_slots_contents_and_documents_by_hand(spark, odd):
     assert sorted(want) == list(range(size)) and size > 2000
     read = {r.slot: r.ids for r in training_order.read_slots(spark, shards).collect()}
     assert {r.slot: (r.shard, r.byte_offset, r.n_tokens, r.doc_ids, read[r.slot]) for r in index.collect()} == want
+
+
+def test_frequent_pieces_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 10)
+    made = []
+    cache = bpe._Cache(lambda piece: made.append(piece) or len(piece))
+    for i in range(200):
+        assert cache["often"] == 5 and cache[f"rare {i}"] == len(f"rare {i}") and cache["x" * 99] == 99
+        assert len(cache) <= 10 and len(cache.older) <= 10
+    assert made.count("often") == 1 and made.count("x" * 99) == 200
