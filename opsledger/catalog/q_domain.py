@@ -11,7 +11,7 @@ from opsledger.operators.aggregates import sum_by
 from opsledger.operators.joins import union_by_name
 from opsledger.plans import collections, contacts, documents, fees, maintenance, receipts, report, visits
 from opsledger.plans.policy import default_policies
-from opsledger.session import run_folder, stored
+from opsledger.session import literal_table, run_folder, stored
 from opsledger.sources.readers import read_delimited, read_partition
 from opsledger.sources.writers import read_table, replace_table
 
@@ -506,4 +506,5 @@ def d29(t: Tables) -> DataFrame:
     audit, left = maintenance.purge_into(tables, D.PURGE_START, D.PURGE_END, run_folder(t.spark, "purged"))
     remaining = union_by_name(*[table.read().agg(F.count(F.lit(1)).alias("rows_left")).select(F.lit(n).alias("table_name"), "rows_left")
                                 for n, table in left.items()])
-    return t.spark.createDataFrame(audit).join(remaining, "table_name")
+    kinds = {"table_name": "string", "rows_before": "bigint", "rows_purged": "bigint", "rows_after": "bigint"}
+    return literal_table(t.spark, kinds, [tuple(r) for r in audit]).join(remaining, "table_name")

@@ -12,7 +12,8 @@ QUERIES = all_queries()
 PLANNED = sorted(n for n in QUERIES if not n.startswith(("k1_", "k2_", "k8_", "k10_", "s1_", "s6_", "s8_", "d23", "d24")))
 
 # only reliable checkpoints may appear as RDD scans
-CHECKPOINTED = ("w1_category_rank", "w5_dense_row_id", "d21_visit_wait_time", "d26_fee_schedule_long", "d27_fee_dimension")
+CHECKPOINTED = ("w1_category_rank", "w5_dense_row_id", "d21_visit_wait_time", "d26_fee_schedule_long", "d27_fee_dimension",
+                "w5_lasting_ids")
 
 
 def plan(df) -> str:
