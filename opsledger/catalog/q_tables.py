@@ -237,3 +237,21 @@ def k10(t: Tables) -> DataFrame:
             delivery.drop("s").write.mode("append").parquet(source)
         ingest_available_now(t.spark, source, target, checkpoint, "period", schema)
     return writers.read_table(t.spark, target)
+
+
+@query("k10_ingest_contents_once", D.with_tables(INGEST_SQL) + """
+SELECT line_id, CAST(period AS INT) AS period, delivery FROM first WHERE period IS NULL OR period NOT IN (SELECT period FROM second WHERE period IS NOT NULL)
+UNION ALL SELECT line_id, CAST(period AS INT), delivery FROM second""")
+def k10_contents(t: Tables) -> DataFrame:
+    """The first delivery comes twice under different names, then the second one with the first once more."""
+    source, target, checkpoint, ledger = (run_folder(t.spark, n) for n in ("drops", "ingested", "stream_state", "contents"))
+    period = F.when(F.col("o_orderpriority") != "5-LOW", F.year("o_orderdate") * 100 + F.month("o_orderdate"))
+    rows = t.orders.select(F.col("o_orderkey").alias("line_id"), period.alias("period"), F.when(F.col("o_orderstatus") == "P", 2).otherwise(1)
+                           .alias("delivery"))
+    first, second = rows.where("delivery = 1"), rows.where("delivery = 2")
+    for delivery in ((first, first), (second, first)):
+        for part in delivery:
+            part.write.mode("append").parquet(source)
+        ingest_available_now(t.spark, source, target, checkpoint, "period", T.StructType.fromDDL("line_id bigint, period int, delivery int"),
+                             contents=ledger)
+    return writers.read_table(t.spark, target)

@@ -228,3 +228,42 @@ def test_ids_last(spark, table):
 def test_ids_of_an_empty_load(spark, table):
     assert lasting_ids(spark.createDataFrame([], "k int"), ["k"], table, "id").count() == 0
     assert [r.id for r in lasting_ids(spark.createDataFrame([(5,)], "k int"), ["k"], table, "id").collect()] == [1]
+
+
+@pytest.mark.parametrize("step", [None, "ledger", "adopt", "publish"])
+def test_the_same_contents_under_two_names_count_once(spark, tmp_path, monkeypatch, step):
+    source, target, state, ledger = (str(tmp_path / n) for n in ("in", "out", "state", "ledger"))
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+
+    def deliver(*data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run(**options):
+        ingest.ingest_available_now(spark, source, target, state, "k", schema, files_per_batch=1, contents=ledger, **options)
+
+    first = [(None, "a"), (None, "b"), (1, None)]
+    deliver(*first)
+    deliver(*first[::-1])  # the same rows in another order and file
+    deliver((None, None), (2, "x"))
+    if step:
+        def crash(*_, **__):
+            raise RuntimeError("killed")
+        place = {"ledger": (ingest, "_remember_contents"), "adopt": (VersionedTable, "adopt"), "publish": (VersionedTable, "_publish")}[step]
+        monkeypatch.setattr(*place, crash)
+        with pytest.raises(Exception, match="killed"):
+            run()
+        monkeypatch.undo()
+    run()
+    wanted = Counter([*first, (None, None), (2, "x")])
+    assert rows(writers.read_table(spark, target)) == wanted
+    deliver(*first)  # and again in a later delivery
+    deliver((None, "c"))
+    run()
+    assert rows(writers.read_table(spark, target)) == wanted + Counter([(None, "c")])
+    assert not ingest.names_in(spark, f"{target}/contents") and VersionedTable(spark, ledger).read().count() == 3
+    for i in range(3):
+        deliver((None, f"new {i}"))
+        run(remember=1)
+    deliver((None, "c"))  # forgotten by now
+    run(remember=1)
+    assert rows(writers.read_table(spark, target))[(None, "c")] == 2
