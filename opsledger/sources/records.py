@@ -18,34 +18,25 @@ from pyspark.sql.window import Window
 #: Quotes inside a quoted field are doubled; line ends inside it stay as they are.
 _OPTIONS = {"escape": '"', "multiLine": "true"}
 
-#: A reader's state: bytes of a character that are still missing (0 or 1), and 2 more inside quotes.
-STATES = range(4)
-
 
 class _Cutter:
     """Follows the lines of one split from a given state; ``take`` returns whether a record ends with the line.
 
+    A state is the number of bytes of a character that are still missing (0 or 1), and 2 more inside quotes.
+
     Lines are bytes between line feeds of the encoding. Such a pair of bytes may also lie across two characters: then
     the line has an odd number of bytes, and it goes on.
     """
 
     def __init__(self, state: int, codec: str):
         self.half, self.quoted, self.codec = state % 2, state // 2, codec
-        self.quote = '"'.encode(codec)
-
-    def take(self, line: bytes, broken: bool) -> bool:
-        """``broken``: a line feed follows the line (it does not follow the last line of a file without one)."""
-        # ``half`` shifts characters: a quote counts where it begins at an even byte of the record
-        quotes, at = 0, line.find(self.quote)
-        while at >= 0:
-            if (at + self.half) % 2 == 0:
-                quotes += 1
-                at = line.find(self.quote, at + 2)
-            else:
-                at = line.find(self.quote, at + 1)
-        self.quoted ^= quotes % 2
+
+    def take(self, line: bytes) -> bool:
+        # the first byte may end a character, the last one may begin one
+        whole = line[self.half:len(line) - (len(line) - self.half) % 2] if self.half or len(line) % 2 else line
+        self.quoted ^= whole.decode(self.codec, "surrogatepass").count('"') % 2
         self.half = (self.half + len(line)) % 2
-        return broken and not self.half and not self.quoted
+        return not self.half and not self.quoted
 
     @property
     def state(self) -> int:
@@ -75,16 +66,18 @@ def _changes(lines: DataFrame, codec: str) -> DataFrame:
         place, cutters = None, []
 
         def row():
+            # a quote that is open before the split turns what is inside and outside quotes around
+            after = [c.state for c in cutters] + [c.state ^ 2 for c in cutters]
             return pa.RecordBatch.from_arrays([pa.array([place[0]]), pa.array([place[1]], pa.int64()),
-                                               pa.array([[c.state for c in cutters]], pa.list_(pa.int32()))], names=["file", "start", "after"])
+                                               pa.array([after], pa.list_(pa.int32()))], names=["file", "start", "after"])
 
         for here, line, new in _splits(batches):
             if new:
                 if place is not None:
                     yield row()
-                place, cutters = here, [_Cutter(s, codec) for s in STATES]
+                place, cutters = here, [_Cutter(s, codec) for s in (0, 1)]
             for c in cutters:
-                c.take(line, True)
+                c.take(line)
         if place is not None:
             yield row()
 
@@ -133,7 +126,7 @@ def read_records(spark: SparkSession, path: str, encoding: str = "UTF-16LE") ->
                 if place is not None:
                     out.append((*place[:2], part, False, b"".join(piece)))
                 place, cutter, piece, part = here, _Cutter(here[2], codec), [], 0
-            ends = cutter.take(line, True)
+            ends = cutter.take(line)
             piece += [line, line_end]
             if ends:
                 out.append((*place[:2], part, True, b"".join(piece)))
