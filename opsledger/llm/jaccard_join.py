@@ -14,11 +14,12 @@ from pyspark.sql.window import Window
 from opsledger.llm.arrow import frees_memory, slices
 from opsledger.llm.components import components
 from opsledger.llm.shingles import mixed, shingle_set
-from opsledger.session import run_folder, stored
+from opsledger.session import drop_finished_shuffles, remove_folder, run_folder, stored
 
 _NONE = np.empty(0, np.uint64)
-#: Groups of up to this many candidates are checked pair by pair, and those of up to the second as one matrix.
-SMALL, MATRIX = 16, 2048
+#: Groups of up to this many candidates are checked pair by pair, and those of up to the second as one matrix, unless
+#: their sets have more elements than the third together.
+SMALL, MATRIX, ELEMENTS = 16, 2048, 4_000_000
 
 
 class Bands:
@@ -218,11 +219,12 @@ def rare_shared(texts: DataFrame, folder: str, words: int, percent: int) -> Data
                                                   pa.array(sigs, pa.list_(pa.int64()))], names=["rep", "band", "keep", "sigs"])
 
     made = stored(texts.mapInArrow(run, "rep bigint, band int, keep int, sigs array<bigint>"), f"{folder}/fine")
-    fine = made.select("rep", "band", "keep", F.explode("sigs").alias("sig"))
-    counts = stored(fine.groupBy("sig").agg(F.count(F.lit(1)).alias("m")), f"{folder}/fine_counts")
-    order = Window.partitionBy("rep", "band").orderBy("m", "sig")
-    return fine.join(counts, "sig").withColumn("rank", F.row_number().over(order)) \
-        .where("rank <= keep and m > 1").select("sig", "rep").distinct()
+    fine = made.select("rep", "band", (F.size("sigs") - F.col("keep")).alias("spare"), F.explode("sigs").alias("sig"))
+    # only signatures that several texts hold are written: the others of a text come before them in the order of rarity
+    counts = stored(fine.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), f"{folder}/fine_counts")
+    order = Window.partitionBy("rep", "band").orderBy(F.col("m").desc(), F.col("sig").desc())
+    return fine.join(counts, "sig").withColumn("behind", F.row_number().over(order)) \
+        .where("behind > spare").select("sig", "rep").distinct()
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4,
@@ -234,56 +236,66 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     only pairs from different components so far are checked: sizes and parity sketches bound their difference from
     below, and what those leave open is decided exactly on the texts. First the smallest class of each group is
     compared with its other members, which joins most copies. In groups of at most ``SMALL`` classes all pairs still
-    open follow. Classes in larger open groups are signed anew with fine signatures, of which each keeps its rarest,
-    so near copies that are not similar enough part company before any pair is made. Groups that are still larger are
-    compared as one matrix up to ``MATRIX`` members. Of yet larger ones ``SMALL`` pivots from the smallest components
+    open follow. Members of larger open groups leave when the sketches allow none of the others as a partner; what is
+    left is signed anew with fine signatures, of which each text keeps its rarest, so near copies that are not similar
+    enough part company before any pair is made. Groups that are still larger are compared as one matrix up to
+    ``MATRIX`` members with ``ELEMENTS`` shingles in all. Of yet larger ones ``SMALL`` pivots from the smallest components
     are checked against the others in a round and then leave; rounds end when no group is open. No link between
-    different components is lost and nothing is capped.
+    different components is lost and nothing is capped. Stored steps are removed when later ones stand.
 
     A null or empty text has an empty set and links with nothing. Rows that repeat a key count as one document;
     a row without key gets no component. Very long texts are whole sets like others. An empty table gives an
     empty table. Columns other than key and text are not read.
     """
-    folder = run_folder(docs.sparkSession, "jaccard")
+    spark, folder = docs.sparkSession, run_folder(docs.sparkSession, "jaccard")
     sets = stored(signed_sets(docs, key, text, words, percent), f"{folder}/sets")
-    slim = sets.select("k", "n", "h1", "h2")
-    classes = stored(slim.where("n > 0 and k is not null").groupBy("h1", "h2", "n").agg(F.min("k").alias("rep")),
-                     f"{folder}/classes")
-    signed = sets.where("n > 0 and k is not null").select("h1", F.explode("sigs").alias("sig"))
+    slim = stored(sets.select("k", "n", "h1", "h2"), f"{folder}/slim")
+    known_sets = slim.where("n > 0 and k is not null")
+    classes = stored(known_sets.groupBy("h1", "h2", "n").agg(F.min("k").alias("rep")), f"{folder}/classes")
+    signed = sets.where("n > 0 and k is not null").select("k", "h1", F.explode("sigs").alias("sig"))
     # written first, so the join gets both sides from a shuffle and Spark can split a signature with very many rows
     several = stored(signed.groupBy("sig").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("sig"),
                      f"{folder}/several")
-    shared = stored(signed.join(several, "sig").select("sig", "h1").distinct(), f"{folder}/shared")
-    members = stored(shared.join(classes.select("h1", "rep"), "h1").select("sig", "rep"), f"{folder}/members")
+    shared = stored(signed.select("sig", "k").join(several, "sig"), f"{folder}/shared")
+    members = stored(shared.join(known_sets.join(classes, ["h1", "h2", "n"]).select("k", "rep"), "k").select("sig", "rep").distinct(),
+                     f"{folder}/members")
+    drop_finished_shuffles(spark)
     wanted = members.select(F.col("rep").alias("k")).distinct()
     texts = stored(docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
                    .join(wanted, "k", "left_semi"), f"{folder}/texts")
-    sketches = stored(sets.select("k", "h1", "h2", "n", "sketch").join(classes.select("h1", "h2", "n", F.col("rep").alias("k"))
-                                                                       .join(wanted, "k", "left_semi"), ["k", "h1", "h2", "n"])
+    asked = classes.select("h1", "h2", "n", F.col("rep").alias("k")).join(wanted, "k", "left_semi")
+    sketches = stored(sets.select("k", "h1", "h2", "n", "sketch").join(asked, ["k", "h1", "h2", "n"])
                       .select(F.col("k").alias("rep"), "n", "sketch").distinct(), f"{folder}/sketches")
+    for name in ("sets", "several", "shared"):
+        remove_folder(spark, f"{folder}/{name}")
+    drop_finished_shuffles(spark)
 
     def check(pairs: DataFrame, labels: DataFrame | None, name: str) -> DataFrame | None:
         """The labels after the links among ``pairs`` have joined their components."""
         near = stored(near_pairs(pairs, sketches, percent), f"{folder}/near_{name}")
         links = stored(linked_pairs(near, texts, words, percent), f"{folder}/links_{name}")
+        drop_finished_shuffles(spark)
         return labels if links.isEmpty() else _joined_labels(labels, links, f"{folder}/labels_{name}")
 
     lead = members.groupBy("sig").agg(F.min("rep").alias("a"))
     star = members.join(lead, "sig").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
     labels = check(star, None, "star")
-    known, opened = _open_groups(members, labels, f"{folder}/coarse")
+    known, opened = _open_groups(members, labels, sketches, f"{folder}/coarse")
     labels = check(_small_pairs(known, opened), labels, "coarse")
-    large = known.join(opened.where(F.col("m") > SMALL), "sig").select(F.col("rep").alias("k")).distinct()
-    members = stored(rare_shared(stored(texts.join(large, "k", "left_semi"), f"{folder}/large"), folder, words, percent),
-                     f"{folder}/rare")
+    large = stored(_with_partner(known, opened, sketches, percent), f"{folder}/partnered")
+    drop_finished_shuffles(spark)
+    members = stored(rare_shared(texts.join(large, "k", "left_semi"), folder, words, percent), f"{folder}/rare")
+    for name in ("members", "fine", "fine_counts"):
+        remove_folder(spark, f"{folder}/{name}")
     turn = 0
     while not members.isEmpty():
         turn += 1
-        known, opened = _open_groups(members, labels, f"{folder}/fine{turn}")
-        together = stored(_group_links(known, opened, texts, words, percent), f"{folder}/links_groups{turn}")
+        known, opened = _open_groups(members, labels, sketches, f"{folder}/fine{turn}")
+        matrices = (F.col("m") <= MATRIX) & (F.col("elements") <= ELEMENTS)
+        together = stored(_group_links(known, opened.where(matrices), texts, words, percent), f"{folder}/links_groups{turn}")
         if not together.isEmpty():
             labels = _joined_labels(labels, together, f"{folder}/labels_groups{turn}")
-        pairs, members = _pivot_pairs(known, opened.where(F.col("m") > MATRIX), SMALL, f"{folder}/fine{turn}")
+        pairs, members = _pivot_pairs(known, opened.where((F.col("m") > SMALL) & ~matrices), SMALL, f"{folder}/fine{turn}")
         labels = check(pairs.union(_small_pairs(known, opened)), labels, f"fine{turn}")
     found = classes
     if labels is not None:
@@ -294,16 +306,62 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
                          F.when(F.col("k").isNotNull(), F.coalesce("rep", "k")).alias("component_id"))
 
 
-def _open_groups(members: DataFrame, labels: DataFrame | None, path: str) -> tuple[DataFrame, DataFrame]:
-    """``members`` (``sig``, ``rep``) with component ``c``, and ``sig`` and size ``m`` of groups over several components."""
+def _open_groups(members: DataFrame, labels: DataFrame | None, sketches: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """``members`` (``sig``, ``rep``) with component ``c``, and ``sig``, size ``m`` and number of elements of groups over
+    several components."""
+    sized = members.join(sketches.select("rep", "n"), "rep")
     if labels is None:
-        known = members.withColumn("c", F.col("rep"))
+        known = sized.withColumn("c", F.col("rep"))
     else:
-        known = members.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left") \
-            .select("sig", "rep", F.coalesce("label", "rep").alias("c"))
+        known = sized.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left") \
+            .select("sig", "rep", "n", F.coalesce("label", "rep").alias("c"))
     known = stored(known, f"{path}_known")
-    opened = known.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    return known, stored(opened.where("lo < hi").select("sig", "m"), f"{path}_opened")
+    opened = known.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("elements"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    return known, stored(opened.where("lo < hi").select("sig", "m", "elements"), f"{path}_opened")
+
+
+def _with_partner(known: DataFrame, opened: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``k`` of the members of open groups over ``SMALL`` that may have a similar member of another component in their group.
+
+    Groups of up to ``MATRIX`` members are judged by sizes and sketches, folded to about one cell per element: the
+    number of unequal parities of two sketches bounds the difference from below. Members of larger groups all stay.
+    """
+    inside = known.join(opened.where(F.col("m") > SMALL).select("sig", "m"), "sig")
+    judged = inside.where(F.col("m") <= MATRIX).select("sig", "rep", "c", "n") \
+        .join(folded_sketches(sketches), "rep").select("sig", "rep", "c", "n", "s")
+
+    def partnered(table: pa.Table) -> pa.Table:
+        rep, c, n = (table.column(i).to_numpy() for i in (1, 2, 3))
+        raw = table.column(4).to_pylist()
+        least = min(map(len, raw))
+        bits = np.stack([_folded(np.frombuffer(x, np.uint8), least) for x in raw]).view(np.uint64)
+        found = np.zeros(len(rep), bool)
+        for i in range(len(rep)):
+            differ = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
+            small, large = np.minimum(n, n[i]), np.maximum(n, n[i])
+            found[i] = ((c != c[i]) & ((100 + percent) * differ <= (100 - percent) * (n + n[i])) & (100 * small >= percent * large)).any()
+        return pa.table({"k": pa.array(rep[found], pa.int64())})
+
+    return judged.groupBy("sig").applyInArrow(partnered, "k bigint").union(
+        inside.where(F.col("m") > MATRIX).select(F.col("rep").alias("k"))).distinct()
+
+
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """A sketch with its halves added up until it has ``size`` bytes; sizes are powers of two."""
+    while len(sketch) > size:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
+
+
+def folded_sketches(sketches: DataFrame) -> DataFrame:
+    """``rep`` and ``s``: sketches of a quarter of their size, 64 bytes to 16 KB (folding only weakens their bound)."""
+    @frees_memory
+    def run(batches):
+        for batch in batches:
+            made = [_folded(np.frombuffer(x, np.uint8), min(max(64, len(x) // 4), 1 << 14)).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["rep", "s"])
+
+    return sketches.select("rep", "sketch").mapInArrow(run, "rep bigint, s binary")
 
 
 def _pivot_pairs(known: DataFrame, opened: DataFrame, pivots: int, path: str) -> tuple[DataFrame, DataFrame]:
@@ -312,7 +370,7 @@ def _pivot_pairs(known: DataFrame, opened: DataFrame, pivots: int, path: str) ->
     Pivots come from the components with the fewest members in the group, so stragglers are compared with the bulk
     and leave it, not the other way round. They are picked by aggregation with partial results.
     """
-    inside = stored(known.join(opened.select("sig"), "sig"), f"{path}_inside")
+    inside = stored(known.select("sig", "rep", "c").join(opened.select("sig"), "sig"), f"{path}_inside")
     share = stored(inside.groupBy("sig", "c").agg(F.count(F.lit(1)).alias("n")), f"{path}_share")
     ranked = inside.join(share, ["sig", "c"]).withColumn("order", F.col("n").cast("decimal(18,0)") * F.lit("1" + "0" * 19).cast(
         "decimal(20,0)") + F.col("rep").cast("decimal(20,0)"))
@@ -325,12 +383,12 @@ def _pivot_pairs(known: DataFrame, opened: DataFrame, pivots: int, path: str) ->
 
 
 def _group_links(known: DataFrame, opened: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """One link ``a``, ``b`` per pair of linked components within open groups of ``SMALL`` to ``MATRIX`` members.
+    """One link ``a``, ``b`` per pair of linked components within those of the ``opened`` groups that have over ``SMALL`` members.
 
     The common shingles of all members of such a group are counted by one matrix product, in slices of the shingles
     that two members share, so no row per pair is made.
     """
-    rows = known.join(opened.where(F.col("m").between(SMALL + 1, MATRIX)).select("sig"), "sig") \
+    rows = known.join(opened.where(F.col("m") > SMALL).select("sig"), "sig") \
         .join(texts.select(F.col("k").alias("rep"), "t"), "rep").select("sig", "rep", "c", "t")
 
     def links(table: pa.Table) -> pa.Table:
