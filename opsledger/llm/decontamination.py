@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from opsledger.llm import samples
 from opsledger.llm.arrow import frees_memory, slices, with_columns
-from opsledger.llm.shingles import ascii_words
+from opsledger.llm.shingles import ascii_words, mixed
 
 BUCKETS = 1 << 16
 BLOCK = 24
+SKETCH = 64
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -53,30 +53,105 @@ def common_subsequence(a, b) -> int:
     return len(a) - row.bit_count()
 
 
-def bucket_frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
-    """Number of documents and, per bucket, of documents with a word in it, over the whole table.
+@dataclass(frozen=True)
+class CorpusCounts:
+    """What the latent spaces know of a corpus, counted over every document.
 
-    Each task counts in one array and sends at most one row per bucket, so the sums that reach the driver have the
-    size of the bucket range, whatever the corpus.
+    ``frequencies`` are the documents per bucket with a word in it. ``sums`` has a row per bucket of ``used`` and
+    ``SKETCH`` numbers in it: each block of words of each document adds 1 or -1 to one of them, for its distinct words.
+    """
+    n_docs: int
+    frequencies: np.ndarray
+    used: np.ndarray
+    sums: np.ndarray
+
+    def sketch(self, used: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """``SKETCH`` random combinations of the corpus's passages over the buckets ``used``; nothing for one not counted."""
+        at = np.searchsorted(self.used, used)
+        known = at < len(self.used)
+        known[known] = self.used[at[known]] == used[known]
+        rows = np.zeros((SKETCH, len(used)), np.float32)
+        rows[:, known] = (self.sums[at[known]] * idf[used[known], None]).T
+        return rows
+
+
+def corpus_counts(docs: DataFrame, used: np.ndarray, key: str = "doc_id", text: str = "text") -> CorpusCounts:
+    """Count all of ``docs`` in one pass: documents per bucket, and the sums of its passages for the buckets ``used``.
+
+    A block's place among the sums and its sign come from a hash of key, text and the block's number. All counts are
+    whole numbers, so the order of the tasks does not matter. Each task counts in arrays of the size of the bucket
+    range and sends at most one row per bucket, a shuffle by bucket adds them up, and one row per bucket reaches the
+    driver, whatever the corpus. Null texts have no words; rows with a null key count like others.
     """
-    slim = docs.select(F.col(f"`{text}`").cast("string").alias("t"))
+    slim = docs.select(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").cast("string").alias("t"))
+    used = np.unique(used)
+    n = len(used)
+    column = np.full(BUCKETS, n, np.int64)
+    column[used] = np.arange(n)
+
+    @frees_memory
+    def run(batches):
+        counts, sums = np.zeros(BUCKETS + 1, np.int64), np.zeros((n + 1) * SKETCH, np.int32)
+        for batch in batches:
+            for part in slices(batch, 1):
+                ids = [buckets_of(ascii_words(t)) for t in part.column(1).to_pylist()]
+                counts[BUCKETS] += len(ids)
+                sizes = np.array([len(x) for x in ids])
+                blocks = -(-sizes // BLOCK)
+                if not blocks.sum():
+                    continue
+                total, first = int(blocks.sum()), np.cumsum(blocks) - blocks
+                owner = np.repeat(np.arange(len(ids)), blocks)
+                h = part.column(0).to_numpy().view(np.uint64)[owner]
+                h = mixed(mixed(h + (np.arange(total) - first[owner]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+                lane, sign = (h >> np.uint64(40)).astype(np.int64) % SKETCH, np.where(h & np.uint64(1 << 20), 1, -1).astype(np.int32)
+                place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                block = np.repeat(first, sizes) + place // BLOCK
+                # sorted by document, bucket and block: one sort tells the distinct words of blocks and of documents
+                code = np.sort((owner[block] * BUCKETS + np.concatenate(ids)) * total + block)
+                word, block = np.divmod(code[np.append(True, code[1:] != code[:-1])], total)
+                counts[:BUCKETS] += np.bincount(word[np.append(True, word[1:] != word[:-1])] % BUCKETS, minlength=BUCKETS)
+                np.add.at(sums, column[word % BUCKETS] * SKETCH + lane[block], sign[block])
+        sums = sums.reshape(-1, SKETCH)
+        seen = np.flatnonzero(counts)
+        rows = [sums[c].tobytes() if c < n else None for c in column[seen[seen < BUCKETS]].tolist()] + [None] * int(counts[BUCKETS] > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen]), pa.array(rows, pa.binary())], names=["bucket", "n", "v"])
+
+    @frees_memory
+    def add(batches):
+        counts, sums = np.zeros(BUCKETS + 1, np.int64), np.zeros((n, SKETCH), np.int64)
+        for batch in batches:
+            bucket = batch.column(0).to_numpy()
+            np.add.at(counts, bucket, batch.column(1).to_numpy())
+            for b, v in zip(bucket.tolist(), batch.column(2).to_pylist()):
+                if v is not None:
+                    sums[column[b]] += np.frombuffer(v, np.int32)
+        seen = np.flatnonzero(counts)
+        rows = [sums[column[b]].tobytes() if b < BUCKETS and column[b] < n else None for b in seen.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen]), pa.array(rows, pa.binary())], names=["bucket", "n", "v"])
+
+    kind = "bucket bigint, n bigint, v binary"
+    made = slim.mapInArrow(run, kind).repartition("bucket").mapInArrow(add, kind).collect()
+    counts, sums = np.zeros(BUCKETS + 1, np.int64), np.zeros((n, SKETCH), np.int64)
+    counts[[r.bucket for r in made]] = [r.n for r in made]
+    for r in made:
+        if r.v is not None:
+            sums[column[r.bucket]] = np.frombuffer(r.v, np.int64)
+    return CorpusCounts(int(counts[BUCKETS]), counts[:BUCKETS], used, sums)
 
+
+def item_buckets(benchmark: DataFrame, item_text: str = "text") -> np.ndarray:
+    """The buckets that hold a word of any item of a benchmark table; at most ``BUCKETS`` numbers reach the driver."""
     @frees_memory
     def run(batches):
-        counts, n = np.zeros(BUCKETS + 1, np.int64), 0
+        seen = np.zeros(BUCKETS, bool)
         for batch in batches:
-            for part in slices(batch, 0):
-                for t in part.column(0).to_pylist():
-                    counts[np.unique(buckets_of(ascii_words(t)))] += 1
-                    n += 1
-        counts[BUCKETS] = n
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
+            for t in batch.column(0).to_pylist():
+                seen[buckets_of(ascii_words(t))] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen))], names=["bucket"])
 
-    sums = slim.mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(BUCKETS + 1, np.int64)
-    counts[[r.bucket for r in sums]] = [r.n for r in sums]
-    return int(counts[BUCKETS]), counts[:BUCKETS]
+    texts = benchmark.select(F.col(f"`{item_text}`").cast("string").alias("t"))
+    return np.array(sorted(r.bucket for r in texts.mapInArrow(run, "bucket bigint").distinct().collect()), np.int64)
 
 
 class LatentIndex:
@@ -105,7 +180,7 @@ class LatentIndex:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
     def fit(self, sketch: np.ndarray, rank: int) -> None:
-        """Right singular vectors of the item rows stacked on the random combinations of sampled corpus passages."""
+        """Right singular vectors of the item rows stacked on the random combinations of the corpus's passages."""
         rows = self.item_rows()
         size = max(np.linalg.norm(sketch), 1e-9)
         whole = np.vstack([rows, sketch / size * np.sqrt(max(len(rows), 1)) * 0.3])
@@ -237,60 +312,16 @@ class RareWords:
             yield t, i, base + at - int(ends[o]) + len(x)
 
 
-def corpus_sketch(docs: DataFrame, indexes: list[LatentIndex], key: str, text: str, sample_docs: int, width: int) -> list[np.ndarray]:
-    """Per index, random combinations of the passages of at most ``sample_docs`` documents: ``width`` rows over its buckets.
-
-    Tasks add up Gaussian multiples of their passages per bucket; a shuffle by bucket adds the tasks' sums.
-    """
-    keys = samples.bounded(docs.select(F.col(f"`{key}`").cast("bigint").alias("k")).where("k is not null"), sample_docs)
-    rows = samples.texts_of(docs, keys, key, text).select("k", "t")
-    used, idf = np.unique(np.concatenate([i.used for i in indexes])), indexes[0].idf
-    n = len(used)
-    column = np.full(BUCKETS + 1, n, np.int32)
-    column[used] = np.arange(n)
-
-    @frees_memory
-    def run(batches):
-        sums = np.zeros((n + 1, width), np.float32)
-        for batch in batches:
-            for part in slices(batch, 1):
-                for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = buckets_of(ascii_words(t))
-                    omega = np.random.default_rng(k & 0x7FFFFFFF).normal(size=(-(-len(ids) // BLOCK), width))
-                    norm = np.sqrt(np.add.reduceat(idf[ids] ** 2, np.arange(0, len(ids), BLOCK))) if len(ids) else 1
-                    omega /= np.maximum(norm, 1e-9).reshape(-1, 1)
-                    np.add.at(sums, column[ids], omega[np.arange(len(ids)) // BLOCK] * idf[ids, None])
-        used = np.flatnonzero(sums[:n].any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([s.tobytes() for s in sums[used]], pa.binary())],
-                                         names=["c", "v"])
-
-    @frees_memory
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for c, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                v = np.frombuffer(v, np.float32)
-                sums[c] = sums[c] + v if c in sums else v
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()),
-                                          pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["c", "v"])
-
-    made = rows.mapInArrow(run, "c bigint, v binary").repartition("c").mapInArrow(add, "c bigint, v binary").collect()
-    sketch = np.zeros((width, n), np.float32)
-    for r in made:
-        sketch[:, r.c] = np.frombuffer(r.v, np.float32)
-    return [sketch[:, column[i.used]] for i in indexes]
-
-
 def match_rows(docs: DataFrame, items: list[Item], key: str = "doc_id", text: str = "text", rank: int = 128, group: int = 256,
-               sample_docs: int = 2000, cosine: float = 0.3, share: float = 0.8, with_answer: float = 0.6,
-               result: str = "matches", frequencies: tuple[int, np.ndarray] | None = None, rare_words: bool = True) -> DataFrame:
+               cosine: float = 0.3, share: float = 0.8, with_answer: float = 0.6, result: str = "matches",
+               corpus: CorpusCounts | None = None, rare_words: bool = True) -> DataFrame:
     """``docs`` with an array column ``result``: one struct per item that the row's text holds.
 
     Fields: ``item_id``, ``item_words``, ``lcs`` (words of the item in order in the best span), ``cosine`` and
     ``answer_found``. A candidate counts when its span keeps ``share`` of the item's words in order, or
     ``with_answer`` of them and four fifths of the answer's. All columns of ``docs`` stay (one named ``result`` is
-    replaced). Word frequencies and candidates cover every document; only the latent basis is fitted on a sample.
-    ``frequencies`` are those of ``bucket_frequencies``, counted here unless given.
+    replaced). Word frequencies, the latent basis and candidates cover every document. ``corpus`` are the
+    ``corpus_counts`` for the buckets of the items' words, counted here unless given.
 
     Candidates are windows with a latent cosine of at least ``cosine`` of what the basis keeps of an item. Each ``group``
     of items has a basis of ``rank`` directions of its own, all searched in one pass over the texts. Items of which a
@@ -301,16 +332,16 @@ def match_rows(docs: DataFrame, items: list[Item], key: str = "doc_id", text: st
     repeated rows give equal results; a very long text is searched in all its windows; an empty table gives an
     empty table.
     """
-    n_docs, counts = bucket_frequencies(docs, text) if frequencies is None else frequencies
     given = [i for i in items if i.words]
-    indexes = [LatentIndex(given[at:at + group], n_docs, counts) for at in range(0, len(given), group)]
+    if corpus is None:
+        corpus = corpus_counts(docs, np.concatenate([np.empty(0, np.int64), *[buckets_of(i.words) for i in given]]), key, text)
+    indexes = [LatentIndex(given[at:at + group], corpus.n_docs, corpus.frequencies) for at in range(0, len(given), group)]
     hard: list[int] = []
-    if indexes:
-        for g, (index, sketch) in enumerate(zip(indexes, corpus_sketch(docs, indexes, key, text, sample_docs, min(rank, 64)))):
-            index.fit(sketch, rank)
-            if rare_words:
-                hard += (np.flatnonzero(index.beyond(cosine, min(share, with_answer))) + g * group).tolist()
-    rare = RareWords([given[i] for i in hard], counts, min(share, with_answer))
+    for g, index in enumerate(indexes):
+        index.fit(corpus.sketch(index.used, index.idf), rank)
+        if rare_words:
+            hard += (np.flatnonzero(index.beyond(cosine, min(share, with_answer))) + g * group).tolist()
+    rare = RareWords([given[i] for i in hard], corpus.frequencies, min(share, with_answer))
     shared = docs.sparkSession.sparkContext.broadcast((given, indexes, hard, rare))
 
     def start():
@@ -364,14 +395,14 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id"
                       block_items: int = 2048, **options) -> DataFrame:
     """``key`` and the fields of a match, one row per document row and benchmark item that it holds.
 
-    The benchmark is the query set: it is searched against all rows in blocks of about ``block_items`` items, with word
-    frequencies that are counted once. Null, empty, repeated and long texts, null keys, items without words and empty
+    The benchmark is the query set: it is searched against all rows in blocks of about ``block_items`` items, with the
+    corpus counted once. Null, empty, repeated and long texts, null keys, items without words and empty
     tables: as in ``match_rows`` and ``item_blocks``. Other columns are not read.
     """
-    found, frequencies = None, bucket_frequencies(docs, text)
+    found, corpus = None, corpus_counts(docs, item_buckets(benchmark, item_text), key, text)
     slim = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     for items in item_blocks(benchmark, item_key, item_text, answer, block_items):
-        rows = match_rows(slim, items, "k", "t", frequencies=frequencies, **options) \
+        rows = match_rows(slim, items, "k", "t", corpus=corpus, **options) \
             .select(F.col("k").alias(key), F.inline("matches"))
         found = rows if found is None else found.union(rows)
     return found

@@ -277,3 +277,42 @@ def test_latent_search_alone_finds_nine_of_ten(spark, count):
     frame, bench = (spark.createDataFrame(rows, f"{name} bigint, text string") for rows, name in ((docs, "doc_id"), (items, "item_id")))
     found = {(r.doc_id, r.item_id) for r in decontamination.benchmark_matches(frame, bench, rare_words=False).collect()}
     assert len(wanted) >= 130 and len(found & wanted) >= 0.9 * len(wanted)
+
+
+def test_the_latent_space_counts_every_document(spark, monkeypatch):
+    """Each of more documents than a sample of 2000 holds leaves its trace in what the latent space is fitted on."""
+    rng = random.Random(21)
+    rows = [(d, f"once{d} {prose(rng, rng.randint(0, 60))}") for d in range(2600)] + [(None, "once2600"), (1, None), (2601, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    fitted = []
+    real = decontamination.LatentIndex.fit
+    monkeypatch.setattr(decontamination.LatentIndex, "fit", lambda self, sketch, rank: (fitted.append((self, sketch)), real(self, sketch, rank))[1])
+    item = " ".join(f"once{d}" for d in range(0, 2601, 13))
+    decontamination.benchmark_matches(frame, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+    (index, sketch), = fitted
+    single = Counter(b for _, t in rows for b in set(decontamination.buckets_of((t or "").encode().split()).tolist()))
+    single = [i for i, b in enumerate(index.used.tolist()) if single[b] == 1]
+    assert len(single) > 150 and all(np.count_nonzero(sketch[:, i]) == 1 for i in single)
+
+
+def test_counts_of_a_corpus_equal_a_plain_loop(spark, odd, empty):
+    rng = random.Random(22)
+    rows = [(d, prose(rng, rng.randint(0, 90))) for d in range(90)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").union(odd.select("doc_id", "text"))
+    texts = [[x.lower() for x in (r.text or "").encode().split()] for r in frame.collect()]
+    used = np.unique(decontamination.buckets_of([w for t in texts[:40] for w in t]))
+    made = [decontamination.corpus_counts(frame.repartition(n), used) for n in (1, 7)]
+    documents, passages = Counter(), Counter()
+    for words in texts:
+        ids = decontamination.buckets_of(words).tolist()
+        documents.update(set(ids))
+        passages.update(b for at in range(0, len(ids), decontamination.BLOCK) for b in set(ids[at:at + decontamination.BLOCK]))
+    for x in made:
+        assert x.n_docs == len(texts) and {b: n for b, n in enumerate(x.frequencies.tolist()) if n} == documents
+        # each block with the word moves one number by one
+        size = np.abs(x.sums).sum(axis=1).tolist()
+        assert all(s <= passages[b] and (passages[b] - s) % 2 == 0 for b, s in zip(used.tolist(), size))
+    assert (made[0].sums == made[1].sums).all() and (made[0].used == used).all()
+    none = decontamination.corpus_counts(empty, used)
+    assert none.n_docs == 0 and not none.frequencies.any() and not none.sums.any()
+    assert not made[0].sketch(np.array([decontamination.BUCKETS - 1]), np.ones(decontamination.BUCKETS + 1)).any() or decontamination.BUCKETS - 1 in used
