@@ -28,8 +28,9 @@ class Bands:
     Two sets of at most ``top`` elements with that similarity differ in at most ``k`` elements. The feature domain is
     hashed to groups; with tolerance 1 a group has three parts of which two are taken (every subset of two gives a
     signature), with tolerance 0 it has one. As there are more groups than ``k`` differences can spoil, one subset
-    agrees in both sets. A few spare groups pay for subsets that are empty in both; a set with more empty subsets than
-    spare groups signs those as well. So each linked pair shares a signature, whatever its contents.
+    agrees in both sets. A few spare groups pay for subsets that are empty in both. An empty subset is signed only by a
+    set whose other subsets its possible differences could all spoil, since very many sets may share it. So each linked
+    pair shares a signature, whatever its contents.
     """
 
     def __init__(self, percent: int):
@@ -50,14 +51,25 @@ class Bands:
         spare = 1 + k // 12
         return k, tolerance, needed + spare, spare
 
+    def differences(self, size: int, band: int) -> int:
+        """The most elements in which a set of ``size`` elements differs from any linked set that it meets in ``band``."""
+        partner = min(self.tops[band], size * 100 // self.percent)
+        return (100 - self.percent) * (size + partner) // (100 + self.percent)
+
     def signatures(self, u: np.ndarray) -> np.ndarray:
-        """64-bit signatures of the set of hashes ``u``; the larger set of a pair decides the band they meet in."""
+        """64-bit signatures of the set of hashes ``u``; the larger set of a pair decides the band they meet in.
+
+        To spoil a group takes a difference more than its tolerance, but no more than it has parts that are not empty: the
+        subsets without them are empty. If all groups together take more than the set's own possible differences, a
+        linked set agrees with it in a subset that is not empty, so neither needs the empty ones.
+        """
         found = []
         if len(u) == 0:
             return _NONE
         for band in range(self.band(len(u)), self.band(len(u) * 100 // self.percent) + 1):
-            k, tolerance, groups, spare = self.shape(band)
-            if k == 0:
+            tolerance, groups = self.shape(band)[1:3]
+            differences = self.differences(len(u), band)
+            if differences == 0:
                 continue
             parts = groups * (3 if tolerance else 1)
             spread = mixed(u + np.uint64((band * 2 + 1) * 0xD1342543DE82EF95 % (1 << 64)))
@@ -65,17 +77,15 @@ class Bands:
             sums = np.zeros(parts, np.uint64)
             np.add.at(sums, place, spread)
             counts = np.bincount(place.astype(np.intp), minlength=parts)
+            spoiled_by = int(np.minimum((counts > 0).reshape(groups, -1).sum(axis=1), tolerance + 1).sum())
             if tolerance:
                 sums, counts = sums.reshape(groups, 3), counts.reshape(groups, 3)
                 sums = np.stack([sums[:, 0] + sums[:, 1], sums[:, 0] + sums[:, 2], sums[:, 1] + sums[:, 2]])
                 counts = np.stack([counts[:, 0] + counts[:, 1], counts[:, 0] + counts[:, 2], counts[:, 1] + counts[:, 2]])
-                empty_groups = int((counts == 0).any(axis=0).sum())
-            else:
-                empty_groups = int((counts == 0).sum())
             sums, counts = sums.ravel(), counts.ravel()
             tags = np.arange(len(sums), dtype=np.uint64) + np.uint64(band << 32)
             signed = mixed(sums + mixed(tags * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)))
-            found.append(signed if empty_groups >= spare else signed[counts > 0])
+            found.append(signed if spoiled_by <= differences else signed[counts > 0])
         return np.concatenate(found) if found else _NONE
 
 

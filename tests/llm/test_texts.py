@@ -117,6 +117,34 @@ def test_signatures_meet_at_the_limit():
             assert np.intersect1d(bands.signatures(a), bands.signatures(b)).size, size
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_empty_parts_do_not_gather_unrelated_sets(percent):
+    """Sets that are small in their band have many empty parts; one signature of these would group them all."""
+    rng, bands = np.random.default_rng(7), jaccard_join.Bands(percent)
+    for size in (100, 150, 200, 250, 380, 700, 1000, 1500):
+        found = np.concatenate([bands.signatures(rng.integers(0, 1 << 63, size, dtype=np.uint64)) for _ in range(60)])
+        assert np.unique(found, return_counts=True)[1].max() == 1, size
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_a_signature_wherever_they_differ(percent):
+    """Also sets whose other elements lie in few parts, and differences that spoil as many groups as they can."""
+    rng, bands = np.random.default_rng(5), jaccard_join.Bands(percent)
+    pool = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
+    for size in [*range(1, 60), 94, 95, 140, 200, 316, 400]:
+        for turn in range(6):
+            drawn = rng.permutation(pool)
+            if turn % 2:  # the sets crowd in few parts of their band
+                multiplier = np.uint64((bands.band(size) * 2 + 1) * 0xD1342543DE82EF95 % (1 << 64))
+                drawn = drawn[np.argsort((jaccard_join.mixed(drawn + multiplier) >> np.uint64(20)) % np.uint64(12), kind="stable")]
+            a = np.unique(drawn[:size])
+            for more in range(size * 100 // percent - size + 1):
+                less = next(x for x in range(size, -1, -1) if 100 * (size - x) >= percent * (size + more))
+                b = np.unique(np.concatenate([a[less:], drawn[size:size + more]]))
+                if less or more:
+                    assert np.intersect1d(bands.signatures(a), bands.signatures(b)).size, (size, less, more)
+
+
 def test_sketches_never_exceed_the_difference():
     rng = np.random.default_rng(3)
     for size in (0, 1, 50, 400, 700, 3000, 20_000):
