@@ -404,8 +404,13 @@ def d23(t: Tables) -> DataFrame:
 # ---- documents ------------------------------------------------------------------------------------
 
 def _text_export(df: DataFrame, path: str) -> None:
-    """Tab-separated text in the byte order of the exports, quotes doubled, lines ended as on Windows."""
-    df.write.options(header=True, sep="\t", encoding="UTF-16LE", lineSep="\r\n", escape='"').csv(path)
+    """Tab-separated text in the byte order of the exports, quotes doubled, lines ended as on Windows.
+
+    It is many times as large as the columnar table that it comes from, so its files are compressed, and of bounded length:
+    each is read by one task.
+    """
+    df.write.options(header=True, sep="\t", encoding="UTF-16LE", lineSep="\r\n", escape='"', compression="gzip",
+                     maxRecordsPerFile=500_000).csv(path)
 
 
 REGISTER_COLUMNS = ", ".join(f"CAST({n} AS VARCHAR) AS {n}" for n in documents.REGISTER_NAMES.values())

@@ -8,8 +8,11 @@ split belongs to a record of an earlier split; these pieces, one or two per spli
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,23 +23,28 @@ _OPTIONS = {"escape": '"', "multiLine": "true"}
 
 
 class _Cutter:
-    """Follows the lines of one split from a given state; ``take`` returns whether a record ends with the line.
+    """Follows the lines of one split from a given state; ``take`` returns after which of some lines a record ends.
 
     A state is the number of bytes of a character that are still missing (0 or 1), and 2 more inside quotes.
 
     Lines are bytes between line feeds of the encoding. Such a pair of bytes may also lie across two characters: then
-    the line has an odd number of bytes, and it goes on.
+    the line has an odd number of bytes, and it goes on. The lines come as their bytes in a row and the places where
+    they begin, with the end of the last, and are judged all at once.
     """
 
     def __init__(self, state: int, codec: str):
-        self.half, self.quoted, self.codec = state % 2, state // 2, codec
+        self.half, self.quoted, self.quote = state % 2, state // 2, '"'.encode(codec)
 
-    def take(self, line: bytes) -> bool:
+    def take(self, raw: np.ndarray, places: np.ndarray) -> np.ndarray:
+        odd = np.append(self.half, self.half + places[1:] - places[0]) % 2
+        found = np.flatnonzero((raw[:-1] == self.quote[0]) & (raw[1:] == self.quote[1]))
+        line = np.searchsorted(places, found, side="right") - 1
         # the first byte may end a character, the last one may begin one
-        whole = line[self.half:len(line) - (len(line) - self.half) % 2] if self.half or len(line) % 2 else line
-        self.quoted ^= whole.decode(self.codec, "surrogatepass").count('"') % 2
-        self.half = (self.half + len(line)) % 2
-        return not self.half and not self.quoted
+        whole = ((found - places[line] - odd[line]) % 2 == 0) & (found + 1 < places[line + 1])
+        quotes = np.bincount(line[whole], minlength=len(places) - 1)
+        quoted = (self.quoted + np.cumsum(quotes)) % 2
+        self.half, self.quoted = int(odd[-1]), int(quoted[-1])
+        return (odd[1:] == 0) & (quoted == 0)
 
     @property
     def state(self) -> int:
@@ -50,13 +58,20 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
         F.col("value").cast("binary").alias("line"))
 
 
-def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes, bool]]:
-    """((file, start, further columns), line, whether it is the first of its split), row by row."""
+def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray, np.ndarray, bool]]:
+    """((file, start, further columns), bytes of some lines, their places, whether they are the first of their split)."""
     last = None
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        for *place, line in zip(*columns):
-            yield tuple(place), line, place != last
+        if batch.num_rows == 0:
+            continue
+        line = batch.column(batch.num_columns - 1).cast(pa.large_binary())
+        places = np.frombuffer(line.buffers()[1], np.int64)[line.offset:line.offset + len(line) + 1]
+        raw = np.frombuffer(line.buffers()[2] or b"", np.uint8)
+        file, start = batch.column(0).dictionary_encode().indices.to_numpy(), batch.column(1).to_numpy()
+        new = np.flatnonzero((file[1:] != file[:-1]) | (start[1:] != start[:-1])) + 1
+        for lo, hi in pairwise([0, *new.tolist(), len(line)]):
+            place = tuple(batch.column(i)[lo].as_py() for i in range(batch.num_columns - 1))
+            yield place, raw[places[lo]:places[hi]], places[lo:hi + 1] - places[lo], place != last
             last = place
 
 
@@ -71,13 +86,13 @@ def _changes(lines: DataFrame, codec: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([place[0]]), pa.array([place[1]], pa.int64()),
                                                pa.array([after], pa.list_(pa.int32()))], names=["file", "start", "after"])
 
-        for here, line, new in _splits(batches):
+        for here, raw, places, new in _splits(batches):
             if new:
                 if place is not None:
                     yield row()
                 place, cutters = here, [_Cutter(s, codec) for s in (0, 1)]
             for c in cutters:
-                c.take(line)
+                c.take(raw, places)
         if place is not None:
             yield row()
 
@@ -95,50 +110,88 @@ def _starts(changes: DataFrame) -> DataFrame:
     return listed.select("file", F.inline(found))
 
 
-def read_records(spark: SparkSession, path: str, encoding: str = "UTF-16LE") -> DataFrame:
+def _unsplit(spark: SparkSession, path: str) -> bool:
+    """Whether each file at ``path`` is read by one task, since it is compressed in a way that can be read from its start only."""
+    from py4j.java_gateway import is_instance_of
+
+    io = spark.sparkContext._jvm.org.apache.hadoop
+    codecs = io.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [codecs.getCodec(io.fs.Path(f"/x{end}")) for end in {os.path.splitext(f)[1] for f in spark.read.text(path).inputFiles()}]
+    splits = "org.apache.hadoop.io.compress.SplittableCompressionCodec"
+    return all(c is not None and not is_instance_of(spark.sparkContext._gateway, c, splits) for c in found)
+
+
+def _cut(known: DataFrame, codec: str, firsts: bool = False) -> DataFrame:
+    """Rows (file, start, part, whole, raw) of lines (file, start, state, line): part 0 is the piece before the first record
+    end, the last is the open end. With ``firsts`` only part 0."""
+    line_end = np.frombuffer("\n".encode(codec), np.uint8)
+
+    def run(batches):
+        place, cutter, piece, part = None, None, [], 0
+
+        def rows(offsets, raw, whole):
+            n = len(offsets) - 1
+            return pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(place[0], pa.string()), n), pa.repeat(pa.scalar(place[1], pa.int64()), n),
+                 pa.array(np.arange(part, part + n)), pa.repeat(pa.scalar(whole), n),
+                 pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)])],
+                names=["file", "start", "part", "whole", "raw"])
+
+        def open_end():
+            raw = b"".join(piece)
+            return rows(np.array([0, len(raw)]), raw, False)
+
+        for here, raw, places, new in _splits(batches):
+            if new:
+                if place is not None and not (firsts and part):
+                    yield open_end()
+                place, cutter, piece, part = here, _Cutter(here[2], codec), [], 0
+            if firsts and part:
+                continue
+            ends = np.flatnonzero(cutter.take(raw, places)) + 1
+            if firsts:
+                ends = ends[:1]
+            n = len(places) - 1
+            lines = np.insert(raw, np.repeat(places[1:], 2), np.tile(line_end, n))
+            if len(ends):
+                offsets = np.concatenate([[0], (places + 2 * np.arange(n + 1))[ends]])
+                before = b"".join(piece)
+                closed, lines = lines[:offsets[-1]], lines[offsets[-1]:]
+                offsets[1:] += len(before)
+                yield rows(offsets, before + closed.tobytes(), True)
+                piece, part = [], part + len(ends)
+            piece.append(lines.tobytes())
+        if place is not None and not (firsts and part):
+            yield open_end()
+
+    return known.mapInArrow(run, "file string, start bigint, part bigint, whole boolean, raw binary")
+
+
+def _as_text(rows: DataFrame, encoding: str) -> DataFrame:
+    """``file``, ``start``, ``place`` and ``record`` of rows (file, start, part, raw)."""
+    text = F.regexp_replace(F.decode("raw", encoding), r"\r?\n\z", "")
+    whole = rows.withColumn("record", F.when((F.col("start") == 0) & (F.col("part") == 0), F.regexp_replace(text, "\\A\uFEFF", ""))
+                            .otherwise(text))
+    return whole.where("record <> ''").select("file", "start", F.col("part").alias("place"), "record")
+
+
+def read_records(spark: SparkSession, path: str, encoding: str = "UTF-16LE", firsts: bool = False) -> DataFrame:
     """``file``, ``start``, ``place`` (order of a record in its file) and ``record`` (text, without its line end) of the files at ``path``.
 
     A record ends at a line feed outside quotes. One carriage return before it goes, one byte order mark at the start of
     a file too. Empty lines are no records. A quoted field that is never closed makes the rest of its file one record.
+    With ``firsts`` only records that a split begins with, or that reach into it. Files that cannot be split, such as
+    gzip ones, need neither the first pass nor the last.
     """
     codec = encoding.lower()
-    line_end = "\n".encode(codec)
     lines = _lines(spark, path, encoding)
+    if _unsplit(spark, path):
+        return _as_text(_cut(lines.select("file", "start", F.lit(0).alias("state"), "line"), codec, firsts), encoding)
     starts = _starts(_changes(lines, codec))
     # one short row per split, as many as the driver has planned; a join by shuffle would mix up the lines of a split
     known = lines.join(F.broadcast(starts.toDF("f", "s", "state")), (F.col("file") == F.col("f")) & (F.col("start") == F.col("s"))) \
         .select("file", "start", "state", "line")
-
-    def run(batches):
-        """Rows (file, start, part, whole, raw): part 0 is the piece before the first record end, the last is the open end."""
-        place, cutter, piece, part = None, None, [], 0
-        out: list[tuple] = []
-
-        def batch():
-            nonlocal out
-            made, out = pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))],
-                names=["file", "start", "part", "whole", "raw"]), []
-            return made
-
-        for here, line, new in _splits(batches):
-            if new:
-                if place is not None:
-                    out.append((*place[:2], part, False, b"".join(piece)))
-                place, cutter, piece, part = here, _Cutter(here[2], codec), [], 0
-            ends = cutter.take(line)
-            piece += [line, line_end]
-            if ends:
-                out.append((*place[:2], part, True, b"".join(piece)))
-                piece, part = [], part + 1
-            if len(out) >= 4096:
-                yield batch()
-        if place is not None:
-            out.append((*place[:2], part, False, b"".join(piece)))
-        if out:
-            yield batch()
-
-    cut = known.mapInArrow(run, "file string, start bigint, part bigint, whole boolean, raw binary")
+    cut = _cut(known, codec)
     # records that begin and end in one split are done; the first record end of a split closes what earlier splits left open
     inner = cut.where("whole and part > 0").select("file", "start", "part", "raw")
     edge = cut.where("not whole or part = 0")
@@ -148,10 +201,7 @@ def read_records(spark: SparkSession, path: str, encoding: str = "UTF-16LE") ->
         F.array_sort(F.collect_list(F.struct("start", "part", "raw"))).alias("p")) \
         .select("file", F.col("p")[0]["start"].alias("start"), F.col("p")[0]["part"].alias("part"),
                 F.aggregate("p", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["raw"])).alias("raw"))
-    text = F.regexp_replace(F.decode("raw", encoding), r"\r?\n\z", "")
-    whole = inner.union(joined).withColumn("record", F.when((F.col("start") == 0) & (F.col("part") == 0), F.regexp_replace(text, "\\A\uFEFF", ""))
-                                           .otherwise(text))
-    return whole.where("record <> ''").select("file", "start", F.col("part").alias("place"), "record")
+    return _as_text(joined if firsts else inner.union(joined), encoding)
 
 
 def read_delimited_records(spark: SparkSession, path: str, sep: str = "\t", encoding: str = "UTF-16LE", header: bool = True) -> DataFrame:
@@ -162,7 +212,7 @@ def read_delimited_records(spark: SparkSession, path: str, sep: str = "\t", enco
     """
     records = read_records(spark, path, encoding)
     first = (F.col("start") == 0) & (F.col("place") == 0)
-    heads = [r.record for r in records.where(first).select("record").distinct().limit(2).collect()]
+    heads = [r.record for r in read_records(spark, path, encoding, firsts=True).where(first).select("record").distinct().limit(2).collect()]
     if len(heads) > 1 and header:
         raise ValueError(f"files below {path} have different headers: {heads}")
     if not heads:

@@ -39,16 +39,20 @@ def load_by_key(df: DataFrame, load_id: int | str, path: str, key: str) -> None:
     VersionedTable(df.sparkSession, path).load(df, str(load_id), key)
 
 
-def write_partitioned(df: DataFrame, path: str, column: str, files_per_partition: int | None = None) -> None:
+def write_partitioned(df: DataFrame, path: str, column: str, files_per_partition: int | None = None, in_place: bool = False,
+                      compression: str | None = None) -> None:
     """Parquet by ``column``; only the partitions present in ``df`` are replaced.
 
     Without a file count AQE sizes the output tasks (``REBALANCE`` splits a
     partition value that holds most of the rows). With one, rows are spread
     round by round over that many files instead of going to one task per value.
+    With ``in_place`` no row is shuffled: each input task writes its rows itself,
+    for frames of which a task holds one value or a few. Without a
+    ``compression`` the session's is taken.
     """
-    laid_out = df.repartition(files_per_partition) if files_per_partition else df.hint("rebalance", F.col(column))
+    laid_out = df.repartition(files_per_partition) if files_per_partition else df if in_place else df.hint("rebalance", F.col(column))
     laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(column).parquet(path)
+        .partitionBy(column).parquet(path, compression=compression)
 
 
 def size_report(df: DataFrame, target_mb: int = 256, fraction: float | None = None, seed: int = 0) -> DataFrame:

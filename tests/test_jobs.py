@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from opsledger.catalog import all_queries, q_domain
 from opsledger.operators import aggregates as A
 from opsledger.operators import windows as W
 from opsledger.plans import contacts, documents, fees, report, visits
@@ -232,3 +233,33 @@ def test_fees(spark):
     with pytest.raises(Exception, match="lookup key repeats"):
         fees.fee_schedule_long(sheet, twice).collect()
     assert fees.fee_schedule_long(sheet, twice, "fanout").count() == 6
+
+
+def test_document_feed_holds_little_disk(spark, tmp_path, monkeypatch):
+    """Export and register together take no more than four times the table they come from, and nothing is shuffled between."""
+    made = [tmp_path / "export", tmp_path / "register"]
+    places = iter(made)
+    monkeypatch.setattr(q_domain, "run_folder", lambda s, name: str(next(places)))
+    source = tmp_path / "tables"
+    rows = spark.range(40_000, numPartitions=4)
+    rows.selectExpr("id div 4 as l_orderkey", "id * 7919 % 20000 as l_partkey", "id * 104729 % 1000 as l_suppkey",
+                    "cast(id % 4 + 1 as int) as l_linenumber", "cast(id * 31 % 50 as double) as l_quantity",
+                    "cast(id * 7919 % 1000003 as double) / 7 as l_extendedprice", "cast(id * 13 % 11 as double) / 100 as l_discount",
+                    "cast(id * 17 % 9 as double) / 100 as l_tax", "element_at(array('R', 'A', 'N'), cast(id % 3 + 1 as int)) as l_returnflag",
+                    "if(id % 2 = 0, 'O', 'F') as l_linestatus",
+                    "timestamp'1995-01-01' + make_interval(0, 0, 0, cast(id * 37 % 2500 as int)) as l_shipdate") \
+        .write.parquet(str(source / "lineitem.parquet"))
+    assert all_queries()["d24_document_feed"](spark, str(source)).count() == 40_000
+
+    def size(folder):
+        return sum(p.stat().st_size for p in folder.rglob("part-*"))
+    assert sum(map(size, made)) <= 4 * size(source)
+
+
+def test_documents_are_stored_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "register")
+    frame = documents.document_feed(spark.range(30, numPartitions=3).withColumnRenamed("id", "Document ID"), D(2024, 1, 5))
+    documents.store_documents(frame, path)
+    documents.store_documents(frame, path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 30 and len(stored.inputFiles()) == 3

@@ -1,6 +1,7 @@
 """The parallel record reader against a plain reader of the whole text."""
 
 import csv
+import gzip
 import io
 import random
 from collections import Counter
@@ -79,3 +80,24 @@ def test_an_open_quote_takes_the_rest_of_its_file(spark, tmp_path):
     write(tmp_path / "a.txt", 'a\n"x\ny\nz', "utf-16-le")
     found = [r.record for r in records.read_records(spark, str(tmp_path)).orderBy("start", "place").collect()]
     assert found == ["a", '"x\ny\nz']
+
+
+@pytest.mark.parametrize("encoding", ["UTF-16LE", "UTF-16BE"])
+def test_compressed_files_are_read_in_one_pass(spark, tmp_path, encoding, monkeypatch):
+    rng = random.Random(encoding)
+    texts = [random_text(rng, n, "\r\n") for n in (0, 1, 40, 90)] + ['id\tname\tnotes\n7\tx\t"never closed\n8\ty\tz']
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.txt.gz").write_bytes(gzip.compress(text.encode(encoding)))
+    monkeypatch.setattr(records, "_changes", None)  # one split a file: each begins outside quotes
+    assert records.read_records(spark, str(tmp_path), encoding, firsts=True).count() == len(texts)
+    (tmp_path / "4.txt.gz").unlink()
+    frame = readers.read_delimited(spark, str(tmp_path), encoding=encoding)
+    assert frame.columns == ["id", "name", "notes"]
+    assert Counter(tuple(r) for r in frame.collect()) == Counter(r for text in texts[:4] for r in plain(text)[1:])
+
+
+def test_plain_files_beside_compressed_ones_are_split(spark, tmp_path):
+    write(tmp_path / "a.txt", "a\tb\n1\t2\n", "utf-16-le")
+    (tmp_path / "b.txt.gz").write_bytes(gzip.compress("a\tb\n3\t4\n".encode("utf-16-le")))
+    assert not records._unsplit(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in readers.read_delimited(spark, str(tmp_path), encoding="UTF-16LE").collect()) == [("1", "2"), ("3", "4")]
